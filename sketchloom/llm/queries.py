@@ -7,6 +7,7 @@ import public_tokenizers
 from .common import table
 from .language_id import language_report
 from .line_dedup import line_dedup_report
+from .minhash import near_duplicate_report
 from .packing import pack
 from .piece_bpe import encode_documents
 from .url_filter import url_filter_report
@@ -16,6 +17,7 @@ PIECE_MODEL, WORD_TOKENIZER = "piece_bpe_32k.model", "word_bpe_49k.json"
 QUERIES = {
     "op3_line_dedup": lambda spark, d: line_dedup_report(table(spark, d, "documents")),
     "op4_piece_bpe": lambda spark, d: encode_documents(table(spark, d, "documents"), public_tokenizers.path(PIECE_MODEL)),
+    "op5_minhash": lambda spark, d: near_duplicate_report(table(spark, d, "documents")),
     "op6_packing": lambda spark, d: pack(table(spark, d, "documents"), public_tokenizers.path(WORD_TOKENIZER)),
     "op7_url_filter": lambda spark, d: url_filter_report(table(spark, d, "pages")),
     "op9_language_id": lambda spark, d: language_report(table(spark, d, "documents")),
