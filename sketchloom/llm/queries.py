@@ -5,22 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 
 from .common import table
+from .html_extract import extract_pages
 from .language_id import language_report
+from .license_scan import scan_licenses
 from .line_dedup import line_dedup_report
+from .mih import nearest
 from .minhash import near_duplicate_report
 from .packing import pack
 from .piece_bpe import encode_documents
+from .spotsigs import fingerprint_report
 from .url_filter import url_filter_report
 
 PIECE_MODEL, WORD_TOKENIZER = "piece_bpe_32k.model", "word_bpe_49k.json"
 
 QUERIES = {
+    "op1_html_extract": lambda spark, d: extract_pages(table(spark, d, "pages")),
+    "op2_license_scan": lambda spark, d: scan_licenses(table(spark, d, "documents")),
     "op3_line_dedup": lambda spark, d: line_dedup_report(table(spark, d, "documents")),
     "op4_piece_bpe": lambda spark, d: encode_documents(table(spark, d, "documents"), public_tokenizers.path(PIECE_MODEL)),
     "op5_minhash": lambda spark, d: near_duplicate_report(table(spark, d, "documents")),
     "op6_packing": lambda spark, d: pack(table(spark, d, "documents"), public_tokenizers.path(WORD_TOKENIZER)),
     "op7_url_filter": lambda spark, d: url_filter_report(table(spark, d, "pages")),
+    "op8_spotsigs": lambda spark, d: fingerprint_report(table(spark, d, "documents")),
     "op9_language_id": lambda spark, d: language_report(table(spark, d, "documents")),
+    "op10_mih": lambda spark, d: nearest(table(spark, d, "embeddings")),
 }
 
 ORACLE_SQL: dict[str, str] = {}
