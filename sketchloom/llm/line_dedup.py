@@ -35,7 +35,7 @@ def dedup_lines(docs: DataFrame, min_chars: int = 10, min_docs: int = 2) -> Data
         held = lines.groupBy("digest").agg(F.min("doc_id").alias("keeper"), F.max("doc_id").alias("last"))
         shared = held.where("keeper < last").select("digest", "keeper")
     else:
-        held = lines.groupBy("digest", "doc_id").agg().groupBy("digest").agg(F.min("doc_id").alias("keeper"), F.count("*").alias("n"))
+        held = lines.select("digest", "doc_id").distinct().groupBy("digest").agg(F.min("doc_id").alias("keeper"), F.count("*").alias("n"))
         shared = held.where(F.col("n") >= min_docs).select("digest", "keeper")
     drops = (
         lines.join(shared, "digest")

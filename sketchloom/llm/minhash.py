@@ -6,6 +6,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -139,11 +140,51 @@ def bag_minhash(owner: np.ndarray, element: np.ndarray, count: np.ndarray, n: in
     return tag
 
 
-def overlap(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
-    """Weighted Jaccard similarity of two multisets of (sorted hashes, counts)."""
-    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    both = np.minimum(a[1][i], b[1][j]).sum()
-    return float(both / (a[1].sum() + b[1].sum() - both))
+def overlaps(texts: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the shingle multisets of some texts and the sizes of their pairwise intersections.
+
+    A shingle that stands k times is k levels, and every level that two texts or more have is a
+    column of bits; columns are taken in slices, so that memory doesn't grow with them.
+    """
+    owner, hashed, count = shingles(texts, width)
+    n = len(texts)
+    total = np.bincount(owner, weights=count, minlength=n).astype(np.int64)
+    index = np.repeat(np.arange(len(owner)), count)
+    level = np.arange(len(index)) - np.repeat(np.cumsum(count) - count, count)
+    _, column, df = np.unique(hashed[index] + level.astype(np.uint64) * INVERSE, return_inverse=True, return_counts=True)
+    kept = df > 1
+    place = np.cumsum(kept) - 1
+    shared = kept[column]
+    row, column = owner[index][shared], place[column[shared]]
+    both = np.zeros((n, n), np.int64)
+    slice_ = 1 << 15
+    for begin in range(0, int(kept.sum()), slice_):
+        here = (column >= begin) & (column < begin + slice_)
+        wide = min(slice_, int(kept.sum()) - begin)
+        bits = np.zeros((n, -(-wide // 64) * 64), bool)
+        bits[row[here], column[here] - begin] = True
+        words = np.packbits(bits, axis=1).view(np.uint64)
+        step = max(1, (1 << 22) // max(1, n * words.shape[1]))
+        for i in range(0, n, step):
+            both[i : i + step] += np.bitwise_count(words[i : i + step, None] & words[None]).sum(axis=2, dtype=np.int64)
+    return total, both
+
+
+def forest(nodes: np.ndarray, texts: list[bytes], similarity: float, width: int) -> list[tuple[int, int]]:
+    """Links (node, smallest node of its part) that join what overlaps by `similarity` among the texts."""
+    total, both = overlaps(texts, width)
+    near = both >= similarity * (total[:, None] + total[None] - both) * (1 - 1e-12)
+    np.fill_diagonal(near, True)
+    order = np.argsort(nodes, kind="stable")
+    rank = np.empty(len(nodes), np.int64)
+    rank[order] = np.arange(len(nodes))
+    while True:
+        least = np.array([rank[x].min() for x in near])
+        if (least == rank).all():
+            break
+        rank = least
+    roots = nodes[order][rank]
+    return [(int(a), int(b)) for a, b in zip(nodes, roots, strict=True) if a != b]
 
 
 SIGNED = "doc_id long, digest binary, bands array<long>, sketch binary"
@@ -174,44 +215,82 @@ def signed(docs: DataFrame, bands: int, rows: int, width: int, seed: int = 0) ->
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED)
 
 
-def likely(pairs: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose sketches agree in at least the share `least` of places."""
+def compared(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """a, b and alike, the share of places in which their sketches agree."""
     both = pairs.join(sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(
         sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sketch_b")), "b"
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            x, y = (np.array([np.frombuffer(s, np.uint16) for s in batch.column(c).to_pylist()]) for c in ("sketch_a", "sketch_b"))
-            keep = (x == y).mean(axis=1) >= least if batch.num_rows else np.zeros(0, bool)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            if batch.num_rows:
+                x, y = (np.array([np.frombuffer(s, np.uint16) for s in batch.column(c).to_pylist()]) for c in ("sketch_a", "sketch_b"))
+                yield pa.record_batch([batch.column("a"), batch.column("b"), pa.array((x == y).mean(axis=1))], names=["a", "b", "alike"])
+
+    return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long, alike double")
 
-    return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long")
 
+def candidate_groups(heads: DataFrame, similarity: float, places: int) -> DataFrame:
+    """node and class of all nodes that may be linked: links lie within one class.
 
-def verified(pairs: DataFrame, docs: DataFrame, similarity: float, width: int) -> DataFrame:
-    """The pairs (a, b) whose whole texts overlap by at least `similarity`, with that overlap."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = written(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(ends, "doc_id").dropDuplicates(["doc_id"]), "candidates")
-    both = pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a").join(
-        texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b"
+    In each bucket every member's sketch is compared with the smallest member's. Distance is a
+    metric, so with d = 1 - similarity two linked members are both within 2d of it, where one of
+    them is within d; or else both are further than d. Members within 3d join its class, and those
+    beyond 2d form the bucket of the next round, until none has two members: a bucket costs its
+    size in each round. Both limits leave four standard errors of a sketch.
+    """
+    far = 1 - similarity
+    sketches = heads.select("doc_id", "sketch")
+    error = lambda x: 4 * (x * (1 - x) / places) ** 0.5
+    joins = 1 - 3 * far - error(1 - 3 * far)
+    stays = 1 - 2 * far + error(1 - 2 * far)
+    rest = heads.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
+    links = None
+    while True:
+        pivots = rest.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("band", "pivot")
+        met = written(rest.join(written(pivots, "pivots"), "band").where("node <> pivot"), "buckets")
+        pairs = met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
+        alike = written(compared(pairs, sketches), "alike")
+        more = alike.where(F.col("alike") >= joins).select("a", "b")
+        links = more if links is None else links.union(more)
+        beyond = alike.where(F.col("alike") < stays).select(F.col("a").alias("pivot"), F.col("b").alias("node"))
+        rest = written(met.join(beyond, ["pivot", "node"]).select("node", "band"), "rest")
+        if rest.isEmpty():
+            return connected(links)
+
+
+def near_links(docs: DataFrame, groups: DataFrame, similarity: float, width: int, most_rows: int = 2048, most_bytes: int = 8_000_000) -> DataFrame:
+    """Links (a, b) between texts of one class of candidates, enough to connect all that overlap by `similarity`.
+
+    Whole texts are compared in blocks of about `most_rows` rows and `most_bytes` bytes: a larger
+    class has several blocks, each of which meets all its others; small classes share a block.
+    """
+    spare = written(
+        docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(groups, "node").dropDuplicates(["node"]),
+        "candidates",
+    )
+    size = F.greatest(F.count("*") / most_rows, F.sum(F.octet_length("text")) / most_bytes)
+    sizes = spare.groupBy("class").agg(size.alias("size"))
+    whole = sizes.agg(F.sum("size")).first()[0] or 0
+    bins = int(whole * 2) + 1
+    blocks = written(sizes.withColumn("n", F.when(F.col("size") > 0.5, F.ceil("size")).otherwise(0).cast("int")), "sizes")
+    large = F.col("n") > 0
+    own = F.pmod(F.xxhash64("node"), F.col("n")).cast("int")
+    others = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct(F.least(own, k).alias("i"), F.greatest(own, k).alias("j")))
+    alone = F.array(F.struct(F.pmod(F.xxhash64("class"), F.lit(bins)).cast("int").alias("i"), F.lit(-1).alias("j")))
+    dealt = (
+        spare.join(blocks.select("class", "n"), "class")
+        .withColumn("at", F.explode(F.when(large, others).otherwise(alone)))
+        .select("node", "text", "class", F.when(large, F.col("class")).otherwise(-1).alias("of"), "at.i", "at.j")
     )
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b = ([(x or "").encode() for x in batch.column(c).to_pylist()] for c in ("text_a", "text_b"))
-            found = []
-            for begin, end in chunks([len(x) + len(y) for x, y in zip(a, b, strict=True)], 1_000_000):
-                owner, hashed, count = shingles(a[begin:end] + b[begin:end], width)
-                edges = np.searchsorted(owner, np.arange(2 * (end - begin) + 1))
-                bag = [(hashed[i:j], count[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
-                found += [overlap(x, y) for x, y in zip(bag[: end - begin], bag[end - begin :], strict=True)]
-            alike = pa.array(found, pa.float64())
-            yield pa.record_batch([batch.column("a"), batch.column("b"), alike], names=["a", "b", "similarity"]).filter(
-                pa.array([x >= similarity for x in found], pa.bool_())
-            )
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        for _, part in rows.groupby("class"):
+            out += forest(part["node"].to_numpy(), [x.encode() for x in part["text"]], similarity, width)
+        return pd.DataFrame(out, columns=["a", "b"])
 
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, similarity double")
+    return dealt.groupBy("of", "i", "j").applyInPandas(link, "a long, b long")
 
 
 def near_classes(docs: DataFrame, similarity: float = 0.8, width: int = 5, bands: int = 24, rows: int = 4) -> DataFrame:
@@ -221,43 +300,21 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, width: int = 5, bands
     at least `similarity` (weighted Jaccard); classes are what chains of such links connect. Words
     are runs of digits, letters and non-ASCII characters, with A-Z in lower case.
 
-    Equal texts form one node, whatever their number. Nodes that share a band meet in rounds: first
-    every member meets its bucket's smallest member; links found so join nodes into classes; then
-    members outside their bucket's largest class meet all the others of another class. So a bucket
-    of any size costs its size, but for members that nothing joins, and none is dropped. Pairs
-    whose sketches agree far less often than `similarity` asks are not looked at; the rest is
-    verified on whole texts.
+    Equal texts form one node, whatever their number. Nodes that share a band are candidates; their
+    sketches put those that may be linked into classes of candidates, and within these whole texts
+    are compared, all with all, in blocks. No bucket or class has a limit.
 
     Null text counts as empty; all empty texts are copies of each other. Rows without a doc_id are
     left out. Of rows that repeat a doc_id one text counts. An empty table gives no rows.
     """
     signatures = written(signed(docs.where("doc_id is not null"), bands, rows, width), "signatures")
-    nodes = signatures.groupBy("digest").agg(F.min("doc_id").alias("node"))
-    members = written(signatures.select("doc_id", "digest").join(nodes, "digest").groupBy("doc_id").agg(F.min("node").alias("node")), "members")
-    heads = signatures.join(members.where("doc_id = node").select("doc_id"), "doc_id").dropDuplicates(["doc_id"])
-    sketches = heads.select("doc_id", "sketch")
-    posted = heads.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
-    shared = posted.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("band", "pivot")
-    buckets = written(posted.join(shared, "band"), "buckets")
-
-    least = similarity - 5 * (similarity * (1 - similarity) / (bands * rows)) ** 0.5
-    to_pivot = buckets.where("node <> pivot").select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    links = written(verified(written(likely(to_pivot, sketches, least), "likely"), docs, similarity, width), "links")
-    classes = connected(links.select("a", "b"))
-
-    known = buckets.join(classes, "node", "left").withColumn("of", F.coalesce("class", "node")).select("band", "node", "pivot", "of")
-    sizes = known.groupBy("band", "of").agg(F.count("*").alias("n"))
-    largest = sizes.groupBy("band").agg(F.max(F.struct("n", "of")).alias("top"), F.count("*").alias("kinds")).where("kinds > 1")
-    open_ = written(known.join(largest.select("band", F.col("top.of").alias("main")), "band"), "open")
-    outside = open_.where("of <> main").select("band", F.col("node").alias("x"), F.col("of").alias("of_x"))
-    rest = (
-        outside.join(open_, "band")
-        .where("of <> of_x and x <> pivot and node <> pivot")
-        .select(F.least("x", "node").alias("a"), F.greatest("x", "node").alias("b"))
-        .distinct()
-    )
-    more = written(verified(written(likely(rest, sketches, least), "likely"), docs, similarity, width), "links")
-    classes = connected(links.select("a", "b").union(more.select("a", "b")))
+    nodes = written(signatures.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
+    members = written(signatures.select("doc_id", "digest").join(nodes, "digest").select("doc_id", "node"), "members")
+    members = members.groupBy("doc_id").agg(F.min("node").alias("node"))
+    heads = signatures.join(nodes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id"])
+    heads = written(heads.select("doc_id", "bands", "sketch"), "heads")
+    groups = candidate_groups(heads, similarity, bands * rows)
+    classes = connected(near_links(docs, groups, similarity, width))
     return members.join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))
 
 
