@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -12,40 +14,83 @@ from pyspark.sql import functions as F
 
 from .common import chunks, written
 
-#: Separators at which a text may be cut without changing any token.
-BREAKS = str.maketrans("\n\t", "  ")
 #: Kept by a Python worker for its later tasks, by path.
 _encoders: dict[str, WordEncoder] = {}
 
 
 class WordEncoder:
-    """Token ids of whole texts by the tokenizers library, word by word with a memory of words.
+    """Token ids of whole texts by the tokenizers library, with a memory of words and their parts.
 
     The tokenizer drops white space and no token spans it, so a text's ids are those of its words
-    one after the other. Texts of characters below U+0100 are lower-cased first, as the tokenizer
-    itself would.
+    one after the other. Words of printable characters below U+0100 are cut further into the parts
+    that the tokenizer takes apart (contractions, runs of letters, numbers, other signs), so that
+    the library sees each part once. All other words go to it as they are.
     """
 
-    def __init__(self, path: str, end_id: int, most: int = 400_000):
-        import os
+    #: The tokenizer's parts, for characters below U+0100.
+    PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_)+")
+    PLAIN = re.compile(r"[!-~¡-ÿ]+")
+    #: A full stop or comma that may belong to a longer run of signs.
+    RUN = re.compile(r"[^\w ][.,] |_[.,] ")
 
+    def __init__(self, path: str, end_id: int, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.lib, self.end, self.most = Tokenizer.from_file(path), np.array([end_id], "<u2").tobytes(), most
-        self.seen: dict[str, bytes] = {}
+        self.lib, self.end = Tokenizer.from_file(path), np.array([end_id], "<u2").tobytes()
+        vocabulary = self.lib.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # the ids that end a part
+        self.closes[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.most = most
+        self.words: dict[str, bytes] = {"": b""}
+
+    def _learn_parts(self, new: list[str], step: int = 500) -> None:
+        for b in range(0, len(new), 40 * step):
+            joined = [" ".join(new[i : i + step]) for i in range(b, min(len(new), b + 40 * step), step)]
+            for k, x in enumerate(self.lib.encode_batch_fast(joined, add_special_tokens=False)):
+                ids = np.array(x.ids, "<u2")
+                raw, ends = ids.tobytes(), (2 * np.flatnonzero(self.closes[ids]) + 2).tolist()
+                own = new[b + k * step : b + (k + 1) * step]
+                if len(ends) != len(own):
+                    raise ValueError("a part was not tokenized by itself")
+                self.words.update(zip(own, [raw[i:j] for i, j in zip([0, *ends], ends, strict=False)], strict=True))
+
+    def _learn(self, new: set[str]) -> None:
+        parts, cut, strange = [], {}, []
+        for w in new:
+            if w.isalpha() and self.PLAIN.fullmatch(w) and w == w.lower():
+                parts.append(w)
+            elif not self.PLAIN.fullmatch(w) or "<|" in w:
+                strange.append(w)
+            else:
+                cut[w] = self.PART.findall(w.lower())
+        more = set().union(*cut.values()) - self.words.keys()
+        self._learn_parts(parts + list(more.difference(parts)))
+        for w, own in cut.items():
+            self.words[w] = b"".join([self.words[x] for x in own])
+        for w, x in zip(strange, self.lib.encode_batch_fast(strange, add_special_tokens=False), strict=True):
+            self.words[w] = np.array(x.ids, "<u2").tobytes()
+
+    def _split(self, text: str) -> list[str]:
+        """The text's words; full stops and commas that stand alone after a word are words too."""
+        try:
+            text.encode("latin-1")
+            text = text.lower()  # simple for these characters; the tokenizer does the same
+        except UnicodeEncodeError:
+            pass
+        text = text.replace("\n", " ")
+        if not self.RUN.search(text):
+            text = text.replace(". ", " . ").replace(", ", " , ")
+        return text.split(" ")
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text and the end id, as little-endian unsigned 16-bit numbers."""
-        seen = self.seen
-        if len(seen) > self.most:
-            seen.clear()
-        split = [(t.lower() if t.isascii() or max(t) < "\u0100" else t).translate(BREAKS).split(" ") for t in texts]
-        new = list({w for words in split for w in words if w not in seen})
-        for b, e in chunks([1] * len(new), 20_000):
-            for w, x in zip(new[b:e], self.lib.encode_batch_fast(new[b:e], add_special_tokens=False), strict=True):
-                seen[w] = np.array(x.ids, "<u2").tobytes()
-        return [b"".join([seen[w] for w in words]) + self.end for words in split]
+        if len(self.words) > self.most:
+            self.words = {"": b""}
+        split = [self._split(t) for t in texts]
+        self._learn(set().union(*split) - self.words.keys())
+        known = self.words.__getitem__
+        return [b"".join(map(known, words)) + self.end for words in split]
 
 
 def tokenized(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
