@@ -115,7 +115,7 @@ def bag_minhash(owner: np.ndarray, element: np.ndarray, count: np.ndarray, n: in
         at = np.flatnonzero(todo[who])
         state, rate = seed[at], width[at] * float(m)
         now = np.zeros(len(at))
-        step = np.uint64(0)
+        step = np.zeros(1, np.uint64)
         points: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         while len(at):
             step += np.uint64(1)
