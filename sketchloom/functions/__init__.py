@@ -91,11 +91,10 @@ def accession_of(path: Column) -> Column:
 
 
 def human_time(seconds: Column) -> Column:
-    """Seconds as s, min or h with one decimal."""
+    """Seconds as s, min or h with one decimal, half up."""
+    shown = lambda x, unit: F.concat(F.format_string("%.1f", F.floor(x * 10 + 0.5) / 10), F.lit(unit))
     return (
-        F.when(seconds < 60, F.concat(F.format_string("%.1f", seconds), F.lit(" s")))
-        .when(seconds < 3600, F.concat(F.format_string("%.1f", seconds / 60), F.lit(" min")))
-        .otherwise(F.concat(F.format_string("%.1f", seconds / 3600), F.lit(" h")))
+        F.when(seconds < 60, shown(seconds, " s")).when(seconds < 3600, shown(seconds / 60, " min")).otherwise(shown(seconds / 3600, " h"))
     )
 
 

@@ -199,8 +199,8 @@ def hits(spark, d, least=0.05, top=None):
     return S.vector_hits(v.where("vec_id % 20 = 0"), v, least, top)
 
 
-HITS = VECTORS + """, p AS (SELECT x.vec_id AS query_idx, y.vec_id, list_inner_product(x.e, y.e) AS dot, list_inner_product(x.e, x.e) + list_inner_product(y.e, y.e) AS both FROM v x, v y WHERE x.vec_id % 20 = 0),
-hits AS (SELECT query_idx, vec_id, dot, CASE WHEN both - dot > 0 THEN dot / (both - dot) ELSE 0 END AS jaccard FROM p)"""
+HITS = VECTORS + """, p AS (SELECT x.vec_id AS query_idx, y.vec_id, list_inner_product(x.e, y.e) AS dot, list_inner_product(x.e, x.e) + list_inner_product(y.e, y.e) AS norms FROM v x, v y WHERE x.vec_id % 20 = 0),
+hits AS (SELECT query_idx, vec_id, dot, CASE WHEN norms - dot > 0 THEN dot / (norms - dot) ELSE 0 END AS jaccard FROM p)"""
 
 
 @query("dot_product", f"WITH {HITS} SELECT query_idx, vec_id, round(dot, 6) AS dot FROM hits WHERE jaccard >= 0.05")
@@ -500,7 +500,8 @@ def size_report(spark, d):
     return table(spark, d, "documents").groupBy("source").agg(F.count("*").alias("files"), F.sum("n_chars").alias("bytes"), F.round(F.sum("n_chars") / 1048576.0, 3).alias("mib"))
 
 
-@query("human_time", """SELECT event_id, CASE WHEN value * 100 < 60 THEN printf('%.1f s', value * 100) WHEN value * 100 < 3600 THEN printf('%.1f min', value * 100 / 60) ELSE printf('%.1f h', value * 100 / 3600) END AS took FROM events""")
+@query("human_time", """SELECT event_id, CASE WHEN s < 60 THEN printf('%.1f s', floor(s * 10 + 0.5) / 10) WHEN s < 3600 THEN printf('%.1f min', floor(s / 60 * 10 + 0.5) / 10) ELSE printf('%.1f h', floor(s / 3600 * 10 + 0.5) / 10) END AS took
+  FROM (SELECT event_id, value * 100 AS s FROM events)""")
 def human_time(spark, d):
     return table(spark, d, "events").select("event_id", X.human_time(F.col("value") * 100).alias("took"))
 

@@ -11,6 +11,7 @@ import struct
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HEAD = struct.Struct("<4sQQIQQ")
@@ -44,11 +45,21 @@ def unpack(blob: bytes) -> np.ndarray:
     return ((at - np.arange(n)).astype(np.uint64) << np.uint64(low)) | lows
 
 
-@F.pandas_udf("binary")
-def ef_encode(sets: pd.Series) -> pd.Series:
-    return sets.map(lambda x: None if x is None else pack(x))
+def ef_encode(sets: str | Column) -> Column:
+    """A column of sorted arrays of longs as blobs; null stays null."""
 
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: None if x is None else pack(x))
 
-@F.pandas_udf("array<long>")
-def ef_decode(blobs: pd.Series) -> pd.Series:
-    return blobs.map(lambda x: None if x is None else unpack(x).astype(np.int64))
+    run.__annotations__ = {"values": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "binary")(sets)
+
+
+def ef_decode(blobs: str | Column) -> Column:
+    """A column of blobs as sorted arrays of longs; null stays null."""
+
+    def run(values: pd.Series) -> pd.Series:
+        return values.map(lambda x: None if x is None else unpack(x).astype(np.int64))
+
+    run.__annotations__ = {"values": pd.Series, "return": pd.Series}
+    return F.pandas_udf(run, "array<long>")(blobs)
