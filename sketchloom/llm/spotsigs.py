@@ -59,54 +59,65 @@ def as_text(spots: Column) -> Column:
     return F.array_join(F.transform(spots, lambda x: F.lower(F.hex(x.cast("long").bitwiseAND(0xFFFFFFFF)))), " ")
 
 
-def followers(docs: DataFrame) -> DataFrame:
-    """doc_id, mark, n, next_id and next_mark: each document and the next by ascending doc_id.
+def keyed(docs: DataFrame) -> DataFrame:
+    """doc_id, text and two keys that are never null: `at` (doc_id, the least long for null) and `mark` (hash of the text)."""
+    at = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns({"at": at, "mark": F.xxhash64("text", F.col("doc_id").isNull())})
 
-    Documents are distinct pairs of doc_id and text (mark is the text's hash); null ids come first,
-    texts of one id by mark, and the first follows the last. doc_ids are dealt into ranges; within
-    a range the next is a window's lead, and the last of a range is followed by the first of the
-    next range, of which there are as many as shuffle partitions.
+
+def followers(texts: DataFrame) -> DataFrame:
+    """at, mark, n, next_at and next_mark: each document and the next by ascending doc_id.
+
+    Documents are distinct pairs of doc_id and text; null ids come first, texts of one id by mark,
+    and the first follows the last. doc_ids are dealt into ranges; within a range the next is a
+    window's lead, and the last of a range is followed by the first of the next range, of which
+    there are as many as shuffle partitions.
     """
-    ids = docs.select("doc_id", F.xxhash64("text").alias("mark"), F.char_length("text").alias("n")).distinct()
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = written(ids.repartitionByRange(parts, "doc_id", "mark").withColumn("part", F.spark_partition_id()), "ranges")
-    key = F.struct("doc_id", "mark")
-    inside = Window.partitionBy("part").orderBy("doc_id", "mark")
+    ids = texts.select("at", "mark", F.char_length("text").alias("n")).distinct()
+    parts = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = written(ids.repartitionByRange(parts, "at", "mark").withColumn("part", F.spark_partition_id()), "ranges")
+    key = F.struct("at", "mark")
+    inside = Window.partitionBy("part").orderBy("at", "mark")
     over = Window.orderBy("part")
     heads = ranged.groupBy("part").agg(F.min(key).alias("head"))
-    heads = heads.select(
-        "part", F.coalesce(F.lead("head").over(over), F.first("head").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after")
-    )
+    first = F.first("head").over(over.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    heads = heads.select("part", F.coalesce(F.lead("head").over(over), first).alias("after"))
     return (
         ranged.withColumn("follows", F.lead(key).over(inside))
         .join(heads, "part")
         .withColumn("follows", F.coalesce("follows", "after"))
-        .select("doc_id", "mark", "n", F.col("follows.doc_id").alias("next_id"), F.col("follows.mark").alias("next_mark"))
+        .select("at", "mark", "n", F.col("follows.at").alias("next_at"), F.col("follows.mark").alias("next_mark"))
     )
 
 
 def fingerprint_report(docs: DataFrame, chain: int = 2) -> DataFrame:
     """Fingerprints of every text and of its edited text, and how alike they and the next one's are.
 
-    The edited text ends in the beginning of the next document instead of its own last quarter.
+    The edited text ends in the beginning of the next document instead of its own last quarter;
+    next_id is that document. Texts are shuffled once, by document; the next one's beginning and
+    signatures are sent to the document before.
+
     Null text counts as empty, whose edited text is empty. Rows that repeat a doc_id and text are
     one document in the order and get a row each; a table of one document follows itself; an empty
     table gives no rows; other columns are left out.
     """
-    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = keyed(docs)
     order = followers(texts)
-    copies = Window.partitionBy("doc_id", "mark").orderBy(F.lit(0))
-    keyed = texts.withColumn("mark", F.xxhash64("text")).withColumn("copy", F.row_number().over(copies))
-    heads = order.select(F.col("next_id"), F.col("next_mark"), F.floor(F.col("n") / 4).cast("int").alias("take"), F.col("doc_id").alias("for_id"), F.col("mark").alias("for_mark"))
-    giving = keyed.where("copy = 1").join(heads, F.col("doc_id").eqNullSafe(F.col("next_id")) & (F.col("mark") == F.col("next_mark")))
-    giving = with_spots(giving.select("for_id", "for_mark", "take", "text"), "text", "next_spots", chain).select(
-        "for_id", "for_mark", "next_spots", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("borrowed")
+    copies = Window.partitionBy("at", "mark").orderBy("at")
+    dealt = texts.withColumn("first", F.lag(F.lit(1)).over(copies).isNull())
+    heads = order.select("next_at", "next_mark", F.floor(F.col("n") / 4).cast("int").alias("take"), F.col("at").alias("for_at"), F.col("mark").alias("for_mark"))
+    giving = dealt.where("first").join(heads, (F.col("at") == F.col("next_at")) & (F.col("mark") == F.col("next_mark")))
+    giving = with_spots(giving.select("for_at", "for_mark", "take", "text", F.col("doc_id").alias("next_id")), "text", "next_spots", chain).select(
+        "for_at", "for_mark", "next_id", "next_spots", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("borrowed")
     )
     n = F.char_length("text")
-    own = (
-        keyed.drop("copy")
-        .join(giving, F.col("doc_id").eqNullSafe(F.col("for_id")) & (F.col("mark") == F.col("for_mark")))
-        .select("doc_id", "text", "next_spots", n.cast("long").alias("n_chars"), F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 4).cast("int")), "borrowed").alias("edited"))
+    own = dealt.join(giving, (F.col("at") == F.col("for_at")) & (F.col("mark") == F.col("for_mark"))).select(
+        "doc_id",
+        "text",
+        "next_id",
+        "next_spots",
+        n.cast("long").alias("n_chars"),
+        F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 4).cast("int")), "borrowed").alias("edited"),
     )
     own = with_spots(with_spots(own, "text", "spots", chain), "edited", "edited_spots", chain)
     return own.select(
@@ -117,4 +128,5 @@ def fingerprint_report(docs: DataFrame, chain: int = 2) -> DataFrame:
         as_text(F.col("edited_spots")).alias("edited_fingerprint"),
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
         likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
+        "next_id",
     )
