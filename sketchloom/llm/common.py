@@ -49,7 +49,7 @@ def ascii_lower(text: Column) -> Column:
 
 def words_of(text: Column) -> Column:
     """Lower-cased words (runs of digits, letters and all non-ASCII characters)."""
-    return F.filter(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), lambda w: w != "")
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_WORD), "")
 
 
 def chunks(sizes: list[int], most: int):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import words_of, written
 
 # The phrases whose places are counted, and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
@@ -31,17 +31,19 @@ TEMPLATES = [
 COMMON = frozenset("a all and any are as by for in is of or that the this to under use with without not 0 1 2 3 4".split())
 
 
-def places(words: Column, starts: Column, phrase: str) -> Column:
-    """Those of the starts at which the phrase's words stand."""
-    first, *rest = phrase.split()
+def places(words: Column, found: Column, phrase: str) -> Column:
+    """The starts at which the phrase's words stand, by the places of its first word that is not common."""
+    parts = phrase.split()
+    k = next(i for i, w in enumerate(parts) if w not in COMMON)
 
-    def fits(i: Column) -> Column:
-        hit = F.get(words, i) == first
-        for k, w in enumerate(rest, 1):
-            hit = hit & F.coalesce(F.get(words, i + k) == w, F.lit(False))
+    def fits(x: Column) -> Column:
+        hit = x["word"] == parts[k]
+        for i, w in enumerate(parts):
+            if i != k:
+                hit = hit & F.coalesce(F.get(words, x["pos"] + (i - k)) == w, F.lit(False))
         return hit
 
-    return F.filter(starts, fits)
+    return F.transform(F.filter(found, fits), lambda x: x["pos"] - k)
 
 
 def scan_licenses(docs: DataFrame, look_up: int = 8, least_score: float = 0.6) -> DataFrame:
@@ -59,42 +61,41 @@ def scan_licenses(docs: DataFrame, look_up: int = 8, least_score: float = 0.6) -
     spark = docs.sparkSession
     rare = [[(w, i) for i, w in enumerate(text.split()) if w not in COMMON] for _, text, _ in TEMPLATES]
     vocabulary = sorted({w for t in rare for w, _ in t})
-    known = F.array(*[F.lit(w) for w in vocabulary])
-    words = F.col("words")
-    texts = docs.select("doc_id", words_of(F.col("text")).alias("words"))
-
-    seen = texts.select(F.explode(F.array_intersect(words, known)).alias("w")).groupBy("w").count().collect()
-    often = {r.w: r["count"] for r in seen}
-    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (often.get(w, 0), w)))}
-    ranks = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
     phrases = sorted({p for _, _, needed in TEMPLATES for p in needed})
     need = [F.array(*[F.lit(phrases.index(p)) for p in needed]) for _, _, needed in TEMPLATES]
+    known = sorted({w for t in [*phrases, *(p for p, _ in BASE)] for w in t.split() if w not in COMMON}.union(vocabulary))
 
-    firsts = sorted({p.split()[0] for p, _ in BASE})
-    n = F.size(words)
-    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    starts = F.col("starts")
+    words, met = F.col("words"), F.col("met")
+    texts = docs.select("doc_id", words_of(F.col("text")).alias("words")).withColumn(
+        "met", F.array_compact(F.transform(words, lambda w, i: F.when(w.isin(known), F.struct(w.alias("word"), i.alias("pos")))))
+    )
+    read = written(
+        texts.select(
+            F.monotonically_increasing_id().alias("row"),
+            "doc_id",
+            F.size(words).cast("long").alias("n_words"),
+            F.filter(met, lambda x: x["word"].isin(vocabulary)).alias("found"),
+            F.when(F.size(met) > 0, F.array_compact(F.array(*[F.when(F.size(places(words, met, p)) > 0, F.lit(i)) for i, p in enumerate(phrases)])))
+            .otherwise(F.array().cast("array<int>"))
+            .alias("stands"),
+            *[places(words, met, p).alias(f"base{k}") for k, (p, _) in enumerate(BASE)],
+        ),
+        "licences",
+    )
+
+    seen = read.select(F.explode(F.array_distinct(F.col("found.word"))).alias("w")).groupBy("w").count().collect()
+    often = {r.w: r["count"] for r in seen}  # a row for each word of the templates at most
+    rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (often.get(w, 0), w)))}
+    ranks = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
     scanned = (
-        texts.withColumn("row", F.monotonically_increasing_id())
-        .withColumn("starts", F.filter(every, lambda i: F.get(words, i).isin(firsts)))
-        .withColumn("spots", F.filter(every, lambda i: F.get(words, i).isin(vocabulary)))
-        .withColumn("found", F.transform("spots", lambda i: F.struct(F.element_at(ranks, F.get(words, i)).alias("rank"), i.alias("pos"))))
-        .withColumn("top", F.slice(F.array_sort(F.array_distinct(F.transform("found", lambda x: x["rank"]))), 1, look_up))
+        read.withColumn("found", F.transform("found", lambda x: F.struct(F.element_at(ranks, x["word"]).alias("rank"), x["pos"].alias("pos"))))
+        .withColumn("top", F.slice(F.array_sort(F.array_distinct(F.col("found.rank"))), 1, look_up))
         .withColumn("found", F.filter("found", lambda x: F.array_contains(F.col("top"), x["rank"])))
-        .withColumn("plain", F.when(F.size("spots") > 0, F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))))
-        .withColumn(
-            "stands",
-            F.when(
-                F.col("plain").isNotNull(),
-                F.array_compact(F.array(*[F.when(F.contains("plain", F.lit(f" {p} ")), F.lit(i)) for i, p in enumerate(phrases)])),
-            ),
-        )
-        .withColumns({f"base{k}": places(words, starts, p) for k, (p, _) in enumerate(BASE)})
         .withColumn("all_base", F.flatten(F.array(*[F.col(f"base{k}") for k in range(len(BASE))])))
         .select(
             "row",
             "doc_id",
-            n.cast("long").alias("n_words"),
+            "n_words",
             F.size("all_base").cast("long").alias("n_base"),
             F.array_min("all_base").cast("long").alias("first_word"),
             F.array_max("all_base").cast("long").alias("last_word"),
