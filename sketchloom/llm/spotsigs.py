@@ -24,15 +24,15 @@ def with_spots(df: DataFrame, text: str, name: str, chain: int = 2) -> DataFrame
     """
     words, content = F.col("_sp_words"), F.col("_sp_content")
     n = F.size(words)
-    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
     # before the j-th anchor, at word i, stand i - j content words
-    spot = lambda i, j: F.when(
-        F.get(content, i - j + chain - 1).isNotNull(), F.hash(F.get(words, i), *[F.get(content, i - j + k) for k in range(chain)])
+    spot = lambda x, j: F.when(
+        F.get(content, x["i"] - j + chain - 1).isNotNull(), F.hash(x["w"], *[F.get(content, x["i"] - j + k) for k in range(chain)])
     )
+    anchor = lambda w, i: F.when(w.isin(ANCHORS), F.struct(w.alias("w"), i.alias("i")))
     return (
         df.withColumn("_sp_words", words_of(F.col(text)))
         .withColumn("_sp_content", F.filter("_sp_words", lambda w: ~w.isin(ANCHORS)))
-        .withColumn("_sp_at", F.filter(every, lambda i: F.get(words, i).isin(ANCHORS)))
+        .withColumn("_sp_at", F.array_compact(F.transform("_sp_words", anchor)))
         .withColumn("_sp_spots", F.array_sort(F.array_distinct(F.array_compact(F.transform("_sp_at", spot)))))
         .withColumn(
             name,
