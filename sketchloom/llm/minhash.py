@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -230,7 +231,19 @@ def compared(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
     return both.select("a", "b", "sketch_a", "sketch_b").mapInArrow(run, "a long, b long, alike double")
 
 
-def candidate_groups(heads: DataFrame, similarity: float, places: int) -> DataFrame:
+def settled(band: np.ndarray, node: np.ndarray, sketch: np.ndarray, joins: float, stays: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Links (pivots, nodes) of all bands of a block: the rounds of `candidate_groups` on arrays."""
+    at = np.lexsort((node, band))
+    while len(at):
+        head = np.ones(len(at), bool)
+        head[1:] = band[at][1:] != band[at][:-1]
+        pivot, own = at[np.flatnonzero(head)[np.cumsum(head) - 1]][~head], at[~head]
+        alike = (sketch[pivot] == sketch[own]).mean(axis=1)
+        yield node[pivot[alike >= joins]], node[own[alike >= joins]]
+        at = own[alike < stays]
+
+
+def candidate_groups(heads: DataFrame, similarity: float, places: int, most_rows: int = 2048, rounds: int = 4) -> DataFrame:
     """node and class of all nodes that may be linked: links lie within one class.
 
     In each bucket every member's sketch is compared with the smallest member's. Distance is a
@@ -238,6 +251,10 @@ def candidate_groups(heads: DataFrame, similarity: float, places: int) -> DataFr
     them is within d; or else both are further than d. Members within 3d join its class, and those
     beyond 2d form the bucket of the next round, until none has two members: a bucket costs its
     size in each round. Both limits leave four standard errors of a sketch.
+
+    While a bucket has over `most_rows` members, up to `rounds` rounds run over all tables, which
+    thins out buckets of near copies. The other rounds run inside blocks of buckets; a bucket that
+    is still larger is dealt into several blocks, each of which meets all its others.
     """
     far = 1 - similarity
     sketches = heads.select("doc_id", "sketch")
@@ -245,18 +262,38 @@ def candidate_groups(heads: DataFrame, similarity: float, places: int) -> DataFr
     joins = 1 - 3 * far - error(1 - 3 * far)
     stays = 1 - 2 * far + error(1 - 2 * far)
     rest = heads.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
-    links = None
-    while True:
-        pivots = rest.groupBy("band").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last").select("band", "pivot")
-        met = written(rest.join(written(pivots, "pivots"), "band").where("node <> pivot"), "buckets")
+    links = []
+    for k in range(rounds + 1):
+        sizes = written(rest.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1"), "sizes")
+        largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
+        if k == rounds or (largest or 0) <= most_rows:
+            break
+        met = written(rest.join(sizes.select("band", "pivot"), "band").where("node <> pivot"), "buckets")
         pairs = met.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
         alike = written(compared(pairs, sketches), "alike")
-        more = alike.where(F.col("alike") >= joins).select("a", "b")
-        links = more if links is None else links.union(more)
+        links.append(alike.where(F.col("alike") >= joins).select("a", "b"))
         beyond = alike.where(F.col("alike") < stays).select(F.col("a").alias("pivot"), F.col("b").alias("node"))
         rest = written(met.join(beyond, ["pivot", "node"]).select("node", "band"), "rest")
-        if rest.isEmpty():
-            return connected(links)
+
+    bins = int((total or 0) / most_rows) + 1
+    n = F.ceil(F.col("n") / most_rows).cast("int")
+    own = F.pmod(F.xxhash64("node"), n).cast("int")
+    others = F.transform(F.sequence(F.lit(0), n - 1), lambda x: F.struct(F.least(own, x).alias("i"), F.greatest(own, x).alias("j")))
+    alone = F.array(F.struct(F.pmod(F.xxhash64("band"), F.lit(bins)).cast("int").alias("i"), F.lit(-1).alias("j")))
+    dealt = (
+        rest.join(sizes.select("band", "n"), "band")
+        .join(sketches, F.col("node") == F.col("doc_id"))
+        .withColumn("at", F.explode(F.when(n > 1, others).otherwise(alone)))
+        .select("node", "band", "sketch", (n > 1).alias("large"), F.when(n > 1, F.col("band")).otherwise(-1).alias("of"), "at.i", "at.j")
+    )
+
+    def link(rows: pd.DataFrame) -> pd.DataFrame:
+        sketch = np.array([np.frombuffer(x, np.uint16) for x in rows["sketch"]])
+        found = list(settled(rows["band"].to_numpy(), rows["node"].to_numpy(), sketch, joins, stays))
+        return pd.DataFrame({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([x for _, x in found])}).drop_duplicates()
+
+    links.append(dealt.groupBy("large", "of", "i", "j").applyInPandas(link, "a long, b long"))
+    return connected(written(reduce(DataFrame.union, links), "links"))
 
 
 def near_links(docs: DataFrame, groups: DataFrame, similarity: float, width: int, most_rows: int = 2048, most_bytes: int = 8_000_000) -> DataFrame:
