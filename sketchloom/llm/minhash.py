@@ -243,6 +243,21 @@ def settled(band: np.ndarray, node: np.ndarray, sketch: np.ndarray, joins: float
         at = own[alike < stays]
 
 
+def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links (smallest node of its part, node) that connect what the links (a, b) connect: one a node at most."""
+    nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = at[: len(a)], at[len(a) :]
+    root = np.arange(len(nodes))
+    while (root[x] != root[y]).any():
+        low = np.minimum(root[x], root[y])
+        np.minimum.at(root, root[x], low)
+        np.minimum.at(root, root[y], low)
+        while (root[root] != root).any():
+            root = root[root]
+    under = np.flatnonzero(root != np.arange(len(nodes)))
+    return nodes[root[under]], nodes[under]
+
+
 def candidate_groups(heads: DataFrame, similarity: float, places: int, most_rows: int = 2048, rounds: int = 4) -> DataFrame:
     """node and class of all nodes that may be linked: links lie within one class.
 
@@ -254,7 +269,8 @@ def candidate_groups(heads: DataFrame, similarity: float, places: int, most_rows
 
     While a bucket has over `most_rows` members, up to `rounds` rounds run over all tables, which
     thins out buckets of near copies. The other rounds run inside blocks of buckets; a bucket that
-    is still larger is dealt into several blocks, each of which meets all its others.
+    is still larger is dealt into several blocks, each of which meets all its others. A block returns
+    one link a node at most, however many of its pairs join.
     """
     far = 1 - similarity
     sketches = heads.select("doc_id", "sketch")
@@ -289,8 +305,13 @@ def candidate_groups(heads: DataFrame, similarity: float, places: int, most_rows
 
     def link(rows: pd.DataFrame) -> pd.DataFrame:
         sketch = np.array([np.frombuffer(x, np.uint16) for x in rows["sketch"]])
-        found = list(settled(rows["band"].to_numpy(), rows["node"].to_numpy(), sketch, joins, stays))
-        return pd.DataFrame({"a": np.concatenate([x for x, _ in found]), "b": np.concatenate([x for _, x in found])}).drop_duplicates()
+        a = b = np.zeros(0, np.int64)
+        for pivots, own in settled(rows["band"].to_numpy(), rows["node"].to_numpy(), sketch, joins, stays):
+            a, b = np.concatenate([a, pivots]), np.concatenate([b, own])
+            if len(a) > 8 * len(rows):
+                a, b = spanning(a, b)
+        a, b = spanning(a, b)
+        return pd.DataFrame({"a": a, "b": b})
 
     links.append(dealt.groupBy("large", "of", "i", "j").applyInPandas(link, "a long, b long"))
     return connected(written(reduce(DataFrame.union, links), "links"))
