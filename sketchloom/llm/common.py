@@ -40,6 +40,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def maybe_in(rows: DataFrame, keys: DataFrame, key: str, bits: int = 24) -> DataFrame:
+    """The rows whose long `key` may be among the keys, found without a shuffle of the rows.
+
+    The keys' hashes are marked in bitmaps of 2 ** bits bits in all, 2 MB at most whatever the number
+    of keys, so these may be broadcast. Rows with one of the keys always pass; of the others a
+    share passes that grows with the number of keys, so an exact join has to follow.
+    """
+    place = F.pmod(F.xxhash64(key), F.lit(1 << bits)) + 1
+    bit = F.bitmap_bit_position(place)
+    marked = keys.select(F.bitmap_bucket_number(place).alias("_mi_bucket"), bit.alias("_mi_bit"))
+    maps = marked.groupBy("_mi_bucket").agg(F.bitmap_construct_agg("_mi_bit").alias("_mi_map"))
+    byte = F.conv(F.hex(F.substring("_mi_map", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    met = rows.join(F.broadcast(maps), F.bitmap_bucket_number(place) == F.col("_mi_bucket"))
+    return met.where(F.getbit(byte, F.pmod(bit, F.lit(8)).cast("int")) == 1).select(*[rows[c] for c in rows.columns])
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z in lower case, every other character as it is; pure ASCII takes the fast built-in."""
     return F.when(F.octet_length(text) == F.char_length(text), F.lower(text)).otherwise(

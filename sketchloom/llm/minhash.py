@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, chunks, mix64, written
+from .common import LOWER, UPPER, chunks, maybe_in, mix64, written
 from .components import connected
 
 #: Bytes to their lower-cased word byte, or 0 between words.
@@ -321,12 +321,12 @@ def near_links(docs: DataFrame, groups: DataFrame, similarity: float, width: int
     """Links (a, b) between texts of one class of candidates, enough to connect all that overlap by `similarity`.
 
     Whole texts are compared in blocks of about `most_rows` rows and `most_bytes` bytes: a larger
-    class has several blocks, each of which meets all its others; small classes share a block.
+    class has several blocks, each of which meets all its others; small classes share a block. Texts
+    in no class are sorted out before the shuffle.
     """
-    spare = written(
-        docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text")).join(groups, "node").dropDuplicates(["node"]),
-        "candidates",
-    )
+    groups = written(groups, "groups")
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
+    spare = written(maybe_in(texts, groups, "node").join(groups, "node").dropDuplicates(["node"]), "candidates")
     size = F.greatest(F.count("*") / most_rows, F.sum(F.octet_length("text")) / most_bytes)
     sizes = spare.groupBy("class").agg(size.alias("size"))
     whole = sizes.agg(F.sum("size")).first()[0] or 0

@@ -11,7 +11,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from sketchloom.llm import html_extract, language_id, license_scan, line_dedup, mih, minhash, packing, piece_bpe, spotsigs, url_filter
+from sketchloom.llm import common, html_extract, language_id, license_scan, line_dedup, mih, minhash, packing, piece_bpe, spotsigs, url_filter
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -140,6 +140,29 @@ def test_near_duplicates(spark, docs, empty):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(brute_classes(TEXTS))
 
 
+def test_bitmaps_keep_every_key(spark, empty):
+    keys = spark.range(0, 3000, 3).toDF("node")
+    rows = spark.range(-50, 3000).selectExpr("id as node", "'x' as bitmap", "id as bucket").union(spark.sql("select null, 'x', 1L"))
+    for bits in (4, 16, 24):
+        kept = common.maybe_in(rows, keys, "node", bits)
+        assert kept.columns == rows.columns
+        assert kept.join(keys, "node").count() == keys.count()
+    assert common.maybe_in(rows, keys, "node").count() < 1020
+    assert common.maybe_in(rows, keys.limit(0), "node").count() == 0
+
+
+def test_spanning_links_keep_the_parts():
+    rng = np.random.default_rng(1)
+    a, b = rng.integers(0, 400, 300) * 7, rng.integers(0, 400, 300) * 7
+    root, node = minhash.spanning(a, b)
+    part = {int(x): int(x) for x in {*a.tolist(), *b.tolist()}}
+    for _ in range(len(part)):
+        for x, y in zip(a.tolist(), b.tolist(), strict=True):
+            part[x] = part[y] = min(part[x], part[y])
+    assert {x: y for x, y in part.items() if x != y} == dict(zip(node.tolist(), root.tolist(), strict=True))
+    assert [len(x) for x in minhash.spanning(a[:0], b[:0])] == [0, 0]
+
+
 def test_signature_estimates_weighted_similarity():
     a, b = {1: 4, 2: 1, 3: 7}, {1: 2, 2: 1, 4: 3}
     owner = np.repeat([0, 1], [3, 3])
