@@ -49,11 +49,12 @@ def places(words: Column, found: Column, phrase: str) -> Column:
 def scan_licenses(docs: DataFrame, look_up: int = 8, least_score: float = 0.6) -> DataFrame:
     """doc_id, n_words, n_base, first_word, last_word, base_labels, labels and score of every row.
 
-    Words are counted from 0. Each document looks up the `look_up` rarest licence words it has, by
-    their document frequency over all documents; their places meet the templates' postings, and
-    places that agree on where a template begins are counted. A template's label is given when its
-    share of agreeing words is `least_score` or more and its key phrases stand in the text. score is
-    the best such share, at least 0.5 where a base phrase stands, else 0.
+    Words are counted from 0. The `look_up` rarest words of each template, by their document
+    frequency over all documents, are looked up in every document; all their places meet the
+    templates' postings, and places that agree on where a template begins are counted. A template's
+    label is given when `least_score` or more of its looked-up words agree and its key phrases stand
+    in the text, whatever other notices do. score is the best such share, at least 0.5 where a base
+    phrase stands, else 0.
 
     Null text counts as empty, which has no words and no labels. Repeated rows are scanned one by
     one; an empty table gives no rows; other columns are left out.
@@ -86,11 +87,12 @@ def scan_licenses(docs: DataFrame, look_up: int = 8, least_score: float = 0.6) -
     seen = read.select(F.explode(F.array_distinct(F.col("found.word"))).alias("w")).groupBy("w").count().collect()
     often = {r.w: r["count"] for r in seen}  # a row for each word of the templates at most
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (often.get(w, 0), w)))}
-    ranks = F.create_map(*[F.lit(x) for w, i in rank.items() for x in (w, i)])
+    chosen = [sorted({w for w, _ in t}, key=rank.get)[:look_up] for t in rare]
+    looked = {w: rank[w] for t in chosen for w in t}
+    ranks = F.create_map(*[F.lit(x) for w, i in looked.items() for x in (w, i)])
     scanned = (
-        read.withColumn("found", F.transform("found", lambda x: F.struct(F.element_at(ranks, x["word"]).alias("rank"), x["pos"].alias("pos"))))
-        .withColumn("top", F.slice(F.array_sort(F.array_distinct(F.col("found.rank"))), 1, look_up))
-        .withColumn("found", F.filter("found", lambda x: F.array_contains(F.col("top"), x["rank"])))
+        read.withColumn("found", F.filter("found", lambda x: x["word"].isin(list(looked))))
+        .withColumn("found", F.transform("found", lambda x: F.struct(F.element_at(ranks, x["word"]).alias("rank"), x["pos"].alias("pos"))))
         .withColumn("all_base", F.flatten(F.array(*[F.col(f"base{k}") for k in range(len(BASE))])))
         .select(
             "row",
@@ -105,7 +107,7 @@ def scan_licenses(docs: DataFrame, look_up: int = 8, least_score: float = 0.6) -
         )
     )
     postings = spark.createDataFrame(
-        [(rank[w], t, i, float(min(look_up, len({w for w, _ in rare[t]})))) for t in range(len(TEMPLATES)) for w, i in rare[t]],
+        [(rank[w], t, i, float(len(chosen[t]))) for t in range(len(TEMPLATES)) for w, i in rare[t] if w in chosen[t]],
         "p_rank int, template int, p_pos int, most double",
     )
     needs = F.element_at(F.array(*need), F.col("template") + 1)

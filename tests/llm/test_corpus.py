@@ -190,6 +190,16 @@ def test_licenses(docs, empty):
     assert license_scan.scan_licenses(empty).count() == 0
 
 
+def test_licenses_do_not_displace_each_other(spark):
+    notices = [text for _, text, _ in license_scan.TEMPLATES]
+    texts = ["\n\nother words here\n\n".join(notices), "\n".join([notices[2], notices[3], notices[0], notices[7]]), *notices]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    more = {i: set(got[i].labels.split(",")) - set(got[i].base_labels.split(",")) for i in got}
+    assert more[0] == {label for label, _, _ in license_scan.TEMPLATES} and got[0].score == 1.0
+    assert more[1] == {"apache-2.0", "gpl-3.0", "mit", "cc-by-nc"} and got[1].score == 1.0
+    assert all(label in more[i] for i, (label, _, _) in enumerate(license_scan.TEMPLATES, 2))
+
+
 def test_fingerprints(docs, empty):
     got = {r.doc_id: r for r in spotsigs.fingerprint_report(docs).collect()}
     n = len(TEXTS)
