@@ -32,8 +32,9 @@ def abundant_postings(docs: DataFrame, id_col: str = "doc_id", width: int = 3, s
 
 
 def kmer_sets(seqs: DataFrame, k: int, alphabet: str = "ACGT") -> DataFrame:
-    """id, kmer: the distinct windows of k letters of upper-cased sequences, of the alphabet only."""
-    kept = F.array_distinct(F.filter(kmers(F.upper("seq"), k), lambda x: x.rlike(f"^[{alphabet}]+\\z")))
+    """id, kmer: the distinct windows of k letters of sequences, of the alphabet only; a-z count as A-Z."""
+    upper = F.translate("seq", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    kept = F.array_distinct(F.filter(kmers(upper, k), lambda x: x.rlike(f"^[{alphabet}]+\\z")))
     return seqs.where("seq is not null").select("id", F.explode(kept).alias("kmer"))
 
 

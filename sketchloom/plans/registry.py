@@ -70,7 +70,7 @@ ASKED = "asked AS (SELECT doc_id AS id FROM documents WHERE source IN ('src1', '
   (SELECT doc_id AS id, unnest(list_transform(range(1, greatest(1, length(text) - 29)), lambda i: substr(upper(text), i, 31))) AS kmer FROM documents WHERE length(text) = strlen(text))
   WHERE regexp_full_match(kmer, '[A-Z .]+') GROUP BY id""")
 def kmer_extract(spark, d):
-    docs = table(spark, d, "documents").where(F.char_length("text") == F.octet_length("text")).select(F.col("doc_id").alias("id"), F.col("text").alias("seq"))
+    docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("seq"))
     return K.kmer_sets(docs, 31, "A-Z .").groupBy("id").agg(F.count("*").alias("n"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer"))
 
 

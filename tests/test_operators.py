@@ -7,6 +7,7 @@ import pytest
 
 from sketchloom.operators import dictionary, matrix, roundtrip, similarity, sketch
 from sketchloom.operators.projection import project, signs
+from sketchloom.plans import QUERIES
 from sketchloom.sources import blobs, files
 
 
@@ -100,3 +101,15 @@ def test_verdict(spark):
     report = roundtrip.compare(a, b)
     assert rows(report) == [("x", "PASS"), ("y", "FAIL"), ("z", "MISSING")]
     assert not roundtrip.verdict(report).first().ok and roundtrip.verdict(roundtrip.compare(b, b)).first().ok
+
+
+def test_windows_of_texts_with_other_letters(spark, tmp_path):
+    plain = "the quick brown fox jumps over it."
+    texts = [plain, f"D\u00e9j\u00e0 vu \u2013 {plain} stra\u00dfe \U0001f642 {plain}", "\u0131\u017f" * 40, None, "short"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.id: r for r in QUERIES["kmer_extract"](spark, str(tmp_path)).collect()}
+    assert set(got) == {0, 1}
+    for i in got:
+        upper = "".join(c.upper() if c.isascii() else c for c in texts[i])
+        own = {w for w in (upper[j : j + 31] for j in range(len(upper) - 30)) if set(w) <= set("ABCDEFGHIJKLMNOPQRSTUVWXYZ .")}
+        assert (got[i].n, got[i].first_kmer, got[i].last_kmer) == (len(own), min(own), max(own))
