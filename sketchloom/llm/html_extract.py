@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,6 +20,8 @@ STOP_WORDS = frozenset(
 )
 # Elements whose content is never text, and those that only mark up a run of text.
 SILENT = "script style title noscript template textarea select button svg math iframe object canvas video audio".split()
+#: Those of SILENT that hold no raw text: a start tag that ends in /> has no content.
+CLOSABLE = "template select button svg math object canvas video audio".split()
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr img br input".split())
 #: Elements that hold other blocks; those of FRAME are never part of an article.
 HOLDERS = frozenset("article main section div nav aside footer header form ul ol dl table figure blockquote details dialog fieldset menu".split())
@@ -32,7 +35,8 @@ FRAME_WORDS = frozenset(
 )
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<silent>{'|'.join(SILENT)})\b[^>]*+>.*?(?:</(?P=silent)\s*>|\Z)"
+    rf"""|<(?:{'|'.join(CLOSABLE)})(?=[\s/])(?:[^>"']++|"[^"]*+"|'[^']*+')*+(?<=/)>"""
+    rf"|<(?P<silent>{'|'.join(SILENT)})(?=[\s/>])[^>]*+>.*?(?:</(?P=silent)\s*>|\Z)"
     r"""|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attrs>(?:[^>"']++|"[^"]*+"|'[^']*+')*+)>"""
     r"|</?(?P<tag2>[a-z][^\s/>]*+)(?P<attrs2>[^>]*+)>"
     r"|<[!?/a-z][^>]*+(?:>|\Z)",
@@ -49,10 +53,16 @@ class Block:
     framed: bool = False
     inside: bool = False
     text: str = ""
+    doubted: tuple[int, ...] = ()  # elements around it that are frames unless they hold most of the text
 
 
-def is_frame(tag: str, attrs: str, inside: bool) -> bool:
-    """Whether an element is a menu, notice, advert, comment or the like, by its name and attributes."""
+def is_frame(tag: str, attrs: str, inside: bool, held: bool = True) -> bool | None:
+    """Whether an element is a menu, notice, advert, comment or the like, by its name and attributes.
+
+    None where only a part of a class or id says so; for an article or main element that is in no
+    article (held is false) a class or id never does.
+    """
+    doubted = False
     if tag in FRAME or (tag == "header" and not inside):
         return True
     for name, value in ATTRIBUTE.findall(attrs):
@@ -62,16 +72,22 @@ def is_frame(tag: str, attrs: str, inside: bool) -> bool:
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
         if name in ("class", "id", "role"):
-            if FRAME_WORDS.intersection(re.split(r"[\s_\-]+", value)) or (value == "header" and not inside):
+            if value == "header" and not inside:
                 return True
-    return False
+            words = set(re.split(r"[\s_\-]+", value)) - {""}
+            if FRAME_WORDS.intersection(words) and (name == "role" or held or tag not in ("article", "main")):
+                if name == "role" or words <= FRAME_WORDS:
+                    return True
+                doubted = True
+    return None if doubted else False
 
 
 def blocks_of(page: str) -> list[Block]:
     """The text blocks of a page in order, with their links and the elements around them."""
     out: list[Block] = []
     block = Block()
-    stack: list[tuple[str, bool, bool]] = []  # holder, framed, inside an article
+    stack: list[tuple[str, bool, bool, tuple[int, ...]]] = []  # holder, framed, inside an article, doubted frames
+    doubts = 0
     links, breaks, at = 0, 0, 0
 
     def add(raw: str) -> None:
@@ -88,8 +104,8 @@ def blocks_of(page: str) -> list[Block]:
         if text:
             block.text = text
             out.append(block)
-        framed, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-        block, breaks = Block(framed=framed, inside=inside), 0
+        _, framed, inside, doubted = stack[-1] if stack else ("", False, False, ())
+        block, breaks = Block(framed=framed, inside=inside, doubted=doubted), 0
 
     for m in TOKEN.finditer(page):
         add(page[at : m.start()])
@@ -111,7 +127,6 @@ def blocks_of(page: str) -> list[Block]:
         close()
         links = 0
         attrs = m["attrs"] or m["attrs2"] or ""
-        framed, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
         if ends:
             held = [i for i, x in enumerate(stack) if x[0] == tag]
             if held:
@@ -119,13 +134,21 @@ def blocks_of(page: str) -> list[Block]:
         elif stack and stack[-1][0] in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6"):
             stack.pop()  # a paragraph with a mark of its own ends where the next block begins
         if not ends and not attrs.endswith("/"):
-            framed, inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
-            frame = is_frame(tag, attrs, inside)
-            if tag in HOLDERS or (frame and tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6")):
-                stack.append((tag, framed or frame, inside or tag in ("article", "main") or bool(re.search(r"role\s*=\s*[\"']?main", attrs))))
-        block.framed, block.inside = (stack[-1][1], stack[-1][2]) if stack else (False, False)
+            _, framed, inside, doubted = stack[-1] if stack else ("", False, False, ())
+            frame = is_frame(tag, attrs, inside, any(x[0] == "article" for x in stack))
+            if frame is None:
+                doubts += 1
+                doubted = (*doubted, doubts)
+            if tag in HOLDERS or (frame is not False and tag in ("p", "li", "h1", "h2", "h3", "h4", "h5", "h6")):
+                stack.append((tag, framed or bool(frame), inside or tag in ("article", "main") or bool(re.search(r"role\s*=\s*[\"']?main", attrs)), doubted))
+        _, block.framed, block.inside, block.doubted = stack[-1] if stack else ("", False, False, ())
     add(page[at:])
     close()
+    total, held = sum(len(b.text) for b in out), Counter()
+    for b in out:
+        held.update(dict.fromkeys(b.doubted, len(b.text)))
+    for b in out:
+        b.framed = b.framed or any(2 * held[i] <= total for i in b.doubted)
     return out
 
 
@@ -139,7 +162,8 @@ def main_text(
 ) -> str:
     """The blocks of a page's article, joined by empty lines.
 
-    First pass: frames and blocks of links are out; long blocks with many stop words and blocks of
+    An element whose class or id is a frame's in part only counts as a frame unless it holds more
+    than half of the page's text. First pass: frames and blocks of links are out; long blocks with many stop words and blocks of
     medium length with some are in; short blocks stay undecided, other blocks are out. Where a page
     has an article or main element, blocks outside it are out and unlinked blocks in it are in
     unless they are short. Second pass: an undecided block takes the label of its nearest decided

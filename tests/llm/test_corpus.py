@@ -180,6 +180,25 @@ def test_pages(spark):
     assert got[2].text == got[3].text == got[4].text == ""
 
 
+def test_pages_keep_articles_with_odd_marks():
+    text = "It was the first of the long days that they had in the house by the sea, and it is not an end."
+    body = f"<p>{text}</p>\n<p>{text}</p>"
+    menu = "<nav><a href=x>Menu</a></nav>"
+    whole = f"{text}\n\n{text}"
+    for before in ("<svg class='i' />", '<math/>', '<svg title="a > b"/>', "<video src='x' />"):
+        assert html_extract.main_text(f"{menu}{before}<article>{body}</article><svg><text>no</text></svg>") == whole
+    for name in ("button-group", "video-card", "svg-icon"):
+        assert html_extract.main_text(f"{menu}<{name}><div>{body}</div></{name}>") == whole
+    for mark in ("div class='content no-sidebar'", "article class='post comments-open'", "div class='tag-social'", "main id='ad-main'", "article class='sponsored'"):
+        tag = mark.split()[0]
+        assert html_extract.main_text(f"<html><body>{menu}<{mark}>{body}</{tag}></body></html>") == whole
+    side = f"<div class='sidebar-left'><p>{text} Side.</p></div><div class='comments'><p>{text * 9}</p></div>"
+    assert html_extract.main_text(f"<div class='content no-sidebar'>{body}{side}</div>") == whole
+    reply = f"<article class='comment'><p>{text} Reply.</p></article>"
+    assert html_extract.main_text(f"<article class='post comments-open'>{body}{reply}</article>") == whole
+    assert html_extract.main_text("<svg><text>no</text></svg><button>no</button><script src='x'/>no</script>") == ""
+
+
 def test_licenses(docs, empty):
     got = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
     for i, t in enumerate(TEXTS):
