@@ -48,14 +48,18 @@ def filter_edges(edges: DataFrame, least: float) -> DataFrame:
     return edges.where(F.col("q") / 255.0 >= least)
 
 
-def matrix_slice(edges: DataFrame, rows: DataFrame, cols: DataFrame) -> DataFrame:
+def matrix_slice(edges: DataFrame, rows: DataFrame, cols: DataFrame, block: int = 1024) -> DataFrame:
     """r_pos, c_pos, row, col, jaccard of the asked rows and columns, 0 where there is no edge.
 
-    Both lists (pos, id) are stated by the user and keep order and repeats.
+    Both lists (pos, id) are stated by the user and keep order and repeats. They are dealt by hash
+    into blocks of about `block` ids, and blocks meet by their numbers, so no list has to fit a task.
     """
-    grid = rows.select(F.col("pos").alias("r_pos"), F.col("id").alias("row")).join(
-        F.broadcast(cols.select(F.col("pos").alias("c_pos"), F.col("id").alias("col"))), F.lit(True)
-    )
+    n_rows, n_cols = (max(1, -(-ids.count() // block)) for ids in (rows, cols))
+    deal = lambda n: F.pmod(F.xxhash64("pos", "id"), F.lit(n)).cast("int")
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    r = rows.select(F.col("pos").alias("r_pos"), F.col("id").alias("row"), deal(n_rows).alias("_i"), spread(n_cols).alias("_j"))
+    c = cols.select(F.col("pos").alias("c_pos"), F.col("id").alias("col"), deal(n_cols).alias("_j"), spread(n_rows).alias("_i"))
+    grid = r.join(c, ["_i", "_j"])
     return grid.join(edges.select("row", "col", "q"), ["row", "col"], "left").select(
         "r_pos", "c_pos", "row", "col", F.coalesce(dequantise(F.col("q")), F.lit(0.0)).alias("jaccard")
     )
