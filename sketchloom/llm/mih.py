@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -15,12 +14,14 @@ from .common import chunks
 
 @dataclass
 class Coder:
-    """Rotations learned by iterative quantisation; codes of `bits` bits and the radius to search."""
+    """Rotations learned by iterative quantisation; codes are `parts` substrings of `width` bits each."""
 
     top: float  # the largest squared norm
     mean: np.ndarray
     planes: np.ndarray
-    radius: int
+    width: int
+    parts: int
+    flips: int  # the bits in which a probed substring may differ
 
     def lift(self, x: np.ndarray, query: bool) -> np.ndarray:
         """Vectors of one length whose angles order the inner products with a query."""
@@ -28,27 +29,21 @@ class Coder:
         return np.hstack([x, gap[:, None]])
 
     def codes(self, x: np.ndarray, query: bool) -> np.ndarray:
-        return np.packbits((self.lift(x, query) - self.mean) @ self.planes > 0, axis=1)
+        """One number of `width` bits for each substring."""
+        bits = (self.lift(x, query) - self.mean) @ self.planes > 0
+        return bits.reshape(len(x), -1, self.width) @ (1 << np.arange(self.width))
 
 
-def distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Hamming distances between all rows of two code arrays, of whole 64-bit words."""
-    x, y = a.view(np.uint64), b.view(np.uint64)
-    out = np.zeros((len(x), len(y)), np.int16)
-    for k in range(x.shape[1]):
-        out += np.bitwise_count(x[:, k, None] ^ y[None, :, k])
-    return out
-
-
-def fit(sample: np.ndarray, top: float, bits: int, k: int, recall: float, rounds: int = 20, asked: int = 256) -> Coder:
-    """Codes and radius from distinct sample vectors.
+def fit(sample: np.ndarray, top: float, bits: int, width: int, near: int, recall: float, rounds: int = 20, asked: int = 512) -> Coder:
+    """Rotations, the number of substrings and their radius from distinct sample vectors.
 
     Each rotation turns the principal axes so that signs lose least; `bits` are filled with several
-    rotations. The radius holds the share `recall` of the sample's true k nearest neighbours; over
-    more vectors neighbours are nearer, so there it holds more.
+    rotations. The radius is the least with which all substrings retrieve the share `recall` of the
+    true `near` neighbours in the sample, and then the fewest substrings that do so are used.
     """
-    dim = sample.shape[1]
-    coder = Coder(top, np.zeros(dim + 1), np.zeros((dim + 1, bits)), bits)
+    dim, parts = sample.shape[1], max(1, bits // width)
+    bits = parts * width
+    coder = Coder(top, np.zeros(dim + 1), np.zeros((dim + 1, bits)), width, parts, 0)
     lifted = coder.lift(sample, False)
     coder.mean = lifted.mean(axis=0)
     centred = lifted - coder.mean
@@ -62,93 +57,105 @@ def fit(sample: np.ndarray, top: float, bits: int, k: int, recall: float, rounds
             turn = v.T @ u.T
         planes.append(axes @ turn)
     coder.planes = np.hstack(planes)[:, :bits]
-    if len(sample) > 4 * k:
-        ask = sample[:: max(1, len(sample) // asked)]
-        near = np.argsort(-(ask @ sample.T), axis=1)[:, : k + 1]
-        gaps = np.take_along_axis(distances(coder.codes(ask, True), coder.codes(sample, False)), near, axis=1)
-        coder.radius = int(np.quantile(gaps, recall))
+    ask = np.arange(0, len(sample), max(1, len(sample) // asked))
+    score = sample[ask] @ sample.T
+    score[np.arange(len(ask)), ask] = -np.inf
+    best = np.argsort(-score, axis=1)[:, : min(near, len(sample) - 1)]
+    if best.size:
+        gap = np.bitwise_count(coder.codes(sample[ask], True)[:, None] ^ coder.codes(sample, False)[best])
+        found = [np.mean(gap.min(axis=2) <= t) for t in range(width + 1)]
+        coder.flips = next(t for t in range(width + 1) if found[t] >= recall)
+        held = np.logical_or.accumulate(gap <= coder.flips, axis=2).mean(axis=(0, 1))
+        coder.parts = int(np.argmax(held >= recall)) + 1
+        coder.planes = coder.planes[:, : coder.parts * width]
     return coder
 
 
 class MultiIndex:
-    """A table of places for each substring (byte) of the codes of one block."""
-
-    def __init__(self, codes: np.ndarray):
-        self.codes, self.parts = codes, codes.shape[1]
-        self.order = np.argsort(codes, axis=0, kind="stable")
-        counts = np.stack([np.bincount(codes[:, j], minlength=256) for j in range(self.parts)])
-        self.ends = np.cumsum(counts, axis=1)
-        self.flips = np.argsort(np.bitwise_count(np.arange(256, dtype=np.uint8)), kind="stable").astype(np.uint8)
-        self.within = np.cumsum(np.bincount(np.bitwise_count(np.arange(256, dtype=np.uint8)), minlength=9))
-
-    def within_radius(self, code: np.ndarray, radius: int) -> np.ndarray:
-        """Every row whose code is within the radius: some substring is within its share of it."""
-        flips = self.flips[: self.within[min(8, radius // self.parts)]]
-        probes = code[None, :] ^ flips[:, None]
-        part = np.arange(self.parts)
-        last = self.ends[part, probes]
-        first = np.where(probes > 0, self.ends[part, np.maximum(probes, 1) - 1], 0)
-        if (last - first).sum() >= len(self.codes):  # the postings are more than the rows: take all
-            at = np.arange(len(self.codes))
-        else:
-            mask = np.zeros(len(self.codes), bool)
-            for j in range(self.parts):
-                for b, e in zip(first[:, j], last[:, j], strict=True):
-                    mask[self.order[b:e, j]] = True
-            at = np.flatnonzero(mask)
-        return at[distances(code[None], self.codes[at])[0] <= radius]
-
-
-def search_block(coder: Coder, index: pd.DataFrame, asked: pd.DataFrame, k: int) -> pd.DataFrame:
+    """Postings of one block of rows: for each substring, the rows that hold each of its values."""
+
+    def __init__(self, codes: np.ndarray, width: int):
+        self.codes, self.width = codes, width
+        self.order = np.argsort(codes, axis=0, kind="stable").T
+        self.ends = np.stack([np.searchsorted(np.sort(c), np.arange(1 << width), side="right") for c in codes.T])
+        self.masks = np.arange(1 << width)
+        self.masks = self.masks[np.argsort(np.bitwise_count(self.masks), kind="stable")]
+        self.within = np.cumsum(np.bincount(np.bitwise_count(self.masks), minlength=width + 1))
+
+    def probe(self, asked: np.ndarray, flips: int) -> np.ndarray:
+        """Queries x rows: whether some substring differs in at most `flips` bits.
+
+        By the pigeonhole principle these are all rows whose codes differ in fewer than
+        parts * (flips + 1) bits, and of those further off the ones that share a bucket.
+        """
+        met = np.zeros((len(asked), len(self.codes)), bool)
+        masks = self.masks[: self.within[min(flips, self.width)]]
+        for part, order in enumerate(self.order):
+            values = asked[:, part, None] ^ masks
+            last = self.ends[part, values]
+            size = last - np.where(values > 0, self.ends[part, values - 1], 0)
+            query, probe = np.nonzero(size)
+            size, last = size[query, probe], last[query, probe]
+            at = np.repeat(last - np.cumsum(size), size) + np.arange(size.sum())
+            met[np.repeat(query, size), order[at]] = True
+        return met
+
+
+def search_block(coder: Coder, index: pd.DataFrame, asked: pd.DataFrame, k: int, chunk_cells: int = 8_000_000) -> tuple[pd.DataFrame, int]:
     """The k best rows of an index block for each query of a query block, by exact inner product.
 
-    Where fewer than k rows lie within the radius, it is widened until k do or none is left out.
+    Only rows in probed buckets are touched, whose number is the second result. A query that meets
+    fewer than k rows is asked again with one more bit, until it meets k or all rows.
     """
     vectors = np.array(index["embedding"].tolist(), np.float64)
     ids = index["vec_id"].to_numpy()
-    table = MultiIndex(np.array([np.frombuffer(x, np.uint8) for x in index["code"]]))
-    queries = np.array(asked["embedding"].tolist(), np.float64)
+    table = MultiIndex(coder.codes(vectors, False), coder.width)
+    queries, own = np.array(asked["embedding"].tolist(), np.float64), asked["vec_id"].to_numpy()
     codes = coder.codes(queries, True)
     out: list[tuple] = []
-    most = 8 * table.parts
-    for q, (own, x) in enumerate(zip(asked["vec_id"].to_numpy(), queries, strict=True)):
-        radius = coder.radius
-        while True:
-            at = table.within_radius(codes[q], radius)
-            at = at[ids[at] != own]
-            if len(at) >= k or radius >= most:
-                break
-            radius = min(most, radius + table.parts)
-        score = (vectors[at] * x).sum(axis=1)
-        if len(at) > k:
-            kth = np.partition(score, len(at) - k)[len(at) - k]
-            at, score = at[score >= kth], score[score >= kth]
-        best = np.lexsort((ids[at], -score))[:k]
-        out += zip([own] * len(best), ids[at][best].tolist(), score[best].tolist(), strict=True)
-    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"])
+    touched = 0
+    for b, e in chunks([len(ids)] * len(queries), chunk_cells):
+        left, flips = np.arange(b, e), coder.flips
+        while len(left):
+            met = table.probe(codes[left], flips)
+            touched += int(met.sum())
+            met &= ids != own[left, None]
+            enough = (met.sum(axis=1) >= k) | (flips >= coder.width)
+            for q, row in zip(left[enough], met[enough], strict=True):
+                at = np.flatnonzero(row)
+                score = (vectors[at] * queries[q]).sum(axis=1)
+                if len(at) > k:
+                    kth = np.partition(score, len(at) - k)[len(at) - k]
+                    at, score = at[score >= kth], score[score >= kth]
+                best = np.lexsort((ids[at], -score))[:k]
+                out += zip([own[q]] * len(best), ids[at][best].tolist(), score[best].tolist(), strict=True)
+            left, flips = left[~enough], flips + 1
+    return pd.DataFrame(out, columns=["query_id", "vec_id", "score"]), touched
 
 
 def nearest(
     embeddings: DataFrame,
     is_query: str = "vec_id % 20 = 0",
     k: int = 20,
-    bits: int = 256,
-    recall: float = 0.97,
+    bits: int = 1024,
+    recall: float = 0.96,
     sample_rows: int = 8192,
-    block_rows: int = 8192,
-    query_rows: int = 1024,
+    block_rows: int = 32768,
+    query_rows: int = 8192,
 ) -> DataFrame:
     """query_id, rank, vec_id and score: for each query its k nearest rows by inner product.
 
-    Codes and radius are fitted on about `sample_rows` vectors, drawn by the hash of vec_id. Every
-    row is coded and lies in one block of about `block_rows`; each block of queries meets each
-    block of rows, where the multi-index finds the codes within the radius and exact inner products
-    in double precision rank them. Ties go to the smaller vec_id.
+    Rotations, substrings and their radius are fitted on about `sample_rows` vectors, drawn by the
+    hash of vec_id; a substring has as many bits as number the rows of a block. Every row is coded
+    and lies in one block of about `block_rows` with an index of its own; every block of queries is
+    sent to every block of rows, where the buckets of all probes are read and exact inner products
+    in double precision rank the rows in them. Ties go to the smaller vec_id.
 
     Vectors that are null or zero or hold null or non-finite components, rows without a vec_id, and
     vectors of another length than most (of equal counts the longer) take no part. A row is no
     candidate of a query of its own vec_id. With fewer rows than k all are returned; an empty table
-    or a table without queries gives no rows; other columns are left out.
+    or a table without queries gives no rows; other columns are left out. Repeated rows are found
+    and asked one by one.
     """
     spark = embeddings.sparkSession
     found = "query_id long, rank int, vec_id long, score double"
@@ -168,28 +175,19 @@ def nearest(
     share = min(1.0, sample_rows / size.n)
     drawn = good.where(F.pmod(F.xxhash64("vec_id", F.lit("codes")), F.lit(1_000_000)) < int(share * 1_000_000) + 1).select("embedding").toPandas()
     sample = np.unique(np.array(drawn["embedding"].tolist(), np.float64).reshape(-1, size.dim), axis=0)
-    coder = spark.sparkContext.broadcast(fit(sample, size.top, bits, k, recall) if len(sample) else Coder(size.top, np.zeros(size.dim + 1), np.eye(size.dim + 1, bits), bits))
-
-    def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for b, e in chunks([1] * len(batch), 4096):
-                part = batch.iloc[b:e]
-                codes = coder.value.codes(np.array(part["embedding"].tolist(), np.float64), False)
-                yield part.assign(code=[x.tobytes() for x in codes])
+    width = min(16, max(4, (min(size.n, block_rows) - 1).bit_length()))
+    coder = fit(sample, size.top, bits, width, max(1, round(k * len(sample) / size.n)), recall) if len(sample) else Coder(size.top, np.zeros(size.dim + 1), np.eye(size.dim + 1, 4), 4, 1, 4)
+    shared = spark.sparkContext.broadcast(coder)
 
     blocks, asking = -(-size.n // block_rows), max(1, -(-size.asked // query_rows))
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(int(n) - 1)))
-    index = (
-        good.mapInPandas(encode, "vec_id long, embedding array<double>, code binary")
-        .withColumn("i", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int"))
-        .withColumn("j", spread(asking))
-    )
+    index = good.withColumn("i", F.pmod(F.xxhash64("vec_id"), F.lit(blocks)).cast("int")).withColumn("j", spread(asking))
     queries = good.where(is_query).withColumn("j", F.pmod(F.xxhash64("vec_id", F.lit("queries")), F.lit(asking)).cast("int")).withColumn("i", spread(blocks))
 
     def search(rows: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(asked):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        return search_block(coder.value, rows, asked, k)
+        return search_block(shared.value, rows, asked, k)[0]
 
     hits = index.groupBy("i", "j").cogroup(queries.groupBy("i", "j")).applyInPandas(search, "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -246,3 +247,38 @@ def test_nearest(spark):
         assert [r[0] for r in own] == list(range(1, 21)) and all(r[2] == score[r[1]] for r in own)
         hit += len(set(best) & {r[1] for r in own})
     assert hit >= 0.9 * 600 and mih.nearest(df.where("vec_id < 0")).count() == 0
+
+
+def test_index_meets_few_rows():
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((40_000, 64))
+    x /= np.linalg.norm(x, axis=1)[:, None]  # uniform on a sphere: the hardest case
+    asked = np.arange(0, len(x), 200)
+    score = x[asked] @ x.T
+    score[np.arange(len(asked)), asked] = -9
+    best = np.argsort(-score, axis=1)[:, :20]
+    shares = []
+    for n in (8_000, 40_000):
+        rows = pd.DataFrame({"vec_id": np.arange(n), "embedding": list(x[:n])})
+        queries = pd.DataFrame({"vec_id": asked, "embedding": list(x[asked])})
+        coder = mih.fit(x[:8_000], 1.0, 1024, 15, max(1, 20 * 8_000 // n), 0.96)
+        got, touched = mih.search_block(coder, rows, queries, 20)
+        shares.append(touched / len(asked) / n)
+    hit = sum(len(set(best[i]) & set(own)) for i, own in enumerate(got.groupby("query_id")["vec_id"].apply(list)))
+    assert hit >= 0.9 * best.size and shares[1] < shares[0] and shares[1] < 0.25
+    near = x[:4_000] + 0.05 * rng.standard_normal((4_000, 64))  # neighbours that are near: few rows in any bucket
+    rows = pd.DataFrame({"vec_id": np.arange(8_000), "embedding": [*x[:4_000], *near]})
+    both = np.array(rows["embedding"].tolist())
+    coder = mih.fit(both, float((both * both).sum(axis=1).max()), 1024, 13, 1, 0.96)
+    got, touched = mih.search_block(coder, rows, rows.iloc[:400], 1)
+    assert (got.set_index("query_id")["vec_id"] == got["query_id"].to_numpy() + 4_000).mean() > 0.9 and touched < 0.02 * 400 * 8_000
+
+
+def test_every_code_within_the_radius_is_met():
+    rng = np.random.default_rng(2)
+    codes = rng.integers(0, 1 << 8, (500, 4))
+    table = mih.MultiIndex(codes, 8)
+    for flips in (0, 1, 2, 8):
+        met = table.probe(codes[:40], flips)
+        gap = np.bitwise_count(codes[:40, None] ^ codes[None])
+        assert (met == (gap.min(axis=2) <= flips)).all() and met[gap.sum(axis=2) < 4 * (flips + 1)].all()
