@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -30,8 +31,10 @@ class WordEncoder:
     #: The tokenizer's parts, for characters below U+0100.
     PART = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_²³¹¼½¾]+|[\d²³¹¼½¾]|(?:[^\s\w]|_)+")
     PLAIN = re.compile(r"[!-~¡-ÿ]+")
+    #: Letters that the tokenizer's normaliser (NFC, then lower case) turns into a letter and a mark.
+    MARKED = "".join(c for c in map(chr, range(0xA0, 0x110000)) if c.isalnum() and not unicodedata.normalize("NFC", c).lower()[-1].isalnum())
     #: A full stop or comma that may belong to a longer run of signs.
-    RUN = re.compile(r"[^\w ][.,] |_[.,] ")
+    RUN = re.compile(rf"(?:[^\w ]|[_{MARKED}])[.,] ")
 
     def __init__(self, path: str, end_id: int, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -138,7 +141,7 @@ def running_start(df: DataFrame, group: list[str], block: Column, order: list[st
 
 
 def plan(lengths: DataFrame, window_tokens: int, shares: dict[str, float] | None, blocks: int) -> DataFrame:
-    """row, n and `start`, the place of each document in the one stream of all windows.
+    """row, window and `start`, the place of each document in the one stream of all windows.
 
     Every source is a queue. In each window its deficit grows by its share of `window_tokens`, and
     its next documents are sent as long as the deficit covers them; what is left is carried to the
@@ -163,7 +166,7 @@ def plan(lengths: DataFrame, window_tokens: int, shares: dict[str, float] | None
     return (
         sent.withColumn("before", F.coalesce(F.sum("n").over(inside), F.lit(0)))
         .join(placed, "window")
-        .select("row", (F.col("window_start") + F.col("before")).alias("start"))
+        .select("row", "window", (F.col("window_start") + F.col("before")).alias("start"))
     )
 
 
@@ -180,24 +183,25 @@ def pack(
     size: int = 2048,
     window_tokens: int = 64 * 2048,
     shares: dict[str, float] | None = None,
-    blocks: int = 256,
+    block_rows: int = 500_000,
 ) -> DataFrame:
     """The pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     The stream of all windows is cut every `size` tokens; the tail is cut into lengths that are
     powers of two, so no sequence needs padding. Null text counts as empty, which is the end id
     alone; a null source is a queue of its own; repeated rows are packed one by one; an empty table
-    has no pieces; extra columns are left out. The queue of a source may be of any size.
+    has no pieces; extra columns are left out. The queue of a source may be of any size: it is summed
+    in blocks of about `block_rows` rows of the whole table.
     """
     spark = docs.sparkSession
     tokens = written(tokenized(docs, tokenizer_path, end_id).withColumn("row", F.monotonically_increasing_id()), "tokens")
-    total = tokens.agg(F.sum("n")).first()[0] or 0
-    full, tail = cut(total, size)
+    total, rows = tokens.agg(F.sum("n"), F.count("*")).first()
+    full, tail = cut(total or 0, size)
     ends, at = [], full * size  # of the tail's sequences
     for n in tail:
         at += n
         ends.append(at)
-    starts = plan(tokens.select("row", "source", "n"), window_tokens, shares, blocks)
+    starts = plan(tokens.select("row", "source", "n"), window_tokens, shares, max(64, -(-rows // block_rows))).drop("window")
     shared = spark.sparkContext.broadcast((full, np.array([full * size, *ends], np.int64)))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import unicodedata
 import zlib
 from collections import Counter
 
@@ -80,6 +81,34 @@ def test_packing(docs, empty):
     assert short <= 6 and packing.pack(empty, path).count() == 0
 
 
+def test_word_ids_after_letters_that_become_letter_and_mark():
+    encoder = packing.WordEncoder(public_tokenizers.path("word_bpe_49k.json"), 1)
+    grown = [c for c in map(chr, range(0xA0, 0x110000)) if not 0xD800 <= ord(c) < 0xE000 and len(unicodedata.normalize("NFD", c).lower()) != 1]
+    assert "\u0130" in grown and "\u0958" in grown
+    texts = ["T.C. \u0130. Melih", "\u0130, a. \u0130"] + [f"a{c}. b{c}, {c}. c {c}_, d{c}" for c in grown if not "\uac00" < c < "\ud7a4"]
+    want = [np.array([*x.ids, 1], "<u2").tobytes() for x in encoder.lib.encode_batch_fast(texts, add_special_tokens=False)]
+    assert encoder.encode(texts) == want
+
+
+def test_windows_hold_the_target_proportions(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, str(rng.choice(["a", "b", "c"], p=[0.6, 0.3, 0.1])), int(rng.integers(1, 60))) for i in range(6000)]
+    lengths = spark.createDataFrame(rows, "row long, source string, n long").repartition(7)
+    placed = packing.plan(lengths, 2000, {"a": 0.5, "b": 0.3, "c": 0.2}, 16).join(lengths, "row").collect()
+    at = 0
+    for r in sorted(placed, key=lambda r: r.start):  # one gapless stream, window after window
+        assert r.start == at
+        at += r.n
+    assert [r.window for r in sorted(placed, key=lambda r: r.start)] == sorted(r.window for r in placed)
+    sums = Counter()
+    for r in placed:
+        sums[r.window, r.source] += r.n
+    for source, quantum in (("a", 1000), ("b", 600), ("c", 400)):
+        total = sum(n for (_, s), n in sums.items() if s == source)
+        for w in range(total // quantum):  # deficits carry over, so no window is off by more than a document
+            assert abs(sum(sums[v, source] for v in range(w + 1)) - quantum * (w + 1)) < 60
+
+
 def test_urls(spark):
     urls = ["http://a.example.net/en/1", "http://example.net/de", "https://X.NET?q", "http://fr.org/fr/", None, "none", "http://b.example.com/de/?x", "http://notnet/en/"]
     pages = spark.createDataFrame([(i, u, "clash") for i, u in enumerate(urls)] + [(0, urls[0], "clash")], "page_id long, url string, rule string")
