@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,15 +21,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or one of our own where it is unset."""
+    """The folder that all executors share: spark.checkpoint.dir.
+
+    Where it is unset, a local master gets a folder of its own; on a cluster this is an error, as
+    executors don't see each other's local folders.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         kept = spark.sparkContext._jsc.sc().getCheckpointDir()
         if kept.isDefined():
             path = kept.get()
-        else:
+        elif re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             path = tempfile.mkdtemp(prefix="sketchloom-")
             spark.sparkContext.setCheckpointDir(path)
+        else:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return path.rstrip("/")
 
 
@@ -37,7 +44,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/sketchloom/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables of `written` that no later step reads."""
+    for table_ in tables:
+        context = table_.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table_._written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def maybe_in(rows: DataFrame, keys: DataFrame, key: str, bits: int = 24) -> DataFrame:
