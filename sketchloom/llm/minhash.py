@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, chunks, maybe_in, mix64, written
+from .common import LOWER, UPPER, chunks, discard, maybe_in, mix64, written
 from .components import connected
 
 #: Bytes to their lower-cased word byte, or 0 between words.
@@ -192,12 +192,12 @@ SIGNED = "doc_id long, digest binary, bands array<long>, sketch binary"
 
 
 def signed(docs: DataFrame, bands: int, rows: int, width: int, seed: int = 0) -> DataFrame:
-    """doc_id, digest of the text, band keys and a sketch of 16 bits a place, for every row."""
+    """doc_id, digest, band keys and a sketch of 16 bits a place of the text, for every row."""
     m = bands * rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [(x or "").encode() for x in batch.column("text").to_pylist()]
+            texts = [x.encode() for x in batch.column("text").to_pylist()]
             keys, sketches = [], []
             for b, e in chunks([len(x) for x in texts], 1_000_000):
                 tag = mix64(bag_minhash(*shingles(texts[b:e], width), e - b, m) + np.uint64(seed))
@@ -207,13 +207,12 @@ def signed(docs: DataFrame, bands: int, rows: int, width: int, seed: int = 0) ->
                 key = mix64(key + np.arange(bands, dtype=np.uint64) * INVERSE)
                 keys += list(key.view(np.int64))
                 sketches += [x.tobytes() for x in tag.astype(np.uint16)]
-            digest = [hashlib.blake2b(x, digest_size=16).digest() for x in texts]
             yield pa.record_batch(
-                [batch.column("doc_id"), pa.array(digest, pa.binary()), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
+                [batch.column("doc_id"), batch.column("digest"), pa.array(keys, pa.list_(pa.int64())), pa.array(sketches, pa.binary())],
                 names=["doc_id", "digest", "bands", "sketch"],
             )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, SIGNED)
+    return docs.select("doc_id", "digest", "text").mapInArrow(run, SIGNED)
 
 
 def compared(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
@@ -278,9 +277,10 @@ def candidate_groups(heads: DataFrame, similarity: float, places: int, most_rows
     joins = 1 - 3 * far - error(1 - 3 * far)
     stays = 1 - 2 * far + error(1 - 2 * far)
     rest = heads.select(F.col("doc_id").alias("node"), F.explode("bands").alias("band"))
-    links = []
+    links, spent = [], []
     for k in range(rounds + 1):
         sizes = written(rest.groupBy("band").agg(F.count("*").alias("n"), F.min("node").alias("pivot")).where("n > 1"), "sizes")
+        spent.append(sizes)
         largest, total = sizes.agg(F.max("n"), F.sum("n")).first()
         if k == rounds or (largest or 0) <= most_rows:
             break
@@ -290,6 +290,7 @@ def candidate_groups(heads: DataFrame, similarity: float, places: int, most_rows
         links.append(alike.where(F.col("alike") >= joins).select("a", "b"))
         beyond = alike.where(F.col("alike") < stays).select(F.col("a").alias("pivot"), F.col("b").alias("node"))
         rest = written(met.join(beyond, ["pivot", "node"]).select("node", "band"), "rest")
+        spent += [met, alike, rest]
 
     bins = int((total or 0) / most_rows) + 1
     n = F.ceil(F.col("n") / most_rows).cast("int")
@@ -314,19 +315,21 @@ def candidate_groups(heads: DataFrame, similarity: float, places: int, most_rows
         return pd.DataFrame({"a": a, "b": b})
 
     links.append(dealt.groupBy("large", "of", "i", "j").applyInPandas(link, "a long, b long"))
-    return connected(written(reduce(DataFrame.union, links), "links"))
+    linked = written(reduce(DataFrame.union, links), "links")
+    discard(*spent)
+    return connected(linked)
 
 
-def near_links(docs: DataFrame, groups: DataFrame, similarity: float, width: int, most_rows: int = 2048, most_bytes: int = 8_000_000) -> DataFrame:
+def near_links(texts: DataFrame, groups: DataFrame, similarity: float, width: int, most_rows: int = 2048, most_bytes: int = 8_000_000) -> DataFrame:
     """Links (a, b) between texts of one class of candidates, enough to connect all that overlap by `similarity`.
 
-    Whole texts are compared in blocks of about `most_rows` rows and `most_bytes` bytes: a larger
-    class has several blocks, each of which meets all its others; small classes share a block. Texts
-    in no class are sorted out before the shuffle.
+    `groups` has node, digest and class; a node's text is the one of this digest. Whole texts are
+    compared in blocks of about `most_rows` rows and `most_bytes` bytes: a larger class has several
+    blocks, each of which meets all its others; small classes share a block. Texts in no class are
+    sorted out before the shuffle.
     """
-    groups = written(groups, "groups")
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    spare = written(maybe_in(texts, groups, "node").join(groups, "node").dropDuplicates(["node"]), "candidates")
+    own = maybe_in(texts.withColumnRenamed("doc_id", "node"), groups, "node").withColumn("digest", F.unhex(F.md5("text")))
+    spare = written(own.join(groups, ["node", "digest"]).dropDuplicates(["node"]).drop("digest"), "candidates")
     size = F.greatest(F.count("*") / most_rows, F.sum(F.octet_length("text")) / most_bytes)
     sizes = spare.groupBy("class").agg(size.alias("size"))
     whole = sizes.agg(F.sum("size")).first()[0] or 0
@@ -363,16 +366,20 @@ def near_classes(docs: DataFrame, similarity: float = 0.8, width: int = 5, bands
     are compared, all with all, in blocks. No bucket or class has a limit.
 
     Null text counts as empty; all empty texts are copies of each other. Rows without a doc_id are
-    left out. Of rows that repeat a doc_id one text counts. An empty table gives no rows.
+    left out. Of rows that repeat a doc_id one text counts, that of the least digest. An empty table
+    gives no rows.
     """
-    signatures = written(signed(docs.where("doc_id is not null"), bands, rows, width), "signatures")
-    nodes = written(signatures.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
-    members = written(signatures.select("doc_id", "digest").join(nodes, "digest").select("doc_id", "node"), "members")
-    members = members.groupBy("doc_id").agg(F.min("node").alias("node"))
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    signatures = written(signed(texts.withColumn("digest", F.unhex(F.md5("text"))), bands, rows, width), "signatures")
+    chosen = signatures.groupBy("doc_id").agg(F.min("digest").alias("digest"))
+    nodes = written(chosen.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
+    members = written(chosen.join(nodes, "digest").select("doc_id", "node"), "members")
     heads = signatures.join(nodes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id"])
     heads = written(heads.select("doc_id", "bands", "sketch"), "heads")
-    groups = candidate_groups(heads, similarity, bands * rows)
-    classes = connected(near_links(docs, groups, similarity, width))
+    discard(signatures)
+    groups = written(candidate_groups(heads, similarity, bands * rows).join(nodes, "node"), "groups")
+    discard(heads)
+    classes = connected(near_links(texts, groups, similarity, width))
     return members.join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))
 
 
