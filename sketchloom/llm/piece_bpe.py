@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -70,8 +71,8 @@ class PieceModel:
         self.number = [str(i) for i in range(n)]
         self.n = n
 
-    def encode_words(self, words: list[str]) -> list[list[int]]:
-        """The ids of each word (with its leading spaces)."""
+    def encode_words(self, words: list[str], long: int = 64) -> list[list[int]]:
+        """The ids of each word (with its leading spaces); words of over `long` characters go by rank."""
         flat = "".join(words)
         codes = np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), np.uint32)
         kinds, back = np.unique(codes, return_inverse=True)
@@ -80,7 +81,9 @@ class PieceModel:
         symbol = own[back]
         sizes = np.array([len(w) for w in words], np.int64)
         word = np.repeat(np.arange(len(words)), sizes)
-        done: list[tuple[np.ndarray, np.ndarray]] = []
+        large = np.repeat(sizes > long, sizes)
+        done = [self._by_rank(word[large], symbol[large])] if large.any() else []
+        symbol, word = symbol[~large], word[~large]
         while len(symbol):
             here = word[1:] == word[:-1]
             at = np.flatnonzero(here & (symbol[1:] >= 0) & (symbol[:-1] >= 0))
@@ -133,6 +136,80 @@ class PieceModel:
             begin = end
         return out
 
+    def _by_rank(self, word: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Words and symbols after all merges, in rounds over ranks with the best rank first.
+
+        A round joins, in every word, all places of the rank, leftmost first, and looks only at the
+        pairs beside them, so all rounds together cost the number of merges and not length times rounds.
+        Symbols are linked instead of compacted. Where joining a place makes a better-ranked pair, or
+        could with the place after it, the places to its right wait until that pair is joined.
+        """
+        n = len(symbol)
+        symbol, after, before = symbol.copy(), np.arange(1, n + 1), np.arange(-1, n - 1)
+        edge = np.flatnonzero(word[1:] != word[:-1]) + 1
+        after[edge - 1], before[edge] = n, -1
+        rank, there = np.full(n, NONE, np.int32), np.ones(n, bool)
+        waiting: dict[int, list[np.ndarray]] = {}
+        best: list[int] = []
+
+        def ranks(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+            out = np.full(len(left), NONE, np.int32)
+            at = np.flatnonzero((left >= 0) & (right >= 0))
+            hit = self.pairs.find((left[at].astype(np.uint64) << np.uint64(32)) | right[at].astype(np.uint64))
+            out[at[hit >= 0]] = self.rank_of[hit[hit >= 0]]
+            return out
+
+        def wait(at: np.ndarray) -> None:
+            """Notes the pairs that now begin at these places."""
+            rank[at] = NONE
+            at = at[after[at] < n]
+            rank[at] = ranks(symbol[at], symbol[after[at]])
+            at = at[rank[at] < NONE]
+            at = at[np.argsort(rank[at], kind="stable")]
+            for part in np.split(at, np.flatnonzero(np.diff(rank[at])) + 1) if len(at) else []:
+                k = int(rank[part[0]])
+                if k not in waiting:
+                    waiting[k] = []
+                    heapq.heappush(best, k)
+                waiting[k].append(part)
+
+        wait(np.arange(n))
+        while best:
+            k = heapq.heappop(best)
+            parts = waiting.pop(k)
+            at = np.unique(np.concatenate(parts)) if len(parts) > 1 else parts[0]
+            at = at[rank[at] == k]
+            if not len(at):
+                continue
+            piece = self.by_rank[k]
+            next_to = np.zeros(len(at), bool)  # begins where the place before it ends
+            next_to[1:] = after[at[:-1]] == at[1:]
+            index = np.arange(len(at))
+            run = next_to & ~np.concatenate([[False], next_to[:-1]])
+            since = index - np.maximum.accumulate(np.where(next_to, np.where(run, index - 1, 0), index))
+            at = at[since % 2 == 0]
+            if self.unsafe[piece]:
+                prev, end = before[at], after[after[at]]
+                less = np.zeros(len(at), bool)
+                less[prev >= 0] = ranks(symbol[prev[prev >= 0]], np.full((prev >= 0).sum(), piece)) < k
+                less[end < n] |= ranks(np.full((end < n).sum(), piece), symbol[end[end < n]]) < k
+                less[1:] |= end[:-1] == at[1:]
+                _, first, of = np.unique(word[at], return_index=True, return_inverse=True)
+                upto = np.minimum.reduceat(np.where(less, index[: len(at)], len(at)), first)[of]
+                rest, at = at[index[: len(at)] > upto], at[index[: len(at)] <= upto]
+                if len(rest):
+                    waiting[k] = [rest]
+                    heapq.heappush(best, k)
+            right = after[at]
+            symbol[at] = piece
+            rank[right], there[right] = NONE, False
+            after[at] = after[right]
+            inner = after[at] < n
+            before[after[at[inner]]] = at[inner]
+            beside = before[at]
+            wait(np.unique(np.concatenate([at, beside[beside >= 0]])))
+        return word[there], symbol[there]
+
     def _fallback(self, x: int, chars: dict[int, str]) -> list[int]:
         if 0 <= x < self.n:
             return [x]
@@ -207,7 +284,8 @@ def encode_documents(docs: DataFrame, model_path: str, cached_words: int = 300_0
 
     Ids are those of the sentencepiece library without begin or end ids; they are joined by commas
     for the digest. Null text counts as empty (no ids). Repeated rows are encoded one by one, extra
-    columns are left out. A word's ids are kept for later texts, of `cached_words` words at most.
+    columns are left out and an empty table gives no rows. A word's ids are kept for later texts, of
+    `cached_words` words at most. The cost of a word is near its length, however long it is.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
