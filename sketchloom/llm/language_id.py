@@ -52,6 +52,20 @@ class ContextModel:
             self.cost.append(np.where(seen > 0, own, escape[back] + shorter).astype(np.float32))
             self.find.append(Lookup(grams))
 
+    def code_lengths(self, texts: list[np.ndarray], piece: int = 2_000_000) -> np.ndarray:
+        """Exact code length of each text in each language; no more than about `piece` bytes are coded at once.
+
+        A long text is coded in pieces, each after the `order` bytes before it.
+        """
+        out = np.zeros((len(texts), len(self.langs)))
+        cut = [(i, b, min(b + piece, len(x))) for i, x in enumerate(texts) for b in range(0, len(x), piece)]
+        for b, e in chunks([to - at for _, at, to in cut], piece):
+            own = cut[b:e]
+            heads = [texts[i][max(0, at - self.order) : at] for i, at, _ in own]
+            bits = self.bits(*padded([texts[i][at:to] for i, at, to in own], self.order, heads))
+            np.add.at(out, [i for i, _, _ in own], bits)
+        return out
+
     @staticmethod
     def _count(order: int, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         data, starts = padded([np.frombuffer(x, np.uint8) for x in texts], order)
@@ -81,13 +95,15 @@ class ContextModel:
         return np.add.reduceat(out, starts, axis=0, dtype=np.float64)
 
 
-def padded(texts: list[np.ndarray], order: int) -> tuple[np.ndarray, np.ndarray]:
-    """All texts in one array, each after `order` line feeds, and where each begins."""
+def padded(texts: list[np.ndarray], order: int, heads: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """All texts in one array, each after `order` bytes (line feeds, and its head at their end), and where each begins."""
     sizes = np.array([len(x) + order for x in texts], np.int64)
     starts = np.cumsum(sizes) - sizes
     data = np.full(int(sizes.sum()), 10, np.uint8)
     for x, s in zip(texts, starts, strict=True):
         data[s + order : s + order + len(x)] = x
+    for x, s in zip(heads or [], starts, strict=False):
+        data[s + order - len(x) : s + order] = x
     return data, starts
 
 
@@ -131,7 +147,7 @@ def predict_language(docs: DataFrame, model: ContextModel | None, chunk_bytes: i
     of name); score is its posterior under equal priors. Null, empty and letterless texts, and all
     texts where nothing could be learned, are `und` with score 0 and null bits_per_byte. A null
     doc_id is not held out. lang, source and doc_id take no part in a prediction; repeated rows are
-    judged one by one and extra columns are left out.
+    judged one by one, extra columns are left out and an empty table gives no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
@@ -149,7 +165,7 @@ def predict_language(docs: DataFrame, model: ContextModel | None, chunk_bytes: i
                     sure += [0.0] * (e - b)
                     rate += [None] * (e - b)
                     continue
-                bits = model.bits(*padded(own, model.order))
+                bits = model.code_lengths(own)
                 best = bits.argmin(axis=1)
                 least = bits.min(axis=1)
                 with np.errstate(under="ignore"):
@@ -174,15 +190,22 @@ def language_report(docs: DataFrame) -> DataFrame:
     return predict_language(docs, fit(docs))
 
 
-def language_stage(docs: DataFrame, max_bits_per_byte: float = 16.0) -> DataFrame:
+def known(bits: float, size: int, raw_bits: float = 8.0, allowance: float = 128.0) -> bool:
+    """Whether the best code of a text of `size` bytes is no longer than the bytes as they are."""
+    return bits <= raw_bits * size + allowance
+
+
+def language_stage(docs: DataFrame, raw_bits: float = 8.0, allowance: float = 128.0) -> DataFrame:
     """The documents in a known language.
 
-    Rejected are texts that are null or have no letter, and texts whose bytes no learned language
-    has shown: with a best code of `max_bits_per_byte` or more, which escapes to order -1 give and text
-    of a learned language never does. All columns are kept.
+    A language's statistics make its own texts shorter, and texts of other languages longer, as every
+    unseen context costs an escape. So a text is rejected when its code in the best language is longer
+    than `raw_bits` a byte, which is what uniform bytes cost without a model. `allowance` bits more are
+    free, so that a few odd words don't reject a short text. Texts that are null or have no letter are
+    rejected too; where nothing could be learned, all are. All columns are kept; repeated rows are
+    judged one by one; an empty table stays empty.
     """
-    model = fit(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = docs.sparkSession.sparkContext.broadcast(fit(docs))
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -191,8 +214,8 @@ def language_stage(docs: DataFrame, max_bits_per_byte: float = 16.0) -> DataFram
             texts = [(x or "").encode() for x in batch.column(at).to_pylist()]
             stays = []
             for b, e in chunks([len(x) for x in texts], 2_000_000):
-                bits = model.bits(*padded([np.frombuffer(x, np.uint8) for x in texts[b:e]], model.order)).min(axis=1) if model else None
-                stays += [bool(model and x and LETTER.search(x.decode()) and bits[j] < max_bits_per_byte * len(x)) for j, x in enumerate(texts[b:e])]
+                bits = model.code_lengths([np.frombuffer(x, np.uint8) for x in texts[b:e]]).min(axis=1) if model else None
+                stays += [bool(model and x and LETTER.search(x.decode()) and known(bits[j], len(x), raw_bits, allowance)) for j, x in enumerate(texts[b:e])]
             yield batch.filter(pa.array(stays, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
