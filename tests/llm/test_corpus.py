@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import unicodedata
 import zlib
 from collections import Counter
@@ -45,6 +46,50 @@ def test_line_dedup(docs, empty):
     assert line_dedup.line_dedup_stage(docs).columns == docs.columns
 
 
+def test_line_dedup_keeps_the_callers_columns(spark):
+    rows = [(1, "a line that repeats\nown", 77, "k", "t"), (2, "a line that repeats\nmore", 78, "l", "u"), (None, "a line that repeats", 79, "m", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, kept_text string, digest string")
+    assert line_dedup.dedup_lines(df).columns == ["doc_id", "text", "digest", "kept_text", "n_lines", "n_dropped"]
+    got = sorted(map(tuple, line_dedup.line_dedup_stage(df).collect()), key=lambda r: r[2])
+    assert got == [rows[0], (2, "more", 78, "l", "u"), rows[2]]
+
+
+def test_line_dedup_of_a_hot_line_and_a_long_text(spark):
+    hot = "a line that very many documents hold"
+    long = "\n".join(f"line number {i} of the long text" for i in range(60_000))  # 2 MB
+    rows = [(i, f"{hot}\nown {i}\n{hot}") for i in range(3000)] + [(5000, long), (5001, long + "\nan end of its own")] + [(7, "again of document seven")] * 2
+    got = {}
+    for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        got.setdefault(r.doc_id, []).append((r.kept_text, r.n_lines, r.n_dropped))
+    assert got[0] == [(f"{hot}\nown 0\n{hot}", 3, 0)] and all(got[i] == [(f"own {i}", 3, 2)] for i in range(1, 3000) if i != 7)
+    assert got[5000] == [(long, 60_000, 0)] and got[5001] == [("an end of its own", 60_001, 60_000)]
+    assert sorted(got[7]) == [("again of document seven", 1, 0)] * 2 + [("own 7", 3, 2)]
+
+
+def test_tables_are_written_to_the_shared_folder(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(common, "shared_dir", lambda spark: str(tmp_path))
+    df = common.written(spark.range(10).toDF("x"), "ten")
+    assert df.count() == 10 and len(list((tmp_path / "sketchloom").iterdir())) == 1
+    common.discard(df)
+    assert not list((tmp_path / "sketchloom").iterdir())
+    monkeypatch.undo()
+
+    class Cluster:
+        class conf:
+            get = staticmethod(lambda key, default: default)
+
+        class sparkContext:
+            master = "yarn"
+
+            class _jsc:
+                class sc:
+                    class getCheckpointDir:
+                        isDefined = staticmethod(lambda: False)
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        common.shared_dir(Cluster)
+
+
 def test_pieces(docs, empty):
     path = public_tokenizers.path("piece_bpe_32k.model")
     lib = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -58,6 +103,24 @@ def test_pieces(docs, empty):
         assert model.decode(ids) == lib.decode(ids)
     odd = ["aaaaaaaaaaaaaaaaaaaaa", "lowerlowerlower" * 20, "ababababab" * 30]
     assert model.encode_words([piece_bpe.SPACE + w for w in odd]) == [lib.encode(w) for w in odd]
+    rng = np.random.default_rng(6)
+    mixed = ["".join(rng.choice(list(a), n)) for a in ("ab", "lowerest", "0123", "日本語の東京", "thequickbrown<>;=é🙂") for n in (1, 30, 65, 300, 5000)]
+    for long in (0, 64, 10_000):
+        assert model.encode_words([piece_bpe.SPACE + w for w in mixed], long) == [lib.encode(w) for w in mixed]
+
+
+def test_pieces_of_a_very_long_word(spark):
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    lib, model = sentencepiece.SentencePieceProcessor(model_file=path), piece_bpe.PieceModel(path)
+    rng = np.random.default_rng(7)
+    began = time.time()
+    word = "".join(rng.choice(list("etaoinshrdlu"), 1_000_000))
+    ids = model.encode_words([piece_bpe.SPACE + word])[0]
+    assert time.time() - began < 60 and lib.decode(ids) == word
+    long = " ".join("".join(rng.choice(list("etaoinshrdlu"), n)) for n in rng.integers(1, 12, 200_000))  # 1.4 MB
+    got = piece_bpe.encode_documents(spark.createDataFrame([(1, long)], "doc_id long, text string"), path).first()
+    want = lib.encode(long)
+    assert (got.n_tokens, got.ids_sha256) == (len(want), hashlib.sha256(",".join(map(str, want)).encode()).hexdigest())
 
 
 def test_packing(docs, empty):
@@ -127,6 +190,33 @@ def test_language(docs, empty):
     assert kept >= {3, 4, 5, 6, 7, 8} and not kept & {0, 1, 2, 13}
 
 
+def test_language_stage_rejects_what_no_language_shortens(spark):
+    rng = np.random.default_rng(9)
+    vocabulary = {"en": "the of and that with from house water bread street night under over window".split(), "fr": "le la les que avec dans maison rue nuit eau pain sous vous fenêtre".split()}
+    own = [(i, " ".join(rng.choice(vocabulary[lang], rng.integers(1, 60))), lang) for i, lang in enumerate(["en", "fr"] * 150)]
+    other = ["Nel mezzo del cammin di nostra vita mi ritrovai per una selva oscura, ché la diritta via era smarrita. " * 2,
+             "De kat zat op de mat en keek naar buiten, waar het al de hele dag regende en niemand op straat liep. " * 2,
+             "qwpx zzkj vvqx kjhg wqpo zxcm vbnq plok mijn uhby qzwx kkjv", "Это простой русский текст для проверки того, что он уходит.", "このテキストは日本語で書かれています。"]
+    df = spark.createDataFrame(own + [(1000 + i, t, None) for i, t in enumerate(other)] + [(2000, None, "en"), (2001, "12 34", "en")], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in language_id.language_stage(df).collect()} == set(range(300))
+    assert language_id.language_stage(df.where("lang is null")).count() == 0  # nothing to learn from
+
+
+def test_language_of_a_long_text_in_pieces(spark):
+    model = language_id.ContextModel(3, {"en": [b"the cat sat on the mat and the dog ran"], "fr": [b"le chat est sur le tapis et le chien court"]})
+    rng = np.random.default_rng(1)
+    texts = [np.frombuffer(b" ".join(rng.choice([b"the", b"cat", b"chien", b"\xc3\xa9"], n)), np.uint8) for n in (1, 40, 3000)] + [np.zeros(0, np.uint8)]
+    whole = model.bits(*language_id.padded(texts, 3))
+    for piece in (1, 7, 1000, 10**6):
+        assert np.allclose(model.code_lengths(texts, piece), whole, rtol=1e-5)
+    tie = language_id.ContextModel(1, {"b": [b"aa"], "a": [b"aa"]})
+    assert (tie.code_lengths([np.frombuffer(b"aaa", np.uint8)])[0] == tie.code_lengths([np.frombuffer(b"aaa", np.uint8)])[0][0]).all() and tie.langs == ["a", "b"]
+    long = "the cat sat on the mat and the dog ran. " * 60_000  # 2.4 MB
+    df = spark.createDataFrame([(i, long if i == 2 else "le chat est sur le tapis et le chien court" if i % 2 else "the cat sat on the mat", "fr" if i % 2 else "en") for i in range(40)] + [(2, long, "en")], "doc_id long, text string, lang string")
+    got = language_id.language_report(df).where("doc_id = 2").collect()
+    assert [r.lang_pred for r in got] == ["en", "en"]
+
+
 def test_code_lengths_are_exact():
     model = language_id.ContextModel(2, {"a": [b"abab"], "b": [b"ba"]})
     one = language_id.ContextModel(0, {"a": [b"aab"]})
@@ -170,6 +260,29 @@ def test_near_duplicates(spark, docs, empty):
     assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == set(brute_classes(TEXTS))
 
 
+def test_near_duplicates_of_repeated_ids_do_not_depend_on_row_order(spark):
+    a, b = " ".join(f"w{i}" for i in range(80)), " ".join(f"v{i}" for i in range(80))
+    rows = [(1, a), (2, b), (3, a + " end"), (4, b + " end"), (2, a), (3, b), (5, None), (6, "")]
+    answers = set()
+    for k in range(4):
+        order = [rows[i] for i in np.random.default_rng(k).permutation(len(rows))]
+        answers.add(tuple(sorted(map(tuple, minhash.near_classes(spark.createDataFrame(order, "doc_id long, text string").repartition(3)).collect()))))
+    first = {i: min((t for d, t in rows if d == i), key=lambda t: hashlib.md5((t or "").encode()).digest()) for i in range(1, 7)}
+    want = brute_classes([first[i] for i in range(1, 7)])
+    assert answers == {tuple((i, want[i - 1] + 1) for i in range(1, 7))}
+
+
+def test_near_duplicates_of_long_texts(spark):
+    rng = np.random.default_rng(5)
+    words = [f"w{x}" for x in rng.integers(0, 50_000, 200_000)]  # 1.3 MB
+    other = list(words)
+    for at in rng.choice(len(words), 2000, replace=False):
+        other[at] = "changed"
+    texts = [" ".join(words), " ".join(other), " ".join(words[::-1])]
+    got = dict(map(tuple, minhash.near_classes(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()))
+    assert got == {0: 0, 1: 0, 2: 2}
+
+
 def test_bitmaps_keep_every_key(spark, empty):
     keys = spark.range(0, 3000, 3).toDF("node")
     rows = spark.range(-50, 3000).selectExpr("id as node", "'x' as bitmap", "id as bucket").union(spark.sql("select null, 'x', 1L"))
