@@ -9,13 +9,15 @@ from .common import words_of, written
 
 # The phrases whose places are counted, and their labels.
 BASE = [("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved")]
-# Licence notices as words, with their labels and the phrases each must have.
+# Licence notices and bodies as words, with their labels and the phrases each must have.
 TEMPLATES = [
     ("mit", "released under the mit license", ["mit license"]),
-    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ["permission is hereby granted free of charge"]),
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions", ["permission is hereby granted free of charge"]),
     ("apache-2.0", "licensed under the apache license version 2 0", ["apache license version 2 0"]),
+    ("apache-2.0", "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied see the license for the specific language governing permissions and limitations under the license", ["unless required by applicable law or agreed to in writing", "governing permissions and limitations"]),
     ("gpl-3.0", "licensed under the gnu general public license version 3", ["gnu general public license version 3"]),
     ("gpl-2.0", "licensed under the gnu general public license version 2", ["gnu general public license version 2"]),
+    ("gpl", "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation", ["under the terms of the gnu general public license"]),
     ("lgpl", "gnu lesser general public license", ["lesser general public license"]),
     ("agpl", "gnu affero general public license", ["affero general public license"]),
     ("cc-by-nc", "licensed under cc by nc 4 0", ["cc by nc"]),
@@ -23,9 +25,27 @@ TEMPLATES = [
     ("cc-by-nd", "licensed under cc by nd 4 0", ["cc by nd"]),
     ("cc0", "cc0 1 0 universal public domain dedication", ["cc0 1 0"]),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met", ["redistribution and use in source and binary forms"]),
+    ("bsd", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", ["redistributions of source code must retain the above copyright notice"]),
+    ("bsd-3-clause", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission", ["endorse or promote products derived from this software"]),
     ("mpl-2.0", "subject to the terms of the mozilla public license v 2 0", ["mozilla public license"]),
+    ("mpl-2.0", "this source code form is subject to the terms of the mozilla public license v 2 0 if a copy of the mpl was not distributed with this file you can obtain one at", ["if a copy of the mpl was not distributed with this file"]),
     ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", ["permission to use copy modify", "with or without fee"]),
     ("unlicense", "this is free and unencumbered software released into the public domain", ["free and unencumbered software"]),
+    ("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable for any damages arising from the use of this software permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely", ["in no event will the authors be held liable", "alter it and redistribute it freely"]),
+    ("bsl-1.0", "boost software license version 1 0", ["boost software license"]),
+    ("mit", "spdx license identifier mit", ["spdx license identifier mit"]),
+    ("apache-2.0", "spdx license identifier apache 2 0", ["spdx license identifier apache 2 0"]),
+    ("gpl-2.0", "spdx license identifier gpl 2 0", ["spdx license identifier gpl 2 0"]),
+    ("gpl-3.0", "spdx license identifier gpl 3 0", ["spdx license identifier gpl 3 0"]),
+    ("lgpl", "spdx license identifier lgpl", ["spdx license identifier lgpl"]),
+    ("agpl", "spdx license identifier agpl", ["spdx license identifier agpl"]),
+    ("bsd", "spdx license identifier bsd 2 clause", ["spdx license identifier bsd 2 clause"]),
+    ("bsd-3-clause", "spdx license identifier bsd 3 clause", ["spdx license identifier bsd 3 clause"]),
+    ("mpl-2.0", "spdx license identifier mpl 2 0", ["spdx license identifier mpl 2 0"]),
+    ("isc", "spdx license identifier isc", ["spdx license identifier isc"]),
+    ("unlicense", "spdx license identifier unlicense", ["spdx license identifier unlicense"]),
+    ("cc0", "spdx license identifier cc0 1 0", ["spdx license identifier cc0 1 0"]),
+    ("apache-2.0", "apache 2 0", ["apache 2 0"]),
 ]
 # Words too common to be looked up.
 COMMON = frozenset("a all and any are as by for in is of or that the this to under use with without not 0 1 2 3 4".split())
@@ -57,7 +77,9 @@ def scan_licenses(docs: DataFrame, look_up: int = 8, least_score: float = 0.6) -
     phrase stands, else 0.
 
     Null text counts as empty, which has no words and no labels. Repeated rows are scanned one by
-    one; an empty table gives no rows; other columns are left out.
+    one; an empty table gives no rows; other columns are left out. Of words that equally many
+    documents hold, the first in order of letters is the rarer; of places with equal shares it does
+    not matter which counts.
     """
     spark = docs.sparkSession
     rare = [[(w, i) for i, w in enumerate(text.split()) if w not in COMMON] for _, text, _ in TEMPLATES]
