@@ -342,6 +342,49 @@ def test_pages_keep_articles_with_odd_marks():
     assert html_extract.main_text("<svg><text>no</text></svg><button>no</button><script src='x'/>no</script>") == ""
 
 
+def test_pages_without_an_article_are_judged_by_density():
+    rng = np.random.default_rng(2)
+    stops, content = "the of and a to in is that it for was on".split(), "harbour window letter morning garden engine winter bridge story market".split()
+    text = lambda n, share: " ".join(str(rng.choice(stops if rng.random() < share else content)) for _ in range(n)).capitalize() + "."
+    good = [text(60, 0.45), text(20, 0.4), "A short line.", text(80, 0.5)]
+    junk = [text(60, 0.03), text(25, 0.0)]
+    links = "<div>" + "".join(f"<a href=x><span>{w} and the rest of it all in one long link of many words of the page</span></a> " for w in content) + "</div>"
+    page = links + "".join(f"<div><p>{x}</p></div>" for x in good) + "".join(f"<div>{x}</div>" for x in junk) + links
+    want = "\n\n".join(good)
+    assert html_extract.main_text(page) == want
+    assert html_extract.main_text(page, stops_low=0, stops_high=0) == "\n\n".join(good + junk) and html_extract.main_text(page, stops_low=2, stops_high=2) == ""
+    assert html_extract.main_text(page, short=1000) == ""  # nothing decided but the links
+    marked = page.replace(f"<div><p>{good[0]}", f"<main><div><p>{good[0]}").replace(f"{good[3]}</p></div>", f"{good[3]}</p></div></main>")
+    assert html_extract.main_text(marked) == want
+    assert html_extract.main_text("<div><p>" + "我们在这里说的是一个很长的故事，他也就是这样的人。" * 15 + "</p></div>").count("故事") == 15
+    assert html_extract.main_text("<div>" + "ẹ̀dá ènìyàn náà ṣiṣẹ́ púpọ̀ " * 20 + "</div>").count("ènìyàn") == 20  # a language that is not known here
+
+
+def test_pages_keep_articles_with_weak_words():
+    text = "It was the first of the long days that they had in the house by the sea, and it is not an end."
+    body, whole = f"<p>{text}</p><p>{text}</p>", f"{text}\n\n{text}"
+    assert html_extract.main_text(f"<main><section id='related-work'>{body}</section></main>") == whole
+    assert html_extract.main_text(f"<article>{body}<p class='share-price'>{text}</p></article>") == f"{whole}\n\n{text}"
+    assert html_extract.main_text(f"<div class='widget'>{body}</div><footer>x</footer>") == whole
+    for out in ("<div class='related-posts'><a href=x><div>{}</div></a></div>", "<div class='widget'>{}</div>", "<p class='notice'>{}</p>", "<a href=x><div><p>{}</p></div></a>"):
+        assert html_extract.main_text(f"<main>{body}{out.format(text)}</main>") == whole
+    for tag in ("title-bar", "style-guide", "select-list"):
+        assert html_extract.main_text(f"<{tag}>x</{tag}><main>{body}</main>") in (whole, f"x\n\n{whole}")
+
+
+def test_pages_of_great_depth_and_length(spark):
+    text = "It was the first of the long days that they had in the house by the sea, and it is not an end."
+    began = time.time()
+    for mark in ("", " class='no-nav'"):
+        assert html_extract.main_text(f"<div{mark}>" * 20_000 + f"<p>{text}</p>" + "</div>" * 20_000) == text
+    long = "<article>" + f"<p>{text}</p>" * 20_000 + "</article>"  # 2 MB
+    assert html_extract.main_text(long).count(text) == 20_000 and time.time() - began < 60
+    rows = [(1, "u", long, "x"), (1, "u", long, "x"), (None, None, "<p>x", "y")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
+    got = html_extract.extract_pages(df).collect()
+    assert [r.n_chars for r in got if r.page_id] == [len(html_extract.main_text(long))] * 2 and html_extract.extract_pages(df.limit(0)).count() == 0
+
+
 def test_licenses(docs, empty):
     got = {r.doc_id: r for r in license_scan.scan_licenses(docs).collect()}
     for i, t in enumerate(TEXTS):
