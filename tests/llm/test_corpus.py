@@ -508,3 +508,43 @@ def test_every_code_within_the_radius_is_met():
         met = table.probe(codes[:40], flips)
         gap = np.bitwise_count(codes[:40, None] ^ codes[None])
         assert (met == (gap.min(axis=2) <= flips)).all() and met[gap.sum(axis=2) < 4 * (flips + 1)].all()
+
+
+def brute_spots(text, chain=2):
+    words = WORD.findall((text or "").translate(LOWER))
+    after, out = [], set()
+    for w in reversed(words):
+        if w not in spotsigs.ANCHORS:
+            after = [w, *after[: chain - 1]]
+        elif len(after) == chain:
+            out.add((w, *after))
+    return out or {tuple(words) or (text or "",)}
+
+
+def test_fingerprints_against_brute_force(spark):
+    rng = np.random.default_rng(11)
+    vocabulary = "the of and a to river stone paper window letter le la des maison Haus über 日本 x1".split()
+    texts = [*TEXTS, *(" ".join(rng.choice(vocabulary, rng.integers(0, 80))) for _ in range(60))]
+    texts += [texts[-1], texts[-1] + " and the river stone", " ".join(rng.choice(vocabulary, 300_000))]  # copies and 1.5 MB
+    ids = [3 * i for i in range(len(texts))]
+    df = spark.createDataFrame(list(zip(ids, texts, ["c"] * len(ids), strict=True)), "doc_id long, text string, spots string").repartition(5)
+    got = {r.doc_id: r for r in spotsigs.fingerprint_report(df).collect()}
+    like = lambda a, b: len(a & b) / len(a | b)
+    same = {}
+    for i, t in zip(ids, texts, strict=True):
+        t, after = t or "", texts[(i // 3 + 1) % len(texts)] or ""
+        edited = t[: len(t) - len(t) // 4] + after[: len(t) // 4]
+        a, b, c = brute_spots(t), brute_spots(edited), brute_spots(after)
+        assert got[i].near_edited == pytest.approx(like(a, b)) and got[i].near_next == pytest.approx(like(a, c))
+        assert len(got[i].fingerprint.split()) == len(a) and len(got[i].edited_fingerprint.split()) == len(b)
+        assert same.setdefault(frozenset(a), got[i].fingerprint) == got[i].fingerprint
+    assert len(set(same.values())) == len(same)
+
+
+def test_fingerprints_of_one_document_repeats_and_null_ids(spark):
+    kind = "doc_id long, text string"
+    one = spotsigs.fingerprint_report(spark.createDataFrame([(4, "the river stone paper")], kind)).collect()
+    assert [(r.doc_id, r.near_next, r.n_chars) for r in one] == [(4, 1.0, 21)]
+    rows = [(1, "a b c d"), (1, "a b c d"), (None, "the river stone"), (2, None)]
+    got = spotsigs.fingerprint_report(spark.createDataFrame(rows, kind)).collect()
+    assert sorted(r.n_chars for r in got) == [0, 7, 7, 15] and len({r.fingerprint for r in got if r.doc_id == 1}) == 1
