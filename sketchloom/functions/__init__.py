@@ -20,13 +20,12 @@ def words(text: Column) -> Column:
 
 
 def word_shingles(words: Column, width: int = 3) -> Column:
-    """All runs of `width` words of an array column; none for shorter arrays.
-
-    The array must be a column of its own: an expression would be evaluated for every run.
-    """
-    n = F.size(words) - width + 1
-    joined = F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(words, i, width), " "))
-    return F.when(n > 0, joined).otherwise(F.array().cast("array<string>"))
+    """All runs of `width` words of an array column, in order; none for shorter arrays."""
+    joined = words
+    for k in range(1, width):  # beyond the end of the shorter array the zipped word is null, and so is the run
+        later = F.slice(words, k + 1, F.greatest(F.size(words) - k, F.lit(0)))
+        joined = F.zip_with(joined, later, lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.filter(joined, lambda x: x.isNotNull())
 
 
 def kmers(text: Column, k: int) -> Column:

@@ -2,37 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import bit_length, ceil_log2
+from .ordered import row_numbers
 
 
 def union_hashes(postings: DataFrame) -> DataFrame:
     return postings.select("h").distinct()
 
 
-def dense_ids(hashes: DataFrame, bits: int = 52, prefix: int = 10) -> DataFrame:
-    """h, id: the 1-based rank of every hash.
+def dense_ids(hashes: DataFrame) -> DataFrame:
+    """h, id: the 1-based rank of every hash, counted in ranges of the hashes."""
+    return row_numbers(hashes.select("h"), ["h"], "id")
 
-    Hashes are split by their first `prefix` bits: ranks within a part and sizes of the parts
-    before it give the rank, so no task sees all hashes.
-    """
-    parted = hashes.withColumn("part", F.shiftright("h", bits - prefix))
-    sizes = parted.groupBy("part").agg(F.count("*").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    inside = F.row_number().over(Window.partitionBy("part").orderBy("h"))
-    return parted.withColumn("rank", inside).join(bases, "part").select("h", (F.col("base") + F.col("rank")).alias("id"))
 
+def matched(found: Column, key: Column) -> Column:
+    """found, or an error that names the key where nothing was found."""
+    return F.when(found.isNull(), F.raise_error(F.concat(F.lit("not in the dictionary: "), F.coalesce(key.cast("string"), F.lit("null"))))).otherwise(found)
 
-def encode(postings: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """acc, id; a hash that the dictionary lacks gives a null id, for misses() to report."""
-    return postings.join(dictionary, "h", "left").select("acc", "id")
 
+def encode(postings: DataFrame, dictionary: DataFrame, must_match: bool = True) -> DataFrame:
+    """acc, id; a hash that the dictionary lacks is an error, or a null id for misses() to report."""
+    id_ = matched(F.col("id"), F.col("h")) if must_match else F.col("id")
+    return postings.join(dictionary, "h", "left").select("acc", id_.alias("id"))
 
-def decode(ids: DataFrame, dictionary: DataFrame) -> DataFrame:
-    return ids.join(dictionary, "id", "left").select("acc", "h")
+
+def decode(ids: DataFrame, dictionary: DataFrame, must_match: bool = True) -> DataFrame:
+    """acc, h; an id that the dictionary lacks (0, or more than it has) is an error, or a null hash."""
+    h = matched(F.col("h"), F.col("id")) if must_match else F.col("h")
+    return ids.join(dictionary, "id", "left").select("acc", h.alias("h"))
 
 
 def misses(keys: DataFrame, dictionary: DataFrame, key: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import dequantise
+from ..sources.files import FORMAT_VERSION, check_version
 
 
 def neighbours(edges: DataFrame, ids: DataFrame, top: int | None = 10) -> DataFrame:
@@ -65,8 +66,16 @@ def matrix_slice(edges: DataFrame, rows: DataFrame, cols: DataFrame, block: int
     )
 
 
-def reindex(edges: DataFrame, mapping: DataFrame) -> DataFrame:
-    """Edges between the mapped accessions (old, new), under their new numbers."""
+def reindex(edges: DataFrame, mapping: DataFrame, must_match: bool = True) -> DataFrame:
+    """Edges between the mapped accessions (old, new), under their new numbers.
+
+    Edges of accessions that are not mapped are left out. With must_match a mapped accession that the
+    matrix lacks is an error; every accession has at least the edge to itself.
+    """
+    if must_match:
+        lost = mapping.join(edges.select(F.col("row").alias("old")).distinct(), "old", "left_anti").limit(5).collect()
+        if lost:
+            raise KeyError(f"not in the matrix: {[r.old for r in lost]}")
     rows = mapping.select(F.col("old").alias("row"), F.col("new").alias("new_row"))
     cols = mapping.select(F.col("old").alias("col"), F.col("new").alias("new_col"))
     return edges.join(rows, "row").join(cols, "col").select(F.col("new_row").alias("row"), F.col("new_col").alias("col"), "q")
@@ -112,8 +121,24 @@ def matrix_diff(a: DataFrame, b: DataFrame) -> DataFrame:
     return x.join(y, ["row", "col"], "full").where(~F.col("q_a").eqNullSafe(F.col("q_b")))
 
 
+def in_order(edges: DataFrame) -> DataFrame:
+    """Edges by ascending row and col, as a cut leaves them to be written."""
+    return edges.orderBy("row", "col")
+
+
 def write_matrix(edges: DataFrame, path: str, n_rows: int, shards: int) -> None:
-    """Edges as Parquet, a folder for each shard of consecutive rows, sorted by row and col."""
+    """Edges as Parquet, a folder for each shard of consecutive rows, sorted by row and col, and the format version.
+
+    What the folder held before is replaced.
+    """
     size = -(-n_rows // shards)
     sharded = edges.withColumn("shard", F.floor(F.col("row") / size).cast("int"))
-    sharded.repartition("shard", "row").sortWithinPartitions("shard", "row", "col").write.partitionBy("shard").parquet(path)
+    sharded.repartition("shard", "row").sortWithinPartitions("shard", "row", "col").write.mode("overwrite").partitionBy("shard").parquet(f"{path}/edges")
+    edges.sparkSession.createDataFrame([(str(FORMAT_VERSION),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/version")
+
+
+def read_matrix(spark: SparkSession, path: str) -> DataFrame:
+    """shard, row, col and q of a written matrix; another format version is an error."""
+    found = spark.read.text(f"{path}/version").first()
+    check_version(found.value if found else "none")
+    return spark.read.parquet(f"{path}/edges")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import jaccard, quantise
+from ..sources.staging import staged
 from .sketch import set_classes, set_sizes
 
 #: dot / d > 0.05 (a + b) is the same as Jaccard > 1 / 19.
@@ -19,13 +20,16 @@ def similarity_join(postings: DataFrame, share: float = STORED) -> DataFrame:
 
     Accessions with equal sets are one, by the smallest, so copies don't multiply. The sets meet on
     their hashes; each unordered pair is counted once and mirrored, and every set meets itself.
+    Postings, members and pairs are written once for all that reads them.
     """
-    classes = set_classes(postings).where("acc = rep").select("acc", "n")
-    kept = postings.join(classes, "acc")
+    postings = staged(postings.select("acc", "h"), "postings")
+    classes = staged(set_classes(postings).where("acc = rep").select("acc", "n"), "classes")
+    kept = staged(postings.join(classes, "acc"), "members")
     left = kept.select("h", F.col("acc").alias("row"), F.col("n").alias("a"))
     right = kept.select("h", F.col("acc").alias("col"), F.col("n").alias("b"))
-    common = left.join(right, "h").where("row < col").groupBy("row", "col", "a", "b").agg(F.count("*").alias("common"))
-    half = common.where(F.col("common") > share * (F.col("a") + F.col("b")))
+    # two sets can only be linked if the smaller one alone is large enough
+    common = left.join(right, "h").where("row < col").where(F.least("a", "b") > share * (F.col("a") + F.col("b"))).groupBy("row", "col", "a", "b").agg(F.count("*").alias("common"))
+    half = staged(common.where(F.col("common") > share * (F.col("a") + F.col("b"))), "pairs")
     own = classes.select(F.col("acc").alias("row"), F.col("acc").alias("col"), F.col("n").alias("a"), F.col("n").alias("b"), F.col("n").alias("common"))
     mirror = half.select(F.col("col").alias("row"), F.col("row").alias("col"), F.col("b").alias("a"), F.col("a").alias("b"), "common")
     score = jaccard(F.col("common"), F.col("a"), F.col("b"))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import HASH_BITS, kmers, portable_hash, word_shingles, words
+from ..functions import HASH_BITS, kmers, word_shingles, words
+from ..sources.staging import dealt
 
 
 def shingle_postings(docs: DataFrame, id_col: str = "doc_id", width: int = 3, scaled: int = 4) -> DataFrame:
@@ -13,18 +14,31 @@ def shingle_postings(docs: DataFrame, id_col: str = "doc_id", width: int = 3, sc
 
     Distinct within the row that holds the text, so nothing is shuffled.
     """
-    kept = F.array_distinct(F.filter(F.transform(word_shingles(F.col("words"), width), portable_hash), lambda h: h < (1 << HASH_BITS) // scaled))
-    split = docs.where("text is not null").select(F.col(id_col).alias("acc"), words(F.col("text")).alias("words"))
-    return split.select("acc", F.explode(kept).alias("h"))
+    return hashed(shingled(docs, id_col, width, True), scaled)
+
+
+def shingled(docs: DataFrame, id_col: str, width: int, distinct: bool) -> DataFrame:
+    """acc, shingle: the word shingles of every text."""
+    split = dealt(docs.where("text is not null").select(F.col(id_col).alias("acc"), "text")).select("acc", words(F.col("text")).alias("words"))
+    runs = word_shingles(F.col("words"), width)
+    return split.select("acc", F.explode(F.array_distinct(runs) if distinct else runs).alias("shingle"))
+
+
+def hashed(shingles: DataFrame, scaled: int) -> DataFrame:
+    """acc, h: hashes of the first of `scaled` parts of the hash space.
+
+    The shingles are rows here, so hashing is compiled; only what stays is turned into a number.
+    """
+    digest = shingles.select("acc", F.md5("shingle").alias("digest"))
+    most = f"{(1 << HASH_BITS) // scaled:013x}"  # digits of equal length are in the order of their numbers
+    kept = digest.where(F.substring("digest", 1, 13) < most)
+    return kept.select("acc", F.conv(F.substring("digest", 1, 13), 16, 10).cast("long").alias("h"))
 
 
 def abundant_postings(docs: DataFrame, id_col: str = "doc_id", width: int = 3, scaled: int = 4, least: int = 2) -> DataFrame:
     """acc, h, abund: hashes that a text has at least `least` times."""
-    hashes = F.filter(F.transform(word_shingles(F.col("words"), width), portable_hash), lambda h: h < (1 << HASH_BITS) // scaled)
     return (
-        docs.where("text is not null")
-        .select(F.col(id_col).alias("acc"), words(F.col("text")).alias("words"))
-        .select("acc", F.explode(hashes).alias("h"))
+        hashed(shingled(docs, id_col, width, False), scaled)
         .groupBy("acc", "h")
         .agg(F.count("*").alias("abund"))
         .where(F.col("abund") >= least)
@@ -35,7 +49,7 @@ def kmer_sets(seqs: DataFrame, k: int, alphabet: str = "ACGT") -> DataFrame:
     """id, kmer: the distinct windows of k letters of sequences, of the alphabet only; a-z count as A-Z."""
     upper = F.translate("seq", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     kept = F.array_distinct(F.filter(kmers(upper, k), lambda x: x.rlike(f"^[{alphabet}]+\\z")))
-    return seqs.where("seq is not null").select("id", F.explode(kept).alias("kmer"))
+    return dealt(seqs.where("seq is not null")).select("id", F.explode(kept).alias("kmer"))
 
 
 def set_sizes(postings: DataFrame) -> DataFrame:
@@ -45,10 +59,10 @@ def set_sizes(postings: DataFrame) -> DataFrame:
 def set_classes(postings: DataFrame) -> DataFrame:
     """acc, rep, n: accessions with equal hash sets share the smallest as representative.
 
-    Sets are compared by their size and two independent 64-bit sums over hashed members, which
+    Sets are compared by their size and two independent 64-bit xors over hashed members, which
     aggregate before the shuffle whatever a set's size.
     """
-    mixed = [F.sum(F.xxhash64("h", F.lit(salt)).cast("decimal(20,0)")) for salt in (1, 2)]
+    mixed = [F.bit_xor(F.xxhash64("h", F.lit(salt))) for salt in (1, 2)]
     marks = postings.groupBy("acc").agg(F.count("*").alias("n"), mixed[0].alias("m1"), mixed[1].alias("m2"))
     reps = marks.groupBy("n", "m1", "m2").agg(F.min("acc").alias("rep"))
     return marks.join(reps, ["n", "m1", "m2"]).select("acc", "rep", "n")

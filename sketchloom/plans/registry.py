@@ -13,7 +13,9 @@ from ..operators import matrix as M
 from ..operators import roundtrip as R
 from ..operators import similarity as S
 from ..operators import sketch as K
+from ..operators.ordered import members_around, ranged, row_numbers, running_sum
 from ..operators.projection import as_int16, project
+from ..sources.staging import staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -58,17 +60,18 @@ def edges(spark, d):
 
 
 def asked(spark, d):
-    """The asked ids: documents of one source in ten."""
-    return table(spark, d, "documents").where("source in ('src1', 'src2')").select(F.col("doc_id").alias("id"))
+    """The asked ids: documents whose id is divisible by 20."""
+    return table(spark, d, "documents").where("doc_id % 20 = 0").select(F.col("doc_id").alias("id"))
 
 
-ASKED = "asked AS (SELECT doc_id AS id FROM documents WHERE source IN ('src1', 'src2'))"
+ASKED = "asked AS (SELECT doc_id AS id FROM documents WHERE doc_id % 20 = 0)"
 
 
 # --- sketches -------------------------------------------------------------------------------------
 @query("kmer_extract", """SELECT id, count(DISTINCT kmer) AS n, min(kmer) AS first_kmer, max(kmer) AS last_kmer FROM
-  (SELECT doc_id AS id, unnest(list_transform(range(1, greatest(1, length(text) - 29)), lambda i: substr(upper(text), i, 31))) AS kmer FROM documents WHERE length(text) = strlen(text))
-  WHERE regexp_full_match(kmer, '[A-Z .]+') GROUP BY id""")
+  (SELECT doc_id AS id, unnest(list_transform(range(1, greatest(1, length(t) - 29)), lambda i: substr(t, i, 31))) AS kmer
+    FROM (SELECT doc_id, regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z .]', chr(1), 'g') AS t FROM documents))
+  WHERE NOT contains(kmer, chr(1)) GROUP BY id""")
 def kmer_extract(spark, d):
     docs = table(spark, d, "documents").select(F.col("doc_id").alias("id"), F.col("text").alias("seq"))
     return K.kmer_sets(docs, 31, "A-Z .").groupBy("id").agg(F.count("*").alias("n"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer"))
@@ -114,12 +117,15 @@ IDS = POSTINGS + ", dict AS (SELECT h, row_number() OVER (ORDER BY h) AS id FROM
 
 @query("dict_encode", f"WITH {IDS} SELECT acc, id FROM postings JOIN dict USING (h)")
 def dict_encode(spark, d):
-    return D.encode(postings(spark, d), dense_ids(spark, d))
+    members = staged(postings(spark, d), "postings")
+    return D.encode(members, D.dense_ids(D.union_hashes(members)))
 
 
 @query("dict_decode", f"WITH {IDS} SELECT acc, h FROM postings JOIN dict USING (h)")
 def dict_decode(spark, d):
-    return D.decode(dict_encode(spark, d), dense_ids(spark, d))
+    members = staged(postings(spark, d), "postings")
+    ids = staged(D.dense_ids(D.union_hashes(members)), "dictionary")
+    return D.decode(D.encode(members, ids), ids)
 
 
 @query("dict_misses", f"WITH {POSTINGS} SELECT DISTINCT acc, h FROM hashes WHERE h < 2251799813685248 AND h NOT IN (SELECT h FROM postings)")
@@ -149,9 +155,9 @@ def set_intersect(spark, d):
     return table(spark, d, "orders").select(F.col("o_custkey").alias("key")).intersect(table(spark, d, "customer").where("c_acctbal > 0").select("c_custkey"))
 
 
-@query("set_except", "SELECT c_custkey AS key FROM customer EXCEPT SELECT o_custkey FROM orders")
+@query("set_except", "SELECT DISTINCT l_partkey AS key FROM lineitem WHERE l_quantity >= 49 EXCEPT SELECT p_partkey FROM part WHERE p_size <= 25")
 def set_except(spark, d):
-    return table(spark, d, "customer").select(F.col("c_custkey").alias("key")).exceptAll(table(spark, d, "orders").select("o_custkey").distinct())
+    return table(spark, d, "lineitem").where("l_quantity >= 49").select(F.col("l_partkey").alias("key")).subtract(table(spark, d, "part").where("p_size <= 25").select("p_partkey"))
 
 
 @query("anti_join", "SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -213,9 +219,6 @@ def jaccard_est(spark, d):
     return hits(spark, d).select("query_idx", "vec_id", F.round("jaccard", 6).alias("jaccard"))
 
 
-query("hv_query", ORACLE_SQL["jaccard_est"])(jaccard_est)
-
-
 @query("hv_topk", f"""WITH {HITS}, r AS (SELECT query_idx, vec_id, jaccard, row_number() OVER (PARTITION BY query_idx ORDER BY round(jaccard, 9) DESC, vec_id) AS rank FROM hits WHERE jaccard >= 0.05)
   SELECT query_idx, rank, vec_id, round(jaccard, 6) AS jaccard FROM r WHERE rank <= 10""")
 def hv_topk(spark, d):
@@ -235,24 +238,34 @@ def intersection_est(spark, d):
     return hits(spark, d).groupBy("query_idx").agg(F.count("*").alias("n"), F.round(F.sum("dot"), 4).alias("estimated"))
 
 
-MASK = "18446744073709551615::UHUGEINT"
-MIXED = """mixed AS (SELECT acc, z2 ^ (z2 >> 31) AS x FROM (SELECT acc, CAST(((z1 ^ (z1 >> 27))::UHUGEINT * 10723151780598845931::UHUGEINT) % 18446744073709551616::UHUGEINT AS UBIGINT) AS z2 FROM
-  (SELECT acc, CAST(((z0 ^ (z0 >> 30))::UHUGEINT * 13787848793156543929::UHUGEINT) % 18446744073709551616::UHUGEINT AS UBIGINT) AS z1 FROM
-  (SELECT acc, CAST((h::UHUGEINT + 11400714819323198485::UHUGEINT) % 18446744073709551616::UHUGEINT AS UBIGINT) AS z0 FROM postings))))"""
+MIXED = """mixed AS (SELECT acc, word, xor(z2, z2 >> 31) AS x FROM (SELECT acc, word, CAST((xor(z1, z1 >> 27)::UHUGEINT * 10723151780598845931::UHUGEINT) % 18446744073709551616::UHUGEINT AS UBIGINT) AS z2 FROM
+  (SELECT acc, word, CAST((xor(z0, z0 >> 30)::UHUGEINT * 13787848793156543929::UHUGEINT) % 18446744073709551616::UHUGEINT AS UBIGINT) AS z1 FROM
+  (SELECT acc, word, CAST((h::UHUGEINT + 11400714819323198485::UHUGEINT + (word * {step})::UHUGEINT) % 18446744073709551616::UHUGEINT AS UBIGINT) AS z0 FROM postings, range({words}) w(word)))))"""
+VALUES = f"WITH {POSTINGS}, {MIXED}, v AS (SELECT acc, word * 64 + n AS component, CAST(sum(1 - 2 * CAST((x >> n) & 1 AS INTEGER)) AS BIGINT) AS value FROM mixed, range(64) t(n) GROUP BY acc, word, n)"
+VALUES_64, VALUES_2048 = VALUES.replace("{step}", "64").replace("{words}", "1"), VALUES.replace("{step}", "2048").replace("{words}", "32")
 
 
-@query("project", f"""WITH {POSTINGS}, {MIXED.replace("z2 ^ (z2 >> 31)", "xor(z2, z2 >> 31)").replace("z1 ^ (z1 >> 27)", "xor(z1, z1 >> 27)").replace("z0 ^ (z0 >> 30)", "xor(z0, z0 >> 30)")}
-  SELECT acc, n AS component, CAST(sum(1 - 2 * CAST((x >> n) & 1 AS INTEGER)) AS BIGINT) AS value FROM mixed, range(64) t(n) GROUP BY acc, n""")
+@query("project", f"{VALUES_64} SELECT acc, component, value FROM v")
 def project64(spark, d):
     """Vectors of 64 components, one row for each."""
     return project(postings(spark, d), 64).select("acc", F.posexplode("v").alias("component", "value")).select("acc", F.col("component").cast("long").alias("component"), F.col("value").cast("long").alias("value"))
 
 
-@query("build_vectors")
+@query("build_vectors", f"""{VALUES_2048} SELECT acc, list(CAST(greatest(least(value, 32767), -32768) AS SMALLINT) ORDER BY component) AS v, CAST(sum(value * value) AS DOUBLE) / 2048 AS n2 FROM v GROUP BY acc HAVING sum(value * value) > 0""")
 def build_vectors(spark, d):
     return as_int16(project(postings(spark, d), 2048))
 
 
+@query("hv_query", f"""{VALUES_64}, n2 AS (SELECT acc, sum(value * value) / 64.0::DOUBLE AS n FROM v GROUP BY acc), p AS (SELECT x.acc AS query_idx, y.acc AS vec_id, sum(x.value * y.value) / 64.0::DOUBLE AS dot FROM v x JOIN v y USING (component) WHERE x.acc % 20 = 0 GROUP BY ALL),
+s AS (SELECT query_idx, vec_id, CASE WHEN a.n + b.n - dot > 0 THEN dot / (a.n + b.n - dot) ELSE 0 END AS jaccard FROM p JOIN n2 a ON a.acc = query_idx JOIN n2 b ON b.acc = vec_id WHERE a.n > 0 AND b.n > 0)
+SELECT query_idx, vec_id, round(jaccard, 6) AS jaccard FROM s WHERE jaccard >= 0.05""")
+def hv_query(spark, d):
+    """Sketches of documents searched by their projected vectors: every twentieth against all."""
+    vectors = staged(project(postings(spark, d), 64).select(F.col("acc").alias("vec_id"), F.col("v").alias("embedding")), "vectors")
+    found = S.vector_hits(vectors.where("vec_id % 20 = 0"), vectors, dim_scale=64.0)
+    return found.select("query_idx", "vec_id", F.round("jaccard", 6).alias("jaccard"))
+
+
 # --- matrix ---------------------------------------------------------------------------------------
 RANKED = 'ranked AS (SELECT "row", "col", q, row_number() OVER (PARTITION BY "row" ORDER BY q DESC, "col") AS rank FROM edges)'
 
@@ -330,7 +343,7 @@ def slice_(spark, d):
   SELECT a.new AS "row", b.new AS "col", q FROM edges JOIN m a ON "row" = a.old JOIN m b ON "col" = b.old""")
 def matrix_reindex(spark, d):
     mapping = table(spark, d, "documents").where("lang = 'en'").select(F.col("doc_id").alias("old"), (1000000 - F.col("doc_id")).alias("new"))
-    return M.reindex(edges(spark, d), mapping)
+    return M.reindex(edges(spark, d), mapping, must_match=False)
 
 
 @query("matrix_diff", f"""WITH {EDGES}, a AS (SELECT "row", "col", q FROM edges WHERE q >= 100), b AS (SELECT "row", "col", CASE WHEN q > 200 THEN q - 1 ELSE q END AS q FROM edges WHERE q >= 120)
@@ -394,53 +407,38 @@ def sdc_code(spark, d):
 
 @query("freq_dict", "SELECT l_partkey AS value, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, l_partkey) - 1 AS code FROM lineitem GROUP BY l_partkey")
 def freq_dict(spark, d):
-    """Codes by falling frequency: ranks of (-count, value) pairs, dealt into parts by count."""
+    """Codes by falling frequency, equal counts by value; counted in ranges of (count, value)."""
     counts = table(spark, d, "lineitem").groupBy(F.col("l_partkey").alias("value")).agg(F.count("*").alias("n"))
-    base = counts.groupBy("n").agg(F.count("*").alias("m")).withColumn("base", F.expr("coalesce(sum(m) over (order by n desc rows between unbounded preceding and 1 preceding), 0)"))
-    return counts.withColumn("r", F.expr("row_number() over (partition by n order by value)")).join(base.drop("m"), "n").select("value", "n", (F.col("base") + F.col("r") - 1).alias("code"))
+    ranked = row_numbers(counts.withColumn("less", -F.col("n")), ["less", "value"], "code")
+    return ranked.select("value", "n", (F.col("code") - 1).alias("code"))
 
 
 @query("rank1", "SELECT doc_id, sum(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS ones FROM labels")
 def rank1(spark, d):
-    """Ones before each place, by blocks of 512 places and then inside the block."""
-    bits = table(spark, d, "labels").select("doc_id", F.expr("int(coalesce(toxic = 1, false))").alias("bit"), F.expr("doc_id div 512").alias("block"))
-    base = bits.groupBy("block").agg(F.sum("bit").alias("m")).withColumn("base", F.expr("sum(m) over (order by block rows between unbounded preceding and 1 preceding)")).drop("m")
-    inner = F.expr("sum(bit) over (partition by block order by doc_id rows between unbounded preceding and 1 preceding)")
-    ones = bits.withColumn("inner", inner).join(base, "block")
-    return ones.select("doc_id", F.when(F.col("base").isNull() & F.col("inner").isNull(), None).otherwise(F.coalesce("base", F.lit(0)) + F.coalesce("inner", F.lit(0))).alias("ones"))
+    """Ones before each place."""
+    bits = table(spark, d, "labels").select("doc_id", F.expr("int(coalesce(toxic = 1, false))").alias("bit"))
+    return running_sum(ranged(bits, "doc_id"), ["doc_id"], "bit", "ones").select("doc_id", "ones")
 
 
-def with_geq(spark, d):
-    """Order dates' days, and for every event day the next order day from it on and the last one up to it."""
-    days = table(spark, d, "orders").select(F.col("o_custkey").alias("x")).distinct()
-    asked_ = table(spark, d, "customer").select(F.col("c_custkey").alias("x"))
-    both = days.withColumn("member", F.col("x")).unionByName(asked_.withColumn("member", F.lit(None).cast("long"))).withColumn("block", F.expr("x div 1024"))
-    per = both.groupBy("block").agg(F.min("member").alias("lo"), F.max("member").alias("hi"))
-    per = per.withColumn("after", F.expr("first(lo, true) over (order by block rows between 1 following and unbounded following)")).withColumn("before", F.expr("last(hi, true) over (order by block rows between unbounded preceding and 1 preceding)"))
-    inside = both.withColumn("up", F.expr("min(member) over (partition by block order by x range between current row and unbounded following)")).withColumn("down", F.expr("max(member) over (partition by block order by x range between unbounded preceding and current row)"))
-    return inside.where("member is null").join(per, "block").select("x", F.coalesce("up", "after").alias("next_geq"), F.coalesce("down", "before").alias("prev_leq"))
+def around(spark, d):
+    """The customers that have orders, before and after every customer's key."""
+    return members_around(table(spark, d, "orders").select(F.col("o_custkey").alias("x")).distinct(), table(spark, d, "customer").select(F.col("c_custkey").alias("x")))
 
 
 @query("next_geq", "SELECT c_custkey AS x, (SELECT min(o_custkey) FROM orders WHERE o_custkey >= c_custkey) AS next_geq FROM customer")
 def next_geq(spark, d):
-    return with_geq(spark, d).select("x", "next_geq")
+    return around(spark, d).select("x", "next_geq")
 
 
 @query("prev_leq", "SELECT c_custkey AS x, (SELECT max(o_custkey) FROM orders WHERE o_custkey <= c_custkey) AS prev_leq FROM customer")
 def prev_leq(spark, d):
-    return with_geq(spark, d).select("x", "prev_leq")
+    return around(spark, d).select("x", "prev_leq")
 
 
 @query("locate", "SELECT c_custkey AS x, (SELECT max(o_custkey) FROM orders WHERE o_custkey <= c_custkey) AS low, (SELECT min(o_custkey) FROM orders WHERE o_custkey > c_custkey) AS high FROM customer")
 def locate(spark, d):
     """The members on both sides: the last up to x and the first beyond it."""
-    beyond = with_geq(spark, d).select(F.col("x").alias("y"), F.col("next_geq").alias("high"))
-    step = table(spark, d, "customer").select(F.col("c_custkey").alias("x"))
-    nxt = step.withColumn("y", F.col("x") + 1)
-    asked_ = with_geq(spark, d).select("x", F.col("prev_leq").alias("low"))
-    last = table(spark, d, "orders").select("o_custkey").distinct()
-    own = nxt.join(beyond, "y", "left").join(last.select(F.col("o_custkey").alias("y")).withColumn("is_y", F.lit(True)), "y", "left")
-    return asked_.join(own.select("x", F.when(F.col("is_y"), F.col("y")).otherwise(F.col("high")).alias("high")), "x")
+    return around(spark, d).select("x", F.col("prev_leq").alias("low"), F.col("next_gt").alias("high"))
 
 
 BINS = [0, 100, 1000, 10000, 50000, 100000, 200000, 10**9]
@@ -470,9 +468,21 @@ def filter_eq(spark, d):
     return table(spark, d, "part").where("p_size = 31").select("p_partkey", "p_name")
 
 
-@query("json_array_extract", "SELECT event_id, CAST(json_extract(props, '$.k') AS VARCHAR) AS k FROM events")
+@query("json_array_extract", "SELECT l_orderkey AS id, l_partkey AS h, count(*) AS n FROM lineitem GROUP BY l_orderkey, l_partkey")
 def json_array_extract(spark, d):
-    return table(spark, d, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"))
+    """The members of `mins` arrays in JSON records, one record for each order."""
+    records = table(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_partkey").alias("mins")).select(F.col("l_orderkey").alias("id"), F.to_json(F.struct("mins")).alias("record"))
+    mins = F.from_json("record", "mins array<long>")["mins"]
+    return records.select("id", F.explode(mins).alias("h")).groupBy("id", "h").agg(F.count("*").alias("n"))
+
+
+@query("map_keys", "SELECT l_orderkey AS id, l_partkey AS h, sum(l_linenumber) AS abund FROM lineitem GROUP BY l_orderkey, l_partkey")
+def map_keys(spark, d):
+    """Hashes and abundances of `mins` that are JSON objects (hash to abundance)."""
+    counted = table(spark, d, "lineitem").groupBy("l_orderkey", "l_partkey").agg(F.sum("l_linenumber").alias("n"))
+    records = counted.groupBy("l_orderkey").agg(F.map_from_entries(F.collect_list(F.struct(F.col("l_partkey").cast("string"), "n"))).alias("mins"))
+    mins = F.from_json(F.to_json(F.struct("mins")), "mins map<string, long>")["mins"]
+    return records.select(F.col("l_orderkey").alias("id"), F.explode(mins).alias("key", "abund")).select("id", F.col("key").cast("long").alias("h"), "abund")
 
 
 @query("accession_from_path", "SELECT page_id, split_part(string_split(url, '/')[-1], '.', 1) AS acc FROM pages")
@@ -490,9 +500,11 @@ def clamp16(spark, d):
     return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", X.clamp16(F.floor("l_extendedprice")).alias("v"))
 
 
-@query("scale_dim", "SELECT vec_id, round(embedding[1]::DOUBLE / sqrt(len(embedding)), 9) AS first FROM embeddings")
+@query("scale_dim", "SELECT vec_id, i - 1 AS component, round(embedding[i]::DOUBLE / sqrt(len(embedding)), 9) AS value FROM embeddings, range(1, 65) t(i) WHERE i <= len(embedding)")
 def scale_dim(spark, d):
-    return table(spark, d, "embeddings").select("vec_id", F.round(F.get("embedding", F.lit(0)).cast("double") / F.sqrt(F.size("embedding")), 9).alias("first"))
+    """Every component over the square root of the dimension."""
+    parts = table(spark, d, "embeddings").select("vec_id", F.size("embedding").alias("dim"), F.posexplode("embedding").alias("component", "x"))
+    return parts.select("vec_id", F.col("component").cast("long").alias("component"), F.round(F.col("x").cast("double") / F.sqrt("dim"), 9).alias("value"))
 
 
 @query("size_report", "SELECT source, count(*) AS files, sum(n_chars) AS bytes, round(sum(n_chars) / 1048576.0, 3) AS mib FROM documents GROUP BY source")
@@ -506,15 +518,18 @@ def human_time(spark, d):
     return table(spark, d, "events").select("event_id", X.human_time(F.col("value") * 100).alias("took"))
 
 
-REPORT = """report AS (SELECT d.doc_id AS name, CASE WHEN l.doc_id IS NULL THEN 'MISSING' WHEN l.quality = 1 THEN 'PASS' ELSE 'FAIL' END AS status FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
+REPORT = POSTINGS + """, dict AS (SELECT DISTINCT h FROM postings WHERE acc IN (SELECT doc_id FROM labels)),
+report AS (SELECT acc AS name, CASE WHEN count(dict.h) = 0 THEN 'MISSING' WHEN count(dict.h) = count(*) THEN 'PASS' ELSE 'FAIL' END AS status FROM postings LEFT JOIN dict USING (h) GROUP BY acc)"""
 
 
 def report(spark, d):
-    """Documents against labels: labelled good, labelled bad, or not labelled."""
-    return R.compare(
-        table(spark, d, "documents").select(F.col("doc_id").alias("name"), F.struct(F.lit(1).alias("quality")).alias("record")),
-        table(spark, d, "labels").select(F.col("doc_id").alias("name"), F.struct(F.col("quality")).alias("record")),
-    )
+    """Every document's set against the one rebuilt with the dictionary of the labelled documents: the same, another, or none."""
+    original = staged(postings(spark, d), "postings")
+    known = D.union_hashes(original.join(table(spark, d, "labels").select(F.col("doc_id").alias("acc")), "acc", "left_semi"))
+    ids = staged(D.dense_ids(known), "dictionary")
+    rebuilt = D.decode(D.encode(original, ids, must_match=False).where("id is not null"), ids)
+    records = [x.groupBy(F.col("acc").alias("name")).agg(F.struct(F.sort_array(F.collect_list("h")).alias("mins")).alias("record")) for x in (original, rebuilt)]
+    return R.compare(*records)
 
 
 @query("roundtrip_missing", f"WITH {REPORT} SELECT name FROM report WHERE status = 'MISSING'")
