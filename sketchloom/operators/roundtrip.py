@@ -1,10 +1,118 @@
-"""Comparing originals with rebuilt records: pass, fail, missing and the verdict."""
+"""Signatures taken apart, rebuilt and compared: skeletons, members, canonical forms, reports, the verdict."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import hashlib
+import json
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.files import fitting, plain, signature_files, signatures_in
+
+
+def canonical(node) -> str:
+    """JSON whose key order, order of members and order of records don't matter; every other value does."""
+
+    def form(x):
+        if isinstance(x, list):
+            return [form(y) for y in x]
+        if not isinstance(x, dict):
+            return x
+        out = {k: form(y) for k, y in x.items()}
+        if isinstance(x.get("mins"), list):
+            if isinstance(x.get("abundances"), list) and len(x["abundances"]) == len(x["mins"]):
+                pairs = sorted(zip(map(int, x["mins"]), x["abundances"], strict=True))
+                out["mins"], out["abundances"] = [a for a, _ in pairs], [b for _, b in pairs]
+            else:
+                out["mins"] = sorted(map(int, x["mins"]))
+        if isinstance(x.get("signatures"), list):
+            out["signatures"] = sorted(out["signatures"], key=text)
+        return out
+
+    text = lambda x: json.dumps(x, sort_keys=True, separators=(",", ":"))
+    whole = form(node)
+    return text(sorted(whole, key=text) if isinstance(whole, list) else whole)
+
+
+def canonical_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """name (the file's), path, size in bytes and sha256 of the canonical form of every signature file."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            marks = [hashlib.sha256(canonical(json.loads(plain(x))).encode()).hexdigest() for x in batch["content"]]
+            yield pd.DataFrame({"name": [x.rsplit("/", 1)[-1] for x in batch["path"]], "path": batch["path"], "size": [len(x) for x in batch["content"]], "sha256": marks})
+
+    return signature_files(spark, path, recursive).mapInPandas(run, "name string, path string, size long, sha256 string")
+
+
+def compare_files(originals: DataFrame, rebuilt: DataFrame) -> DataFrame:
+    """filename, original_size_bytes, status, original_path, rebuilt_path and reason of two tables of canonical_files."""
+    b = rebuilt.select("name", F.col("path").alias("rebuilt_path"), F.col("sha256").alias("sha_b"))
+    status = F.when(F.col("sha_b").isNull(), "MISSING").when(F.col("sha256") == F.col("sha_b"), "PASS").otherwise("FAIL")
+    reason = F.when(F.col("sha_b").isNull(), "no rebuilt file").when(F.col("sha256") == F.col("sha_b"), "").otherwise(F.concat(F.lit("canonical forms differ: "), "sha256", F.lit(" "), "sha_b"))
+    return originals.join(b, "name", "left").select(
+        F.col("name").alias("filename"), F.col("size").alias("original_size_bytes"), status.alias("status"), F.col("path").alias("original_path"), "rebuilt_path", reason.alias("reason")
+    )
+
+
+def take_apart(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
+    """name, skeleton (the JSON with empty members) and parts (the sorted members of each signature) of every file."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for path, data in zip(batch["path"], batch["content"], strict=True):
+                record, parts = json.loads(plain(data)), []
+                for sig in signatures_in(record):
+                    parts.append(sorted(fitting(x) for x in sig["mins"]))
+                    sig["mins"] = []
+                rows.append((path.rsplit("/", 1)[-1], json.dumps(record, separators=(",", ":")), parts))
+            yield pd.DataFrame(rows, columns=["name", "skeleton", "parts"])
+
+    return signature_files(spark, path, recursive).mapInPandas(run, "name string, skeleton string, parts array<array<long>>")
+
+
+def rebuild(skeletons: DataFrame, parts: DataFrame) -> DataFrame:
+    """name, record (the JSON with its members) and error of every skeleton; members that are missing are an error row."""
+    both = skeletons.select("name", "skeleton").join(parts.select("name", "parts"), "name", "left")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = []
+            for name, skeleton, own in zip(batch["name"], batch["skeleton"], batch["parts"], strict=True):
+                record = json.loads(skeleton)
+                sigs = list(signatures_in(record))
+                if own is None or len(own) != len(sigs):
+                    rows.append((name, None, f"members of {0 if own is None else len(own)} of {len(sigs)} signatures"))
+                    continue
+                for sig, mins in zip(sigs, own, strict=True):
+                    sig["mins"] = [int(x) for x in mins]
+                rows.append((name, json.dumps(record, separators=(",", ":")), None))
+            yield pd.DataFrame(rows, columns=["name", "record", "error"])
+
+    return both.mapInPandas(run, "name string, record string, error string")
+
+
+def write_records(records: DataFrame, folder: str) -> int:
+    """A file for each rebuilt record, in a folder that all machines mount, and their count."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for name, record in zip(batch["name"], batch["record"], strict=True):
+                with open(f"{folder}/{name}", "w") as f:
+                    f.write(record)
+            yield pd.DataFrame({"n": [len(batch)]})
+
+    return records.where("record is not null").select("name", "record").mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
+
+
+def signature_md5(ksize: Column, mins: Column) -> Column:
+    """The MD5 that a signature of these members has to carry: of ksize and the sorted members, written one after the other."""
+    return F.md5(F.concat(ksize.cast("string"), F.array_join(F.sort_array(mins).cast("array<string>"), "")))
+
 
 def compare(originals: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """name, status: PASS where the canonical forms are equal, FAIL where not, MISSING where there is none.
@@ -38,5 +146,7 @@ def extremes(sizes: DataFrame, n: int) -> DataFrame:
 
 
 def random_rest(sizes: DataFrame, taken: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """n of the names outside `taken`, at random by the seed."""
+    """n of the names outside `taken`, at random by the seed; fewer than 3 n names are an error."""
+    if sizes.limit(3 * n).count() < 3 * n:
+        raise ValueError(f"{3 * n} names are needed")
     return sizes.join(taken.select("name"), "name", "left_anti").orderBy(F.xxhash64("name", F.lit(seed)), "name").limit(n)

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,6 +57,72 @@ def kmer_sets(seqs: DataFrame, k: int, alphabet: str = "ACGT") -> DataFrame:
     return dealt(seqs.where("seq is not null")).select("id", F.explode(kept).alias("kmer"))
 
 
+# Fixed values of the 64-bit half of the 128-bit hash, and its rotations.
+C1, C2 = np.uint64(0x87C37B91114253D5), np.uint64(0x4CF5AD432745937F)
+F1, F2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
+A1, A2 = np.uint64(0x52DCE729), np.uint64(0x38495AB5)
+
+
+def murmur64(data: np.ndarray, seed: int = 42) -> np.ndarray:
+    """The first 64 bits of the 128-bit x64 murmur3 hash of every row of an array of bytes (n x length)."""
+    n, length = data.shape
+    turn = lambda x, k: (x << np.uint64(k)) | (x >> np.uint64(64 - k))
+    padded = np.zeros((n, -(-length // 16) * 16), np.uint8)
+    padded[:, :length] = data
+    words = padded.view("<u8").astype(np.uint64)
+    a = np.full(n, seed, np.uint64)
+    b = a.copy()
+    whole = length // 16
+    for i in range(words.shape[1] // 2):
+        x, y = turn(words[:, 2 * i] * C1, 31) * C2, turn(words[:, 2 * i + 1] * C2, 33) * C1
+        if i < whole:
+            a = (turn(a ^ x, 27) + b) * np.uint64(5) + A1
+            b = (turn(b ^ y, 31) + a) * np.uint64(5) + A2
+        else:  # what is left of the last block; bytes beyond the end are zero and mix to zero
+            a, b = a ^ x, b ^ y
+    a, b = a ^ np.uint64(length), b ^ np.uint64(length)
+    a += b
+    b += a
+    for k in (F1, F2):
+        a, b = (a ^ (a >> np.uint64(33))) * k, (b ^ (b >> np.uint64(33))) * k
+    return (a ^ (a >> np.uint64(33))) + (b ^ (b >> np.uint64(33)))
+
+
+def dna_postings(seqs: DataFrame, k: int = 31, scaled: int = 1000, seed: int = 42) -> DataFrame:
+    """id, h, abund: FracMinHash sketches of DNA sequences, of the hashes up to 2^64 / scaled.
+
+    Windows of k letters of A, C, G and T (a-z count as A-Z) are hashed on the strand that comes first
+    in order of letters; windows with other letters are left out. Hashes of 2^63 or more only occur
+    with scaled 1, which is an error.
+    """
+    if scaled < 2:
+        raise ValueError("scaled must be 2 or more")
+    most = np.uint64((1 << 64) // scaled)
+    code = np.full(256, 4, np.uint8)
+    for i, pair in enumerate(("Aa", "Cc", "Gg", "Tt")):
+        code[[ord(c) for c in pair]] = i
+    letters = np.frombuffer(b"ACGT", np.uint8)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for i, seq in zip(batch["id"], batch["seq"], strict=True):
+                digits = code[np.frombuffer(seq.encode("ascii", "replace"), np.uint8)]
+                counts: Counter[int] = Counter()
+                for at in range(0, len(digits) - k + 1, 1 << 16):
+                    own = np.lib.stride_tricks.sliding_window_view(digits[at : at + (1 << 16) + k - 1], k)
+                    own = own[(own < 4).all(axis=1)]
+                    other = 3 - own[:, ::-1]
+                    first = (own != other).argmax(axis=1)
+                    row = np.arange(len(own))
+                    own = np.where((other[row, first] < own[row, first])[:, None], other, own)
+                    hashes = murmur64(letters[own], seed) if len(own) else np.zeros(0, np.uint64)
+                    counts.update(hashes[hashes <= most].astype(np.int64).tolist())
+                yield pd.DataFrame({"id": [i] * len(counts), "h": list(counts), "abund": list(counts.values())})
+
+    kind = dict(seqs.dtypes)["id"]
+    return seqs.where("seq is not null").select("id", "seq").mapInPandas(run, f"id {kind}, h long, abund long")
+
+
 def set_sizes(postings: DataFrame) -> DataFrame:
     return postings.groupBy("acc").agg(F.count("*").alias("n"))
 

@@ -36,5 +36,7 @@ def dealt(df: DataFrame, small: int = 1 << 30) -> DataFrame:
 
     A small table often is one row group, which one task would read and work on alone.
     """
+    if df.isStreaming:
+        return df
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size < small else df
