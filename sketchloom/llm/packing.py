@@ -34,7 +34,7 @@ class WordEncoder:
     #: Letters that the tokenizer's normaliser (NFC, then lower case) turns into a letter and a mark.
     MARKED = "".join(c for c in map(chr, range(0xA0, 0x110000)) if c.isalnum() and not unicodedata.normalize("NFC", c).lower()[-1].isalnum())
     #: A full stop or comma that may belong to a longer run of signs.
-    RUN = re.compile(rf"(?:[^\w ]|[_{MARKED}])[.,] ")
+    RUN = re.compile(rf"[.,] (?<![^\W_{MARKED}][.,] )(?<![ ][.,] )")
 
     def __init__(self, path: str, end_id: int, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
