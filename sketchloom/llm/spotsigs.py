@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from math import log
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import words_of, written
+from .common import discard, words_of, written
+from .components import connected
 
 # The common words at which chains begin.
 ANCHORS = (
@@ -52,7 +56,7 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
     small, large = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
     both = F.size(F.array_intersect(a, b))
     exact = both / (F.size(a) + F.size(b) - both)
-    return F.when(small < least * large, F.lit(0.0)).when(exact < least, F.lit(0.0)).otherwise(exact)
+    return F.when(small < least * (1 - 1e-12) * large, F.lit(0.0)).when(exact < least, F.lit(0.0)).otherwise(exact)
 
 
 def as_text(spots: Column) -> Column:
@@ -130,3 +134,85 @@ def fingerprint_report(docs: DataFrame, chain: int = 2) -> DataFrame:
         likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
         "next_id",
     )
+
+
+def fitting(a: Column, b: Column, similarity: float) -> Column:
+    """Whether sets of these sizes can be alike."""
+    return F.least(a, b) >= similarity * (1 - 1e-12) * F.greatest(a, b)
+
+
+def spot_buckets(heads: DataFrame, similarity: float) -> DataFrame:
+    """node, n, spot and part: the buckets in which all pairs of sets that may be alike meet.
+
+    A set's signatures are ordered from the rarest over all sets; alike sets share one of the first
+    n - ceil(similarity * n) + 1 of each. Sets are partitioned by length so that alike ones lie in the
+    same or in neighbouring partitions, and a bucket takes the sets of two neighbours.
+    """
+    spots = heads.select("node", F.explode("spots").alias("spot"))
+    common = spots.groupBy("spot").count().where("count > 1")
+    ranked = spots.join(common, "spot", "left").groupBy("node").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("count", F.lit(1)).alias("df"), "spot"))).alias("ranked"))
+    n = F.size("ranked")
+    part = F.floor(F.log(n.cast("double")) / log(1 / similarity) + 1e-9).cast("int")
+    first = F.slice("ranked", F.lit(1), n - F.ceil(n * similarity - 1e-9).cast("int") + 1)
+    return (
+        ranked.select("node", n.alias("n"), F.explode(F.filter(first, lambda x: x["df"] > 1)["spot"]).alias("spot"), part.alias("own"))
+        .select("node", "n", "spot", F.explode(F.array("own", F.col("own") - 1)).alias("part"))
+    )
+
+
+def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, rounds: int = 3) -> DataFrame:
+    """doc_id and class_id (the smallest doc_id of its class) for every row with a doc_id.
+
+    Documents are alike when their sets of spot signatures have a Jaccard similarity of at least
+    `similarity`; classes are what chains of such links connect. Equal sets form one node, whatever
+    their number. In each of `rounds` rounds every bucket's members are compared with one of them, so
+    near copies fall into one class at a cost of their number; a bucket whose members are all of one
+    class is done. Of the buckets that are left, all pairs of different classes and fitting sizes
+    are compared, so no link between classes is lost however many rounds there are.
+
+    Null text counts as empty; texts without words are alike when they are equal. Rows without a
+    doc_id are left out. Of rows that repeat a doc_id one counts, that of the least digest of its
+    signatures. An empty table gives no rows; other columns are left out.
+    """
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    signed = with_spots(texts, "text", "spots", chain).select("doc_id", "spots", F.unhex(F.md5(as_text(F.col("spots")))).alias("digest"))
+    signed = written(signed, "spots")
+    chosen = signed.groupBy("doc_id").agg(F.min("digest").alias("digest"))
+    nodes = written(chosen.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
+    members = written(chosen.join(nodes, "digest").select("doc_id", "node"), "members")
+    heads = signed.join(nodes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id"])
+    heads = written(heads.select(F.col("doc_id").alias("node"), "spots"), "heads")
+    discard(signed, nodes)
+    buckets = written(spot_buckets(heads, similarity), "buckets")
+
+    def unsettled(classes: DataFrame | None) -> DataFrame:
+        """The buckets of members of several classes."""
+        own = F.coalesce("class", "node") if classes is not None else F.col("node")
+        rows = (buckets.join(classes, "node", "left") if classes is not None else buckets).select("node", "n", "spot", "part", own.alias("class"))
+        rows = written(rows, "classed")
+        mixed = rows.groupBy("spot", "part").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("spot", "part")
+        left = written(rows.join(mixed, ["spot", "part"]), "unsettled")
+        discard(rows)
+        return left
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) of nodes that are alike."""
+        a, b = (heads.select(F.col("node").alias(c), F.col("spots").alias(f"spots_{c}")) for c in "ab")
+        both = pairs.distinct().join(a, "a").join(b, "b")
+        return written(both.where(likeness(F.col("spots_a"), F.col("spots_b"), similarity) > 0).select("a", "b"), "links")
+
+    links, classes = [], None
+    for k in range(rounds):
+        left = unsettled(classes)
+        pivot = F.min_by(F.struct("node", "n", "class"), F.xxhash64("node", F.lit(k))).alias("p")
+        met = left.join(left.groupBy("spot", "part").agg(pivot), ["spot", "part"]).where((F.col("class") != F.col("p.class")) & fitting(F.col("n"), F.col("p.n"), similarity))
+        links.append(linked(met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))))
+        discard(left)
+        classes = connected(reduce(DataFrame.union, links))
+    left = unsettled(classes)
+    x, y = left.select("spot", "part", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("class").alias("c_a")), left
+    met = x.join(y, ["spot", "part"]).where((F.col("c_a") < F.col("class")) & fitting(F.col("n_a"), F.col("n"), similarity))
+    links.append(linked(met.select("a", F.col("node").alias("b"))))
+    classes = connected(reduce(DataFrame.union, links))
+    discard(left, buckets, heads)
+    return members.join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))

@@ -548,3 +548,37 @@ def test_fingerprints_of_one_document_repeats_and_null_ids(spark):
     rows = [(1, "a b c d"), (1, "a b c d"), (None, "the river stone"), (2, None)]
     got = spotsigs.fingerprint_report(spark.createDataFrame(rows, kind)).collect()
     assert sorted(r.n_chars for r in got) == [0, 7, 7, 15] and len({r.fingerprint for r in got if r.doc_id == 1}) == 1
+
+
+def classes_of(ids: list, sets: list, similarity: float) -> dict:
+    """The smallest id of what chains of sets of at least this Jaccard similarity connect, by id."""
+    root = dict(zip(ids, ids, strict=True))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if len(a & b) >= similarity * len(a | b) and root[ids[i]] != root[ids[j]]:
+                low, high = sorted((root[ids[i]], root[ids[j]]))
+                root = {k: low if v == high else v for k, v in root.items()}
+    return root
+
+
+def test_spot_classes_against_brute_force(spark, empty):
+    rng = np.random.default_rng(5)
+    phrase = lambda: f"the {' '.join(rng.choice(400, 2).astype(str))}"
+    texts = [*TEXTS, *(" ".join(phrase() for _ in range(rng.integers(1, 12))) for _ in range(60))]
+    for parts, copies in ((20, 40), (9, 30), (5, 30)):  # chains of copies of copies, each edited, shortened or lengthened
+        family = [[phrase() for _ in range(parts)]]
+        for _ in range(copies):
+            own = list(family[rng.integers(len(family))])
+            for _ in range(rng.integers(0, 4)):
+                own[rng.integers(len(own))] = phrase()
+            family.append((own + [phrase()])[rng.integers(0, 2) :])
+        texts += [" ".join(x) for x in family]
+    ids = [int(x) for x in rng.permutation(len(texts)) * 2]
+    rows = list(zip(ids, texts, ["c"] * len(ids), strict=True))
+    df = spark.createDataFrame([*rows, rows[3], (None, "the river stone", "c")], "doc_id long, text string, class string").repartition(5)
+    want = classes_of(ids, [brute_spots(t) for t in texts], 0.8)
+    assert 40 < len(set(want.values())) < len(ids) - 40
+    for rounds in (3, 0):
+        got = spotsigs.spot_classes(df, rounds=rounds).collect()
+        assert len(got) == len(ids) and {r.doc_id: r.class_id for r in got} == want
+    assert spotsigs.spot_classes(empty, rounds=1).count() == 0
