@@ -94,25 +94,27 @@ def followers(texts: DataFrame) -> DataFrame:
     )
 
 
-def fingerprint_report(docs: DataFrame, chain: int = 2) -> DataFrame:
-    """Fingerprints of every text and of its edited text, and how alike they and the next one's are.
+def fingerprint_report(docs: DataFrame, similarity: float = 0.8, chain: int = 2) -> DataFrame:
+    """Fingerprints of every text and of its edited text, how alike they and the next one's are, and the text's class.
 
     The edited text ends in the beginning of the next document instead of its own last quarter;
-    next_id is that document. Texts are shuffled once, by document; the next one's beginning and
+    next_id is that document. class_id is the smallest doc_id of the documents that are alike anywhere
+    in the table (`spot_classes`). Texts are shuffled once, by document; the next one's beginning and
     signatures are sent to the document before.
 
     Null text counts as empty, whose edited text is empty. Rows that repeat a doc_id and text are
-    one document in the order and get a row each; a table of one document follows itself; an empty
-    table gives no rows; other columns are left out.
+    one document in the order and get a row each; a table of one document follows itself; rows without
+    a doc_id have no class; an empty table gives no rows; other columns are left out.
     """
     texts = keyed(docs)
-    order = followers(texts)
+    classes = spot_classes(docs, similarity, chain).select(F.col("doc_id").alias("at"), "class_id")
+    order = followers(texts).join(classes, "at", "left")
     copies = Window.partitionBy("at", "mark").orderBy("at")
     dealt = texts.withColumn("first", F.lag(F.lit(1)).over(copies).isNull())
-    heads = order.select("next_at", "next_mark", F.floor(F.col("n") / 4).cast("int").alias("take"), F.col("at").alias("for_at"), F.col("mark").alias("for_mark"))
+    heads = order.select("next_at", "next_mark", F.floor(F.col("n") / 4).cast("int").alias("take"), F.col("at").alias("for_at"), F.col("mark").alias("for_mark"), "class_id")
     giving = dealt.where("first").join(heads, (F.col("at") == F.col("next_at")) & (F.col("mark") == F.col("next_mark")))
-    giving = with_spots(giving.select("for_at", "for_mark", "take", "text", F.col("doc_id").alias("next_id")), "text", "next_spots", chain).select(
-        "for_at", "for_mark", "next_id", "next_spots", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("borrowed")
+    giving = with_spots(giving.select("for_at", "for_mark", "class_id", "take", "text", F.col("doc_id").alias("next_id")), "text", "next_spots", chain).select(
+        "for_at", "for_mark", "class_id", "next_id", "next_spots", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("borrowed")
     )
     n = F.char_length("text")
     own = dealt.join(giving, (F.col("at") == F.col("for_at")) & (F.col("mark") == F.col("for_mark"))).select(
@@ -120,6 +122,7 @@ def fingerprint_report(docs: DataFrame, chain: int = 2) -> DataFrame:
         "text",
         "next_id",
         "next_spots",
+        F.expr("if(doc_id is null, null, class_id)").alias("class_id"),
         n.cast("long").alias("n_chars"),
         F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 4).cast("int")), "borrowed").alias("edited"),
     )
@@ -133,6 +136,7 @@ def fingerprint_report(docs: DataFrame, chain: int = 2) -> DataFrame:
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
         likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
         "next_id",
+        "class_id",
     )
 
 
@@ -148,14 +152,16 @@ def spot_buckets(heads: DataFrame, similarity: float) -> DataFrame:
     n - ceil(similarity * n) + 1 of each. Sets are partitioned by length so that alike ones lie in the
     same or in neighbouring partitions, and a bucket takes the sets of two neighbours.
     """
-    spots = heads.select("node", F.explode("spots").alias("spot"))
+    spots = heads.select("node", F.size("spots").alias("n"), F.explode("spots").alias("spot"))
     common = spots.groupBy("spot").count().where("count > 1")
-    ranked = spots.join(common, "spot", "left").groupBy("node").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("count", F.lit(1)).alias("df"), "spot"))).alias("ranked"))
-    n = F.size("ranked")
+    # signatures of one set alone come first and meet nothing, so only their number matters
+    ranked = spots.join(common, "spot").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("count", "spot"))).alias("ranked"))
+    n = F.col("n")
     part = F.floor(F.log(n.cast("double")) / log(1 / similarity) + 1e-9).cast("int")
-    first = F.slice("ranked", F.lit(1), n - F.ceil(n * similarity - 1e-9).cast("int") + 1)
+    first = F.size("ranked") - F.ceil(n * similarity - 1e-9).cast("int") + 1
     return (
-        ranked.select("node", n.alias("n"), F.explode(F.filter(first, lambda x: x["df"] > 1)["spot"]).alias("spot"), part.alias("own"))
+        ranked.where(first > 0)
+        .select("node", "n", F.explode(F.slice("ranked", F.lit(1), first)["spot"]).alias("spot"), part.alias("own"))
         .select("node", "n", "spot", F.explode(F.array("own", F.col("own") - 1)).alias("part"))
     )
 
@@ -202,17 +208,23 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
         return written(both.where(likeness(F.col("spots_a"), F.col("spots_b"), similarity) > 0).select("a", "b"), "links")
 
     links, classes = [], None
-    for k in range(rounds):
+    for k in range(rounds + 1):
         left = unsettled(classes)
-        pivot = F.min_by(F.struct("node", "n", "class"), F.xxhash64("node", F.lit(k))).alias("p")
-        met = left.join(left.groupBy("spot", "part").agg(pivot), ["spot", "part"]).where((F.col("class") != F.col("p.class")) & fitting(F.col("n"), F.col("p.n"), similarity))
-        links.append(linked(met.select(F.least("node", "p.node").alias("a"), F.greatest("node", "p.node").alias("b"))))
+        done = left.isEmpty()
+        if not done:
+            if k < rounds:
+                pivot = F.min_by(F.struct("node", "n", "class"), F.xxhash64("node", F.lit(k)))
+                others = left.groupBy("spot", "part").agg(pivot.alias("p")).select("spot", "part", "p.*")
+                differ = F.col("x.class") != F.col("y.class")
+            else:
+                others, differ = left, F.col("x.class") < F.col("y.class")
+            met = left.alias("x").join(others.alias("y"), ["spot", "part"]).where(differ & fitting(F.col("x.n"), F.col("y.n"), similarity))
+            links.append(linked(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))))
+            classes = connected(reduce(DataFrame.union, links))
         discard(left)
-        classes = connected(reduce(DataFrame.union, links))
-    left = unsettled(classes)
-    x, y = left.select("spot", "part", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("class").alias("c_a")), left
-    met = x.join(y, ["spot", "part"]).where((F.col("c_a") < F.col("class")) & fitting(F.col("n_a"), F.col("n"), similarity))
-    links.append(linked(met.select("a", F.col("node").alias("b"))))
-    classes = connected(reduce(DataFrame.union, links))
-    discard(left, buckets, heads)
+        if done:
+            break
+    discard(buckets, heads)
+    if classes is None:
+        return members.select("doc_id", F.col("node").alias("class_id"))
     return members.join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))

@@ -539,15 +539,17 @@ def test_fingerprints_against_brute_force(spark):
         assert len(got[i].fingerprint.split()) == len(a) and len(got[i].edited_fingerprint.split()) == len(b)
         assert same.setdefault(frozenset(a), got[i].fingerprint) == got[i].fingerprint
     assert len(set(same.values())) == len(same)
+    assert {r.doc_id: r.class_id for r in got.values()} == classes_of(ids, [brute_spots(t) for t in texts], 0.8)
 
 
 def test_fingerprints_of_one_document_repeats_and_null_ids(spark):
     kind = "doc_id long, text string"
     one = spotsigs.fingerprint_report(spark.createDataFrame([(4, "the river stone paper")], kind)).collect()
-    assert [(r.doc_id, r.near_next, r.n_chars) for r in one] == [(4, 1.0, 21)]
+    assert [(r.doc_id, r.near_next, r.n_chars, r.class_id) for r in one] == [(4, 1.0, 21, 4)]
     rows = [(1, "a b c d"), (1, "a b c d"), (None, "the river stone"), (2, None)]
     got = spotsigs.fingerprint_report(spark.createDataFrame(rows, kind)).collect()
     assert sorted(r.n_chars for r in got) == [0, 7, 7, 15] and len({r.fingerprint for r in got if r.doc_id == 1}) == 1
+    assert {(r.doc_id, r.class_id) for r in got} == {(1, 1), (2, 2), (None, None)}
 
 
 def classes_of(ids: list, sets: list, similarity: float) -> dict:
