@@ -171,10 +171,11 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
 
     Documents are alike when their sets of spot signatures have a Jaccard similarity of at least
     `similarity`; classes are what chains of such links connect. Equal sets form one node, whatever
-    their number. In each of `rounds` rounds every bucket's members are compared with one of them, so
+    their number. In each of up to `rounds` rounds every bucket's members are compared with one of them, so
     near copies fall into one class at a cost of their number; a bucket whose members are all of one
-    class is done. Of the buckets that are left, all pairs of different classes and fitting sizes
-    are compared, so no link between classes is lost however many rounds there are.
+    class is done. Once the buckets that are left hold few pairs a member, or after the last round, all
+    their pairs of different classes and fitting sizes are compared, so no link between classes is lost
+    however many rounds there are.
 
     Null text counts as empty; texts without words are alike when they are equal. Rows without a
     doc_id are left out. Of rows that repeat a doc_id one counts, that of the least digest of its
@@ -210,9 +211,10 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
     links, classes = [], None
     for k in range(rounds + 1):
         left = unsettled(classes)
-        done = left.isEmpty()
-        if not done:
-            if k < rounds:
+        size = left.groupBy("spot", "part").count().agg(F.sum("count"), F.sum(F.col("count").cast("double") * F.col("count"))).first()
+        last = k == rounds or not size[0] or size[1] <= 16 * size[0]
+        if size[0]:
+            if not last:
                 pivot = F.min_by(F.struct("node", "n", "class"), F.xxhash64("node", F.lit(k)))
                 others = left.groupBy("spot", "part").agg(pivot.alias("p")).select("spot", "part", "p.*")
                 differ = F.col("x.class") != F.col("y.class")
@@ -222,7 +224,7 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
             links.append(linked(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))))
             classes = connected(reduce(DataFrame.union, links))
         discard(left)
-        if done:
+        if last:
             break
     discard(buckets, heads)
     if classes is None:
