@@ -21,7 +21,7 @@ ANCHORS = (
 
 
 def with_spots(df: DataFrame, text: str, name: str, chain: int = 2) -> DataFrame:
-    """df with `name`: the sorted distinct spot signatures of a text column, as 32-bit hashes.
+    """df with `name`: the sorted distinct spot signatures of a text column, as 64-bit hashes.
 
     A signature is an anchor and the `chain` content words (words that are no anchors) after it. A
     text without a full chain has one signature, of all its words; a text without words, of itself.
@@ -30,7 +30,7 @@ def with_spots(df: DataFrame, text: str, name: str, chain: int = 2) -> DataFrame
     n = F.size(words)
     # before the j-th anchor, at word i, stand i - j content words
     spot = lambda x, j: F.when(
-        F.get(content, x["i"] - j + chain - 1).isNotNull(), F.hash(x["w"], *[F.get(content, x["i"] - j + k) for k in range(chain)])
+        F.get(content, x["i"] - j + chain - 1).isNotNull(), F.xxhash64(x["w"], *[F.get(content, x["i"] - j + k) for k in range(chain)])
     )
     anchor = lambda w, i: F.when(w.isin(ANCHORS), F.struct(w.alias("w"), i.alias("i")))
     return (
@@ -41,7 +41,7 @@ def with_spots(df: DataFrame, text: str, name: str, chain: int = 2) -> DataFrame
         .withColumn(
             name,
             F.when(F.size("_sp_spots") > 0, F.col("_sp_spots")).otherwise(
-                F.array(F.when(n > 0, F.hash(words)).otherwise(F.hash(F.coalesce(F.col(text), F.lit("")))))
+                F.array(F.when(n > 0, F.xxhash64(words)).otherwise(F.xxhash64(F.coalesce(F.col(text), F.lit("")))))
             ),
         )
         .drop("_sp_words", "_sp_content", "_sp_at", "_sp_spots")
@@ -60,7 +60,7 @@ def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
 
 
 def as_text(spots: Column) -> Column:
-    return F.array_join(F.transform(spots, lambda x: F.lower(F.hex(x.cast("long").bitwiseAND(0xFFFFFFFF)))), " ")
+    return F.array_join(F.transform(spots, lambda x: F.lower(F.hex(x))), " ")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
