@@ -8,7 +8,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pandas as pd
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -463,7 +462,7 @@ def test_nearest(spark):
     x[300:400] = x[300]  # a third of ties
     rows = [(i, [float(v) for v in y], 1.0) for i, y in enumerate(x)] + [(1001, None, 1.0), (1020, [0.0] * 16, 1.0), (1040, [float("nan")] * 16, 1.0), (1060, [1.0], 1.0)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score double")
-    got = mih.nearest(df, block_rows=200, query_rows=16).collect()
+    got = mih.nearest(df, shard_rows=200, most_rows=150).collect()
     hit = 0
     for q in range(0, 600, 20):
         score = (x * x[q]).sum(axis=1)
@@ -475,6 +474,30 @@ def test_nearest(spark):
     assert hit >= 0.9 * 600 and mih.nearest(df.where("vec_id < 0")).count() == 0
 
 
+def test_nearest_of_repeated_rows_and_huge_entries(spark):
+    """Each row of a repeated query has 20 neighbours of its own, among them the other row."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((60, 8))
+    rows = [(i, x[i].tolist()) for i in range(60)] + [(20, x[20].tolist())]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    own = sorted(((r.rank, r.vec_id) for r in mih.nearest(df, recall=1.0).collect() if r.query_id == 20))
+    assert [r for r, _ in own] == sorted([*range(1, 21)] * 2)
+    score = np.append(x @ x[20], x[20] @ x[20])
+    ids = [*range(60), 20]
+    want = [ids[i] for i in np.lexsort((ids, -score)) if i != 20][:20]
+    assert [v for _, v in own[::2]] == want == [v for _, v in own[1::2]] and want.count(20) == 1
+    few = mih.nearest(df.where("vec_id < 5 or vec_id = 20")).collect()
+    assert sum(r.query_id == 0 for r in few) == 6 and sum(r.query_id == 20 for r in few) == 12
+    huge = spark.createDataFrame([(0, [1e200, 1.0]), (1, [-1e200, 2.0]), (2, [1e200, -1e200]), (3, [3.0, 4.0])], "vec_id long, embedding array<double>")
+    assert [(r.rank, r.vec_id) for r in sorted(mih.nearest(huge).collect())] == [(1, 2), (2, 3), (3, 1)]
+
+
+def searched(coder, x, asked, k):
+    index = mih.MultiIndex(coder, np.arange(len(x)), np.arange(len(x)), x)
+    codes = coder.codes(x[asked], True)
+    return [index.nearest(q, x[q], c, k)[0] for q, c in zip(asked, codes, strict=True)], index.touched
+
+
 def test_index_meets_few_rows():
     rng = np.random.default_rng(8)
     x = rng.standard_normal((40_000, 64))
@@ -483,31 +506,44 @@ def test_index_meets_few_rows():
     score = x[asked] @ x.T
     score[np.arange(len(asked)), asked] = -9
     best = np.argsort(-score, axis=1)[:, :20]
-    shares = []
-    for n in (8_000, 40_000):
-        rows = pd.DataFrame({"vec_id": np.arange(n), "embedding": list(x[:n])})
-        queries = pd.DataFrame({"vec_id": asked, "embedding": list(x[asked])})
-        coder = mih.fit(x[:8_000], 1.0, 1024, 15, max(1, 20 * 8_000 // n), 0.96)
-        got, touched = mih.search_block(coder, rows, queries, 20)
-        shares.append(touched / len(asked) / n)
-    hit = sum(len(set(best[i]) & set(own)) for i, own in enumerate(got.groupby("query_id")["vec_id"].apply(list)))
-    assert hit >= 0.9 * best.size and shares[1] < shares[0] and shares[1] < 0.25
+    coder = mih.fit(x[:8_000], 1.0, 1.0, 2048, 16, max(1, 20 * 8_000 // 40_000), 0.94)
+    got, touched = searched(coder, x, asked, 20)
+    hit = sum(len(set(b) & set(own)) for b, own in zip(best, got, strict=True))
+    assert hit >= 0.9 * best.size and touched < 0.2 * len(asked) * len(x)
     near = x[:4_000] + 0.05 * rng.standard_normal((4_000, 64))  # neighbours that are near: few rows in any bucket
-    rows = pd.DataFrame({"vec_id": np.arange(8_000), "embedding": [*x[:4_000], *near]})
-    both = np.array(rows["embedding"].tolist())
-    coder = mih.fit(both, float((both * both).sum(axis=1).max()), 1024, 13, 1, 0.96)
-    got, touched = mih.search_block(coder, rows, rows.iloc[:400], 1)
-    assert (got.set_index("query_id")["vec_id"] == got["query_id"].to_numpy() + 4_000).mean() > 0.9 and touched < 0.02 * 400 * 8_000
+    both = np.concatenate([x[:4_000], near])
+    scale = np.abs(both).max()
+    coder = mih.fit(both, scale, float(((both / scale) ** 2).sum(axis=1).max()), 2048, 16, 1, 0.94)
+    got, touched = searched(coder, both, np.arange(400), 1)
+    assert np.mean([own[0] == q + 4_000 for q, own in enumerate(got)]) > 0.9 and touched < 0.02 * 400 * 8_000
 
 
 def test_every_code_within_the_radius_is_met():
     rng = np.random.default_rng(2)
-    codes = rng.integers(0, 1 << 8, (500, 4))
-    table = mih.MultiIndex(codes, 8)
+    x = rng.standard_normal((500, 6))
+    coder = mih.fit(x, 1.0, 100.0, 32, 8, 5, 0.9)
+    coder.parts = 4
+    index = mih.MultiIndex(coder, np.arange(500), np.arange(500), x)
+    codes = coder.codes(x, False)
     for flips in (0, 1, 2, 8):
-        met = table.probe(codes[:40], flips)
         gap = np.bitwise_count(codes[:40, None] ^ codes[None])
-        assert (met == (gap.min(axis=2) <= flips)).all() and met[gap.sum(axis=2) < 4 * (flips + 1)].all()
+        for q in range(40):
+            met = np.zeros(500, bool)
+            met[index.met(codes[q], flips)] = True
+            assert (met == (gap[q].min(axis=1) <= flips)).all() and met[gap[q].sum(axis=1) < 4 * (flips + 1)].all()
+
+
+def test_rows_moved_grow_with_the_table(spark):
+    """On one cluster every row goes to one shard and every query to as many as there are shards."""
+    moved = []
+    for n in (2_000, 8_000):
+        df = spark.range(n).selectExpr("id as vec_id", "transform(sequence(1, 8), i -> cast(hash(id, i) / 1e9 as double)) as embedding")
+        plan = mih.nearest(df, shard_rows=500)
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        assert "Cartesian" not in text and "NestedLoop" not in text
+        assert plan.count() == n // 20 * 20
+        moved.append(n + n // 20 * min(-(-n // 500), spark.sparkContext.defaultParallelism))
+    assert moved[1] <= 4 * moved[0]
 
 
 def brute_spots(text, chain=2):
