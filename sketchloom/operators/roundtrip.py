@@ -4,9 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
+import re
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +18,11 @@ from ..sources.files import fitting, plain, signature_files, signatures_in
 
 
 def canonical(node) -> str:
-    """JSON whose key order, order of members and order of records don't matter; every other value does."""
+    """JSON whose key order, order of hashes and order of records don't matter; every other value does.
+
+    Hashes in `mins` are compared as a sorted list, or by key where it is a map of abundances. A list
+    `abundances` is compared as it stands: if pairs were reordered, its order has changed and so has the form.
+    """
 
     def form(x):
         if isinstance(x, list):
@@ -23,11 +31,7 @@ def canonical(node) -> str:
             return x
         out = {k: form(y) for k, y in x.items()}
         if isinstance(x.get("mins"), list):
-            if isinstance(x.get("abundances"), list) and len(x["abundances"]) == len(x["mins"]):
-                pairs = sorted(zip(map(int, x["mins"]), x["abundances"], strict=True))
-                out["mins"], out["abundances"] = [a for a, _ in pairs], [b for _, b in pairs]
-            else:
-                out["mins"] = sorted(map(int, x["mins"]))
+            out["mins"] = sorted(map(int, x["mins"]))
         if isinstance(x.get("signatures"), list):
             out["signatures"] = sorted(out["signatures"], key=text)
         return out
@@ -37,76 +41,114 @@ def canonical(node) -> str:
     return text(sorted(whole, key=text) if isinstance(whole, list) else whole)
 
 
+def keyed_files(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
+    """folder (below the path, "" for the path itself), name, path and content of every signature file."""
+    root = re.escape(re.sub(r"^\w+:(//[^/]*)?", "", path.rstrip("/")))
+    below = F.regexp_extract("path", root + r"/(?:(.*)/)?[^/]+$", 1)
+    return signature_files(spark, path, recursive).select(below.alias("folder"), F.substring_index("path", "/", -1).alias("name"), "path", "content")
+
+
 def canonical_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """name (the file's), path, size in bytes and sha256 of the canonical form of every signature file."""
+    """folder, name, path, size in bytes and sha256 of the canonical form of every signature file."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             marks = [hashlib.sha256(canonical(json.loads(plain(x))).encode()).hexdigest() for x in batch["content"]]
-            yield pd.DataFrame({"name": [x.rsplit("/", 1)[-1] for x in batch["path"]], "path": batch["path"], "size": [len(x) for x in batch["content"]], "sha256": marks})
+            yield batch[["folder", "name", "path"]].assign(size=[len(x) for x in batch["content"]], sha256=marks)
 
-    return signature_files(spark, path, recursive).mapInPandas(run, "name string, path string, size long, sha256 string")
+    return keyed_files(spark, path, recursive).mapInPandas(run, "folder string, name string, path string, size long, sha256 string")
 
 
 def compare_files(originals: DataFrame, rebuilt: DataFrame) -> DataFrame:
-    """filename, original_size_bytes, status, original_path, rebuilt_path and reason of two tables of canonical_files."""
-    b = rebuilt.select("name", F.col("path").alias("rebuilt_path"), F.col("sha256").alias("sha_b"))
+    """filename, original_size_bytes, status, original_path, rebuilt_path and reason of two tables of canonical_files.
+
+    Files belong together that have the same name in the same folder below their roots.
+    """
+    b = rebuilt.select("folder", "name", F.col("path").alias("rebuilt_path"), F.col("sha256").alias("sha_b"))
     status = F.when(F.col("sha_b").isNull(), "MISSING").when(F.col("sha256") == F.col("sha_b"), "PASS").otherwise("FAIL")
     reason = F.when(F.col("sha_b").isNull(), "no rebuilt file").when(F.col("sha256") == F.col("sha_b"), "").otherwise(F.concat(F.lit("canonical forms differ: "), "sha256", F.lit(" "), "sha_b"))
-    return originals.join(b, "name", "left").select(
+    return originals.join(b, ["folder", "name"], "left").select(
         F.col("name").alias("filename"), F.col("size").alias("original_size_bytes"), status.alias("status"), F.col("path").alias("original_path"), "rebuilt_path", reason.alias("reason")
     )
 
 
+PARTS = "array<array<struct<h:long, abund:long>>>"
+
+
 def take_apart(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """name, skeleton (the JSON with empty members) and parts (the sorted members of each signature) of every file."""
+    """folder, name, skeleton (the JSON with empty members) and parts (the members of each signature) of every file.
+
+    Members are hashes with their abundances, in the file's order: those of a list `abundances` of equal
+    length, or the values of a map `mins`; null where there are none. A list or map that was taken is empty in the skeleton.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for path, data in zip(batch["path"], batch["content"], strict=True):
+            for folder, name, data in zip(batch["folder"], batch["name"], batch["content"], strict=True):
                 record, parts = json.loads(plain(data)), []
                 for sig in signatures_in(record):
-                    parts.append(sorted(fitting(x) for x in sig["mins"]))
-                    sig["mins"] = []
-                rows.append((path.rsplit("/", 1)[-1], json.dumps(record, separators=(",", ":")), parts))
-            yield pd.DataFrame(rows, columns=["name", "skeleton", "parts"])
-
-    return signature_files(spark, path, recursive).mapInPandas(run, "name string, skeleton string, parts array<array<long>>")
+                    mins, counts = sig["mins"], sig.get("abundances")
+                    hashes = [fitting(x) for x in mins]
+                    if isinstance(mins, dict):
+                        own = list(mins.values())
+                    elif isinstance(counts, list) and counts and len(counts) == len(mins):
+                        own, sig["abundances"] = counts, []
+                    else:
+                        own = [None] * len(hashes)
+                    parts.append([{"h": h, "abund": None if a is None else int(a)} for h, a in zip(hashes, own, strict=True)])
+                    sig["mins"] = {} if isinstance(mins, dict) else []
+                rows.append((folder, name, json.dumps(record, separators=(",", ":")), parts))
+            yield pd.DataFrame(rows, columns=["folder", "name", "skeleton", "parts"])
+
+    return keyed_files(spark, path, recursive).drop("path").mapInPandas(run, f"folder string, name string, skeleton string, parts {PARTS}")
 
 
 def rebuild(skeletons: DataFrame, parts: DataFrame) -> DataFrame:
-    """name, record (the JSON with its members) and error of every skeleton; members that are missing are an error row."""
-    both = skeletons.select("name", "skeleton").join(parts.select("name", "parts"), "name", "left")
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """folder, name, record (the JSON with its members) and error of every skeleton; members that are missing are an error row."""
+    both = skeletons.select("folder", "name", "skeleton").join(parts.select("folder", "name", "parts"), ["folder", "name"], "left")
+
+    def rebuilt(skeleton: str, own: list | None) -> tuple[str | None, str | None]:
+        record = json.loads(skeleton)
+        sigs = list(signatures_in(record))
+        if own is None or len(own) != len(sigs):
+            return None, f"members of {0 if own is None else len(own)} of {len(sigs)} signatures"
+        for sig, members in zip(sigs, own, strict=True):
+            if isinstance(sig["mins"], dict):
+                sig["mins"] = {str(x["h"]): x["abund"] for x in members}
+                continue
+            sig["mins"] = [x["h"] for x in members]
+            if members and members[0]["abund"] is not None:
+                sig["abundances"] = [x["abund"] for x in members]
+        return json.dumps(record, separators=(",", ":")), None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for name, skeleton, own in zip(batch["name"], batch["skeleton"], batch["parts"], strict=True):
-                record = json.loads(skeleton)
-                sigs = list(signatures_in(record))
-                if own is None or len(own) != len(sigs):
-                    rows.append((name, None, f"members of {0 if own is None else len(own)} of {len(sigs)} signatures"))
-                    continue
-                for sig, mins in zip(sigs, own, strict=True):
-                    sig["mins"] = [int(x) for x in mins]
-                rows.append((name, json.dumps(record, separators=(",", ":")), None))
-            yield pd.DataFrame(rows, columns=["name", "record", "error"])
+            done = [rebuilt(skeleton.as_py(), own.as_py()) for skeleton, own in zip(batch.column(2), batch.column(3), strict=True)]
+            record, error = (pa.array([x[k] for x in done], pa.string()) for k in (0, 1))
+            yield pa.record_batch([batch.column(0), batch.column(1), record, error], names=["folder", "name", "record", "error"])
 
-    return both.mapInPandas(run, "name string, record string, error string")
+    return both.mapInArrow(run, "folder string, name string, record string, error string")
 
 
-def write_records(records: DataFrame, folder: str) -> int:
-    """A file for each rebuilt record, in a folder that all machines mount, and their count."""
+def write_records(records: DataFrame, root: str) -> int:
+    """A file for each rebuilt record, in its folder below the root, which all machines mount; and their count.
+
+    A file appears whole or not at all.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for name, record in zip(batch["name"], batch["record"], strict=True):
-                with open(f"{folder}/{name}", "w") as f:
+            for folder, name, record in zip(batch["folder"], batch["name"], batch["record"], strict=True):
+                at = os.path.join(root, folder)
+                os.makedirs(at, exist_ok=True)
+                part = os.path.join(at, f".{name}-{uuid.uuid4().hex}")
+                with open(part, "w") as f:
                     f.write(record)
+                os.replace(part, os.path.join(at, name))
             yield pd.DataFrame({"n": [len(batch)]})
 
-    return records.where("record is not null").select("name", "record").mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
+    return records.where("record is not null").select("folder", "name", "record").mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
 def signature_md5(ksize: Column, mins: Column) -> Column:

@@ -1,39 +1,79 @@
-"""Thresholded similarity joins: exact over hash sets, blocked over vectors."""
+"""Thresholded similarity joins: exact over hash sets, in grids of blocks over vectors."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import jaccard, quantise
-from ..sources.staging import staged
+from ..sources.staging import dropped, staged
 from .sketch import set_classes, set_sizes
 
 #: dot / d > 0.05 (a + b) is the same as Jaccard > 1 / 19.
 STORED = 0.05
 
 
-def similarity_join(postings: DataFrame, share: float = STORED) -> DataFrame:
+def rarity(postings: DataFrame, share: float) -> DataFrame:
+    """acc, h, n (the set's size), late and kept_back: whether h is among the commonest hashes that a set may leave out, and their number.
+
+    Sets of a and b hashes are linked by more than share (a + b) common ones, which are at most b, so a
+    set has more than share / (1 - share) of its hashes in common with any other: at least
+    one of two sets' common hashes is left when each leaves out so many of the commonest. Hashes are in
+    classes of frequency (four to an octave), and a set leaves out whole classes, from the commonest down, so
+    no set is sorted.
+    """
+    counts = postings.groupBy("h").agg(F.floor(F.log2(F.count("*")) * 4).cast("int").alias("often"))
+    placed = staged(postings.join(counts, "h"), "placed")
+    classes = placed.groupBy("acc", "often").agg(F.count("*").alias("k"))
+    down = Window.partitionBy("acc").orderBy(F.desc("often"))
+    tails = classes.withColumn("upto", F.sum("k").over(down)).withColumn("n", F.sum("k").over(Window.partitionBy("acc")))
+    fits = F.col("upto") <= F.floor(F.col("n") * (share / (1 - share)))
+    cuts = tails.groupBy("acc", "n").agg(F.min(F.when(fits, F.col("often"))).alias("cut"), F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("kept_back"))
+    late = F.coalesce(F.col("often") >= F.col("cut"), F.lit(False))
+    out = staged(placed.join(cuts, "acc").select("acc", "h", "n", late.alias("late"), "kept_back"), "members")
+    dropped(placed)
+    return out
+
+
+def similarity_join(postings: DataFrame, share: float = STORED, ids: DataFrame | None = None) -> DataFrame:
     """row, col, common, jaccard and q of all pairs of distinct sets with common > share (a + b).
 
-    Accessions with equal sets are one, by the smallest, so copies don't multiply. The sets meet on
-    their hashes; each unordered pair is counted once and mirrored, and every set meets itself.
-    Postings, members and pairs are written once for all that reads them.
+    With `ids` (id) only the rows of these are made, from the postings of these sets alone on one side.
+
+    Accessions with equal sets are one, by the smallest, so copies don't multiply; each unordered
+    pair is counted once and mirrored, and every set meets itself. Sets meet on their hashes without the
+    commonest ones that they may leave out (see `rarity`), and so a hash that most sets hold is
+    never joined with itself. For the pairs that have met, and may still reach the limit, the hashes left
+    out are then looked up in the other set, so the counts are exact.
     """
     postings = staged(postings.select("acc", "h"), "postings")
     classes = staged(set_classes(postings).where("acc = rep").select("acc", "n"), "classes")
-    kept = staged(postings.join(classes, "acc"), "members")
-    left = kept.select("h", F.col("acc").alias("row"), F.col("n").alias("a"))
-    right = kept.select("h", F.col("acc").alias("col"), F.col("n").alias("b"))
+    members = rarity(postings.join(classes.select("acc"), "acc"), share)
+    asked = lambda df, acc: df if ids is None else df.join(ids.select(F.col("id").alias(acc)).distinct(), acc, "left_semi")
+    early = members.where("not late")
+    left = asked(early, "acc").select("h", F.col("acc").alias("row"), F.col("n").alias("a"), F.col("kept_back").alias("a_late"))
+    right = early.select("h", F.col("acc").alias("col"), F.col("n").alias("b"), F.col("kept_back").alias("b_late"))
     # two sets can only be linked if the smaller one alone is large enough
-    common = left.join(right, "h").where("row < col").where(F.least("a", "b") > share * (F.col("a") + F.col("b"))).groupBy("row", "col", "a", "b").agg(F.count("*").alias("common"))
-    half = staged(common.where(F.col("common") > share * (F.col("a") + F.col("b"))), "pairs")
-    own = classes.select(F.col("acc").alias("row"), F.col("acc").alias("col"), F.col("n").alias("a"), F.col("n").alias("b"), F.col("n").alias("common"))
+    met = left.join(right, "h").where("row < col" if ids is None else "row <> col").where(F.least("a", "b") > share * (F.col("a") + F.col("b"))).groupBy("row", "col", "a", "b", "a_late", "b_late").agg(F.count("*").alias("common"))
+    least = share * (F.col("a") + F.col("b"))
+    pairs = staged(met.where(F.col("common") + F.col("a_late") + F.col("b_late") > least), "pairs")
+    late = members.where("late").select("acc", "h")
+    own = pairs.where("a_late > 0").select("row", "col").join(late.withColumnRenamed("acc", "row"), "row")
+    theirs = pairs.where("b_late > 0").select("row", "col").join(late.withColumnRenamed("acc", "col"), "col")
+    more = own.join(members.select(F.col("acc").alias("col"), "h"), ["col", "h"]).select("row", "col").union(theirs.join(early.select(F.col("acc").alias("row"), "h"), ["row", "h"]).select("row", "col"))
+    extra = more.groupBy("row", "col").agg(F.count("*").alias("extra"))
+    whole = pairs.join(extra, ["row", "col"], "left").withColumn("common", F.col("common") + F.coalesce("extra", F.lit(0)))
+    half = staged(whole.where(F.col("common") > least).select("row", "col", "a", "b", "common"), "edges")
+    own = asked(classes, "acc").select(F.col("acc").alias("row"), F.col("acc").alias("col"), F.col("n").alias("a"), F.col("n").alias("b"), F.col("n").alias("common"))
     mirror = half.select(F.col("col").alias("row"), F.col("row").alias("col"), F.col("b").alias("a"), F.col("a").alias("b"), "common")
     score = jaccard(F.col("common"), F.col("a"), F.col("b"))
-    return half.union(mirror).union(own).select("row", "col", "common", score.alias("jaccard"), quantise(score).alias("q"))
+    dropped(members, pairs, postings)
+    both = half.union(mirror) if ids is None else half
+    return both.union(own).select("row", "col", "common", score.alias("jaccard"), quantise(score).alias("q"))
 
 
 def set_pairs(postings: DataFrame) -> DataFrame:
@@ -52,43 +92,193 @@ def set_pairs(postings: DataFrame) -> DataFrame:
     )
 
 
-def blocked(left: DataFrame, right: DataFrame, kernel, schema: str, rows: int = 4096, id_col: str = "vec_id") -> DataFrame:
-    """kernel(left block, right block) for every pair of blocks of about `rows` rows.
+# --- vectors --------------------------------------------------------------------------------------
+def vectors_in(df: DataFrame) -> DataFrame:
+    """vec_id, v (doubles) and n2, the squared length, of vectors that are neither null nor zero and have finite entries."""
+    v = F.col("embedding").cast("array<double>")
+    n2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
+    good = df.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).withColumn("n2", n2)
+    return good.where((F.col("n2") > 0) & (F.col("n2") < float("inf")))  # null, NaN and infinite entries give such sums
+
+
+def vector_classes(vectors: DataFrame) -> DataFrame:
+    """rep, v and n2: the distinct vectors, each by the smallest vec_id that has it."""
+    return vectors_in(vectors).groupBy("v", "n2").agg(F.min("vec_id").alias("rep"))
 
-    Rows are dealt to blocks by hash; each block is sent to the blocks of the other side, so tasks
-    hold two blocks whatever the tables' sizes and nothing is broadcast.
+
+class Block:
+    """Vectors of one side of a block pair."""
+
+    def __init__(self, batches: list[pa.RecordBatch]):
+        columns = [[b.column(b.schema.get_field_index(c)) for b in batches] for c in ("vec_id", "n2", "v")]
+        self.ids, self.n2 = (np.concatenate([c.to_numpy() for c in columns[k]]) for k in (0, 1))
+        flat = np.concatenate([c.flatten().to_numpy() for c in columns[2]])
+        self.v = flat.reshape(len(self.ids), -1)
+
+
+def over_pairs(placed: DataFrame, inside: Callable, across: Callable, schema: str) -> DataFrame:
+    """Results of all block pairs of rows (pair, side, vec_id, v, n2).
+
+    A task holds the first side of one pair and streams the second past it in batches:
+    across(held, batch, last) for each, and inside(held) for a pair of one side only.
     """
-    n_left, n_right = (max(1, -(-df.count() // rows)) for df in (left, right))
-    deal = lambda n, salt: F.pmod(F.xxhash64(id_col, F.lit(salt)), F.lit(n)).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    a = left.withColumn("_i", deal(n_left, "left")).withColumn("_j", spread(n_right))
-    b = right.withColumn("_j", deal(n_right, "right")).withColumn("_i", spread(n_left))
 
-    def run(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        return kernel(x, y)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pair, first, held, waiting = None, [], None, None
+
+        def done():
+            if waiting is not None:
+                yield from across(held, waiting, True)
+            elif first:
+                yield from inside(Block(first))
+
+        for batch in batches:
+            pairs, sides = (batch.column(batch.schema.get_field_index(c)).to_numpy() for c in ("pair", "side"))
+            ends = [*(np.flatnonzero((pairs[1:] != pairs[:-1]) | (sides[1:] != sides[:-1])) + 1).tolist(), len(pairs)]
+            begin = 0
+            for end in ends:
+                if end == begin:
+                    continue
+                part = batch.slice(begin, end - begin)
+                if pairs[begin] != pair:
+                    yield from done()
+                    pair, first, held, waiting = pairs[begin], [], None, None
+                if sides[begin] == 0:
+                    first.append(part)
+                elif first:
+                    if held is None:
+                        held = Block(first)
+                    if waiting is not None:
+                        yield from across(held, waiting, False)
+                    waiting = Block([part])
+                begin = end
+        yield from done()
+
+    sorted_ = placed.repartition("pair").sortWithinPartitions("pair", "side")
+    return sorted_.select("pair", "side", "vec_id", "n2", "v").mapInArrow(run, schema)
 
-    return a.groupBy("_i", "_j").cogroup(b.groupBy("_i", "_j")).applyInPandas(run, schema)
 
+def cores(df: DataFrame) -> int:
+    return df.sparkSession.sparkContext.defaultParallelism
 
-def vector_hits(queries: DataFrame, database: DataFrame, least: float = STORED, top: int | None = None, dim_scale: float = 1.0) -> DataFrame:
+
+def edges_of(a: Block, b: Block, rows: slice, first_col: Callable[[int], int] | None, share: float, dim_scale: float) -> list[np.ndarray]:
+    """row, col, dot and jaccard of the pairs of a[rows] and b over the limit; with first_col only later columns of each row."""
+    dot = a.v[rows] @ b.v.T / dim_scale
+    total = (a.n2[rows, None] + b.n2[None]) / dim_scale
+    keep = dot > share * total
+    if first_col is not None:
+        keep &= np.arange(len(b.ids))[None] >= np.array([first_col(i) for i in range(rows.start, rows.start + len(dot))])[:, None]
+    i, j = np.nonzero(keep)
+    dot = dot[i, j]
+    return [a.ids[rows][i], b.ids[j], dot, dot / (total[i, j] - dot)]
+
+
+def vector_matrix(vectors: DataFrame, share: float = STORED, dim_scale: float = 1.0, tasks: int | None = None, block_bytes: int = 1 << 26, cells: int = 4_000_000) -> DataFrame:
+    """row, col, dot, jaccard and q of all pairs of distinct vectors with dot > share (a + b), a and b their squared lengths.
+
+    dot and squared lengths are those of the vectors over `dim_scale`. Equal vectors are one, by their
+    smallest vec_id (`vector_classes` has them), so copies don't multiply; pairs are given both ways and
+    every vector meets itself.
+
+    The distinct vectors are dealt by length into blocks, and blocks meet in a triangular grid, each
+    unordered pair once. There are as many blocks a side as make `tasks` pairs (three a core unless
+    given), or more where a block would exceed `block_bytes`; so each vector is sent to a number
+    of tasks that depends on the cluster and not on the number of vectors. As a dot product is at most the product of the
+    lengths, block pairs whose lengths are further apart than the limit allows are not built.
+
+    Vectors that are null or zero or hold null or non-finite entries, and vectors of another length
+    than most (of equal counts the longer), take no part; an empty table gives no rows.
+    """
+    spark = vectors.sparkSession
+    heads = staged(vector_classes(vectors).select(F.col("rep").alias("vec_id"), "v", "n2"), "vectors")
+    size = heads.groupBy(F.size("v").alias("dim")).count().orderBy(F.desc("count"), F.desc("dim")).first()
+    edge = "row long, col long, dot double, jaccard double"
+    if size is None:
+        return spark.createDataFrame([], edge).withColumn("q", quantise(F.col("jaccard")))
+    heads = heads.where(F.size("v") == size.dim)
+    side = max(1, round((2 * (tasks or 3 * cores(heads))) ** 0.5), -(-size["count"] * size.dim * 8 // block_bytes))
+    side = min(side, -(-size["count"] // 64))  # small tables have few blocks
+    blocks = staged(heads.repartitionByRange(side, "n2", F.xxhash64("vec_id")).withColumn("block", F.spark_partition_id()), "blocks")
+    ranges = sorted((r.lo, r.hi, r.block) for r in blocks.groupBy("block").agg(F.min("n2").alias("lo"), F.max("n2").alias("hi")).collect())  # one row a block
+    apart = ((1 + (1 - 4 * share * share) ** 0.5) / (2 * share)) ** 2 * (1 + 1e-9) if share > 0 else float("inf")
+    meet, pair = [], 0
+    for i, (_, high, one) in enumerate(ranges):
+        meet.append((one, pair, 0))
+        pair += 1
+        for low, _, other in ranges[i + 1 :]:
+            if low <= high * apart:
+                meet += [(one, pair, 0), (other, pair, 1)]
+                pair += 1
+    grid = spark.createDataFrame(meet, "block int, pair int, side int")  # bounded by the square of the blocks a side
+
+    def found(parts: list[np.ndarray]) -> pa.RecordBatch:
+        row, col, dot, score = parts
+        both = [np.concatenate([row, col]), np.concatenate([col, row]), np.concatenate([dot, dot]), np.concatenate([score, score])]
+        return pa.record_batch([pa.array(x) for x in both], names=["row", "col", "dot", "jaccard"])
+
+    def across(a: Block, b: Block, last: bool) -> Iterator[pa.RecordBatch]:
+        step = max(1, cells // max(1, len(b.ids)))
+        for at in range(0, len(a.ids), step):
+            yield found(edges_of(a, b, slice(at, at + step), None, share, dim_scale))
+
+    def inside(a: Block) -> Iterator[pa.RecordBatch]:
+        step = max(1, cells // max(1, len(a.ids)))
+        for at in range(0, len(a.ids), step):
+            yield found(edges_of(a, a, slice(at, at + step), lambda i: i + 1, share, dim_scale))
+
+    pairs = over_pairs(blocks.join(F.broadcast(grid), "block"), inside, across, edge)
+    length = (F.col("n2") / dim_scale).alias("dot")
+    own = heads.select(F.col("vec_id").alias("row"), F.col("vec_id").alias("col"), length, F.lit(1.0).alias("jaccard"))
+    return pairs.union(own).withColumn("q", quantise(F.col("jaccard")))
+
+
+def vector_hits(queries: DataFrame, database: DataFrame, least: float = STORED, top: int | None = None, dim_scale: float = 1.0, tasks: int | None = None, block_bytes: int = 1 << 26) -> DataFrame:
     """query_idx, vec_id, dot, jaccard: database vectors with estimated Jaccard >= least.
 
-    The estimate is I / (A + B - I) with I = dot / dim_scale and A, B the squared norms over it; 0
-    where the denominator is not positive. With `top`, only each block's best `top` are sent on.
+    The estimate is I / (A + B - I) with I = dot / dim_scale and A, B the squared lengths over it; 0
+    where the denominator is not positive. With `top`, only the best `top` of each part of the database are sent on.
+
+    Queries and database meet in a grid of about `tasks` block pairs (three a core unless given),
+    with the sides that move the fewest rows, or more query blocks where one would exceed
+    `block_bytes`. A task holds its queries and streams its part of the database past them. Null vectors
+    take no part.
     """
+    pick = lambda df: df.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    a, b = pick(queries), pick(database)
+    (n, dim), m = a.agg(F.count("*"), F.max(F.size("v"))).first(), b.count()
+    tasks = tasks or 3 * cores(a)
+    high = max(1, round((tasks * n / max(1, m)) ** 0.5), -(-n * (dim or 1) * 8 // block_bytes))
+    wide = max(1, min(round(tasks / high), -(-m // 64)))
+    deal = lambda k, salt: F.pmod(F.xxhash64("vec_id", F.lit(salt)), F.lit(k)).cast("int")
+    spread = lambda k: F.explode(F.sequence(F.lit(0), F.lit(k - 1)))
+    x = a.withColumn("i", deal(high, "left")).withColumn("j", spread(wide)).withColumn("side", F.lit(0))
+    y = b.withColumn("j", deal(wide, "right")).withColumn("i", spread(high)).withColumn("side", F.lit(1))
+    placed = x.unionByName(y).select((F.col("i") * wide + F.col("j")).alias("pair"), "side", "vec_id", F.lit(0.0).alias("n2"), "v")
+
+    def across(held: Block, part: Block, last: bool) -> Iterator[pa.RecordBatch]:
+        own, other = (held.v * held.v).sum(axis=1) / dim_scale, (part.v * part.v).sum(axis=1) / dim_scale
+        step = max(1, 4_000_000 // max(1, len(part.ids)))
+        found = []
+        for at in range(0, len(held.ids), step):
+            dot = held.v[at : at + step] @ part.v.T / dim_scale
+            union = own[at : at + step, None] + other[None] - dot
+            score = np.where(union > 0, dot / np.where(union > 0, union, 1), 0.0)
+            i, j = np.nonzero(score >= least)
+            found.append([i + at, part.ids[j], dot[i, j], score[i, j]])
+        query, ids, dot, score = (np.concatenate(c) for c in zip(*found, strict=True))
+        if top is not None:
+            if (before := getattr(held, "best", None)) is not None:
+                query, ids, dot, score = (np.concatenate(c) for c in zip(before, (query, ids, dot, score), strict=True))
+            order = np.lexsort((-score, query))
+            query, ids, dot, score = query[order], ids[order], dot[order], score[order]
+            begins = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])) if len(query) else np.zeros(0, int)
+            sizes = np.diff(np.append(begins, len(query)))
+            limit = score[begins + np.minimum(sizes, top) - 1] - 1e-9  # what rounding makes equal stays
+            keep = score >= np.repeat(limit, sizes)
+            held.best = query, ids, dot, score = query[keep], ids[keep], dot[keep], score[keep]
+            if not last:
+                return
+        yield pa.record_batch([pa.array(held.ids[query]), pa.array(ids), pa.array(dot), pa.array(score)], names=["query_idx", "vec_id", "dot", "jaccard"])
 
-    def kernel(x: pd.DataFrame, y: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"query_idx": pd.Series(dtype="int64"), "vec_id": pd.Series(dtype="int64"), "dot": pd.Series(dtype="float64"), "jaccard": pd.Series(dtype="float64")})
-        if not len(x) or not len(y):
-            return empty
-        a, b = (np.array(z["embedding"].tolist(), np.float64) for z in (x, y))
-        dot = a @ b.T / dim_scale
-        union = (a * a).sum(axis=1)[:, None] / dim_scale + (b * b).sum(axis=1)[None] / dim_scale - dot
-        score = np.where(union > 0, dot / np.where(union > 0, union, 1), 0.0)
-        if top is not None and len(b) > top:
-            score[score < np.partition(score, len(b) - top, axis=1)[:, len(b) - top][:, None]] = -np.inf
-        i, j = np.nonzero(score >= least)
-        return pd.DataFrame({"query_idx": x["vec_id"].to_numpy()[i], "vec_id": y["vec_id"].to_numpy()[j], "dot": dot[i, j], "jaccard": score[i, j]})
-
-    pick = lambda df: df.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    return blocked(pick(queries), pick(database), kernel, "query_idx long, vec_id long, dot double, jaccard double")
+    return over_pairs(placed, lambda held: iter(()), across, "query_idx long, vec_id long, dot double, jaccard double")

@@ -59,6 +59,11 @@ def edges(spark, d):
     return S.similarity_join(postings(spark, d))
 
 
+def asked_edges(spark, d):
+    """The edges of the asked ids alone."""
+    return S.similarity_join(postings(spark, d), ids=asked(spark, d))
+
+
 def asked(spark, d):
     """The asked ids: documents whose id is divisible by 20."""
     return table(spark, d, "documents").where("doc_id % 20 = 0").select(F.col("doc_id").alias("id"))
@@ -233,6 +238,23 @@ def sim_threshold(spark, d):
     return hits(spark, d, 1 / 19).where("jaccard > 1/19d").select("query_idx", "vec_id", X.quantise(F.col("jaccard")).alias("q"))
 
 
+REPS = """v AS (SELECT min(vec_id) AS vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings WHERE embedding IS NOT NULL GROUP BY embedding)"""
+
+
+@query("vector_matrix", f"""WITH {REPS}, n AS (SELECT vec_id, e, list_inner_product(e, e) AS n2 FROM v), p AS (SELECT x.vec_id AS "row", y.vec_id AS "col", list_inner_product(x.e, y.e) AS dot, x.n2 + y.n2 AS total FROM n x, n y WHERE x.n2 > 0 AND y.n2 > 0)
+  SELECT "row", "col", round(dot, 6) AS dot, CAST(floor(least(dot / (total - dot), 1) * 255 + 0.5) AS INTEGER) AS q FROM p WHERE dot > 0.05::DOUBLE * total""")
+def vector_matrix(spark, d):
+    """The matrix of all pairs of distinct vectors over the stored threshold."""
+    return S.vector_matrix(table(spark, d, "embeddings")).select("row", "col", F.round("dot", 6).alias("dot"), "q")
+
+
+@query("vector_classes", "SELECT vec_id, min(vec_id) OVER (PARTITION BY embedding) AS rep FROM embeddings WHERE embedding IS NOT NULL AND list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])) > 0")
+def vector_classes(spark, d):
+    """The vector that stands for each in the matrix: of equal ones the smallest id."""
+    v = S.vectors_in(table(spark, d, "embeddings"))
+    return v.select("vec_id", "v").join(S.vector_classes(table(spark, d, "embeddings")).select("rep", "v"), "v").select("vec_id", "rep")
+
+
 @query("intersection_est", f"WITH {HITS} SELECT query_idx, count(*) AS n, round(sum(dot), 4) AS estimated FROM hits WHERE jaccard >= 0.05 GROUP BY query_idx")
 def intersection_est(spark, d):
     return hits(spark, d).groupBy("query_idx").agg(F.count("*").alias("n"), F.round(F.sum("dot"), 4).alias("estimated"))
@@ -276,17 +298,17 @@ def top_sql(n: str) -> str:
 
 @query("topk_neighbors", top_sql(" AND rank <= 10"))
 def topk_neighbors(spark, d):
-    return M.neighbours(edges(spark, d), asked(spark, d))
+    return M.neighbours(asked_edges(spark, d), asked(spark, d))
 
 
 @query("all_neighbors", top_sql(""))
 def all_neighbors(spark, d):
-    return M.neighbours(edges(spark, d), asked(spark, d), None)
+    return M.neighbours(asked_edges(spark, d), asked(spark, d), None)
 
 
 @query("neighbors", f'WITH {EDGES}, {ASKED} SELECT "row", "col", q FROM edges WHERE "row" IN (SELECT id FROM asked)')
 def neighbors(spark, d):
-    return edges(spark, d).join(asked(spark, d).withColumnRenamed("id", "row"), "row", "left_semi").select("row", "col", "q")
+    return asked_edges(spark, d).select("row", "col", "q")
 
 
 @query("topn_exact", f'WITH {EDGES}, {RANKED} SELECT "row", "col", q FROM ranked WHERE rank <= 5')

@@ -27,8 +27,18 @@ def shared_dir(spark: SparkSession) -> str:
 def staged(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared folder, so that several readers compute it once."""
     path = f"{shared_dir(df.sparkSession)}/sketchloom/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables of `staged` that nothing reads any more."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table._staged_at)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def dealt(df: DataFrame, small: int = 1 << 30) -> DataFrame:

@@ -181,7 +181,38 @@ def test_canonical_forms():
     for other in ([{"x": 1, "signatures": [sig([3, 1, 1]), sig([9], 21)]}, {"x": 2}], [{"x": 1.5, "signatures": a[0]["signatures"]}, {"x": 2}], a[:1]):
         assert roundtrip.canonical(other) != roundtrip.canonical(a)
     one = sig([3, 1], abundances=[30, 10])
-    assert roundtrip.canonical(one) == roundtrip.canonical(sig([1, 3], abundances=[10, 30])) != roundtrip.canonical(sig([1, 3], abundances=[30, 10]))
+    # hashes have no order, a list of abundances has
+    assert roundtrip.canonical(one) == roundtrip.canonical(sig([1, 3], abundances=[30, 10])) != roundtrip.canonical(sig([1, 3], abundances=[10, 30]))
+    assert roundtrip.canonical(sig({"3": 1, "1": 2})) == roundtrip.canonical(sig({"1": 2, "3": 1})) != roundtrip.canonical(sig({"1": 1, "3": 2}))
+
+
+def test_round_trip_of_abundances_maps_and_folders(spark, tmp_path):
+    """Files of one name in two folders, pairs out of order, maps of abundances, empty members."""
+    files_ = {
+        "b1/x.sig": [{"name": "one", "signatures": [sig([9, 3], abundances=[90, 30]), sig([], 21, abundances=[])]}],
+        "b2/x.sig": {"name": "two", "signatures": [sig({"70": 7, "5": 50}), sig([8, 2, 8])]},
+        "b2/deep/x.sig": [{"name": "three", "signatures": [sig([4, 1], abundances=[1])]}, {"name": "four"}],
+        "x.sig": sig(["12", 11]),
+    }
+    for name, record in files_.items():
+        (tmp_path / "in" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / name).write_text(json.dumps(record))
+    whole = roundtrip.take_apart(spark, f"file://{tmp_path}/in/")
+    assert {(r.folder, r.name) for r in whole.collect()} == {("b1", "x.sig"), ("b2", "x.sig"), ("b2/deep", "x.sig"), ("", "x.sig")}
+    made = roundtrip.rebuild(whole.select("folder", "name", "skeleton"), whole.select("folder", "name", "parts").repartition(3))
+    got = {f"{r.folder}/{r.name}".lstrip("/"): json.loads(r.record) for r in made.collect()}
+    assert got.pop("x.sig") == sig([12, 11]) and got == {k: v for k, v in files_.items() if k != "x.sig"}
+    assert roundtrip.write_records(made, str(tmp_path / "out")) == roundtrip.write_records(made, str(tmp_path / "out")) == 4
+    a, b = (roundtrip.canonical_files(spark, str(tmp_path / x)) for x in ("in", "out"))
+    report = roundtrip.compare_files(a, b)
+    assert [r.status for r in report.collect()] == ["PASS"] * 4 and roundtrip.verdict(report).first().ok
+    swapped = json.loads((tmp_path / "out/b1/x.sig").read_text())
+    swapped[0]["signatures"][0] |= {"mins": [3, 9], "abundances": [30, 90]}
+    (tmp_path / "out/b1/x.sig").write_text(json.dumps(swapped))
+    (tmp_path / "out/b2/x.sig").unlink()
+    assert {r.original_path.split("/in/")[1]: r.status for r in roundtrip.compare_files(a, roundtrip.canonical_files(spark, str(tmp_path / "out"))).collect()} == {
+        "b1/x.sig": "FAIL", "b2/x.sig": "MISSING", "b2/deep/x.sig": "PASS", "x.sig": "PASS",
+    }
 
 
 def test_md5_of_a_signature(spark):
