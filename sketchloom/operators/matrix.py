@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import dequantise
 from ..sources.files import FORMAT_VERSION, check_version
+from ..sources.staging import staged
+from .ordered import row_numbers
 
 
 def neighbours(edges: DataFrame, ids: DataFrame, top: int | None = 10) -> DataFrame:
@@ -49,21 +51,33 @@ def filter_edges(edges: DataFrame, least: float) -> DataFrame:
     return edges.where(F.col("q") / 255.0 >= least)
 
 
-def matrix_slice(edges: DataFrame, rows: DataFrame, cols: DataFrame, block: int = 1024) -> DataFrame:
-    """r_pos, c_pos, row, col, jaccard of the asked rows and columns, 0 where there is no edge.
+def slice_tiles(edges: DataFrame, rows: DataFrame, cols: DataFrame, width: int = 65_536) -> DataFrame:
+    """r, r_pos, row, tile, c_pos, cols and values: the asked rows and columns as dense rows of at most `width` cells.
 
-    Both lists (pos, id) are stated by the user and keep order and repeats. They are dealt by hash
-    into blocks of about `block` ids, and blocks meet by their numbers, so no list has to fit a task.
+    Both lists (pos, id) are stated by the user and keep order and repeats; columns are numbered in their
+    order and cut into tiles. Only edges between asked ids are joined and shuffled; each row of a
+    tile is then laid out from its edges in order of columns, with zeros between them, as one
+    array. `r` is the place of the row in its list, from 0.
     """
-    n_rows, n_cols = (max(1, -(-ids.count() // block)) for ids in (rows, cols))
-    deal = lambda n: F.pmod(F.xxhash64("pos", "id"), F.lit(n)).cast("int")
-    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    r = rows.select(F.col("pos").alias("r_pos"), F.col("id").alias("row"), deal(n_rows).alias("_i"), spread(n_cols).alias("_j"))
-    c = cols.select(F.col("pos").alias("c_pos"), F.col("id").alias("col"), deal(n_cols).alias("_j"), spread(n_rows).alias("_i"))
-    grid = r.join(c, ["_i", "_j"])
-    return grid.join(edges.select("row", "col", "q"), ["row", "col"], "left").select(
-        "r_pos", "c_pos", "row", "col", F.coalesce(dequantise(F.col("q")), F.lit(0.0)).alias("jaccard")
-    )
+    r = staged(row_numbers(rows.select(F.col("pos").alias("r_pos"), F.col("id").alias("row")), ["r_pos", "row"], "r").withColumn("r", F.col("r") - 1), "rows")
+    numbered = row_numbers(cols.select(F.col("pos").alias("c_pos"), F.col("id").alias("col")), ["c_pos", "col"], "k")
+    c = staged(numbered.select("c_pos", "col", F.floor((F.col("k") - 1) / width).cast("int").alias("tile"), ((F.col("k") - 1) % width).cast("int").alias("k")), "columns")
+    entry = F.sort_array(F.collect_list(F.struct("k", "c_pos", "col")))
+    tiles = c.groupBy("tile").agg(entry.alias("t")).select("tile", F.size("t").alias("cells"), F.col("t.c_pos").alias("c_pos"), F.col("t.col").alias("cols"))
+    hits = edges.select("row", "col", dequantise(F.col("q")).alias("x")).join(r.select("row", "r"), "row").join(c.select("col", "tile", "k"), "col")
+    sparse = hits.groupBy("r", "tile").agg(F.sort_array(F.collect_list(F.struct("k", "x"))).alias("e"))
+    grid = r.withColumn("tile", F.explode(F.sequence(F.lit(0), F.lit(c.agg(F.max("tile")).first()[0] or 0)))).join(tiles, "tile")
+    zeros = lambda n: F.array_repeat(F.lit(0.0), n)
+    last = F.get("e", F.size("e") - 1)["k"]
+    runs = F.transform("e", lambda h, i: F.concat(zeros(h["k"] - F.coalesce(F.get("e", i - 1)["k"], F.lit(-1)) - 1), F.array(h["x"])))
+    dense = F.when(F.col("e").isNull(), zeros(F.col("cells"))).otherwise(F.concat(F.flatten(runs), zeros(F.col("cells") - last - 1)))
+    return grid.join(sparse, ["r", "tile"], "left").select("r", "r_pos", "row", "tile", "c_pos", "cols", dense.alias("values"))
+
+
+def matrix_slice(edges: DataFrame, rows: DataFrame, cols: DataFrame, width: int = 65_536) -> DataFrame:
+    """r_pos, c_pos, row, col, jaccard of the asked rows and columns, 0 where there is no edge: the cells of `slice_tiles`."""
+    cells = slice_tiles(edges, rows, cols, width)
+    return cells.select("r_pos", "row", F.inline(F.arrays_zip("c_pos", F.col("cols").alias("col"), F.col("values").alias("jaccard")))).toDF("r_pos", "row", "c_pos", "col", "jaccard").select("r_pos", "c_pos", "row", "col", "jaccard")
 
 
 def reindex(edges: DataFrame, mapping: DataFrame, must_match: bool = True) -> DataFrame:
@@ -127,18 +141,45 @@ def in_order(edges: DataFrame) -> DataFrame:
 
 
 def write_matrix(edges: DataFrame, path: str, n_rows: int, shards: int) -> None:
-    """Edges as Parquet, a folder for each shard of consecutive rows, sorted by row and col, and the format version.
+    """Edges as Parquet, a folder for each shard of consecutive rows, sorted by row and col in small row groups; the format version and the layout.
 
     What the folder held before is replaced.
     """
-    size = -(-n_rows // shards)
-    sharded = edges.withColumn("shard", F.floor(F.col("row") / size).cast("int"))
-    sharded.repartition("shard", "row").sortWithinPartitions("shard", "row", "col").write.mode("overwrite").partitionBy("shard").parquet(f"{path}/edges")
-    edges.sparkSession.createDataFrame([(str(FORMAT_VERSION),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/version")
+    spark, size = edges.sparkSession, max(1, -(-n_rows // shards))
+    sharded = edges.withColumn("shard", F.expr(f"int(row div {size})"))
+    placed = sharded.repartitionByRange(shards, "shard", "row").sortWithinPartitions("shard", "row", "col")
+    placed.write.mode("overwrite").option("parquet.block.size", 1 << 23).partitionBy("shard").parquet(f"{path}/edges")
+    for name, value in (("version", FORMAT_VERSION), ("rows", n_rows), ("shards", shards)):
+        spark.createDataFrame([(str(value),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/{name}")
+
+
+def stated(spark: SparkSession, path: str, name: str) -> int | None:
+    found = spark.read.text(f"{path}/{name}").first()
+    return int(found.value) if found else None
 
 
 def read_matrix(spark: SparkSession, path: str) -> DataFrame:
     """shard, row, col and q of a written matrix; another format version is an error."""
-    found = spark.read.text(f"{path}/version").first()
-    check_version(found.value if found else "none")
+    check_version(stated(spark, path, "version") or "0")
     return spark.read.parquet(f"{path}/edges")
+
+
+def stored_rows(spark: SparkSession, path: str, ids: DataFrame, listed: int = 1000) -> DataFrame:
+    """The edges of the asked rows (id) of a written matrix, read from their shards alone.
+
+    The shards of the ids are named in the scan, so others aren't listed; inside, files and row groups are sorted by
+    row, and those outside the asked range (or list, up to `listed` ids) are passed over.
+    """
+    size = max(1, -(-stated(spark, path, "rows") // stated(spark, path, "shards")))
+    asked = ids.where("id is not null").select(F.col("id").alias("row"), F.expr(f"int(id div {size})").alias("shard")).distinct()
+    within = [r.shard for r in asked.select("shard").distinct().collect()]  # at most as many as there are shards
+    low, high, n = asked.agg(F.min("row"), F.max("row"), F.count("*")).first()
+    edges = read_matrix(spark, path).where(F.col("shard").isin(within))
+    if n:
+        edges = edges.where(F.col("row").between(low, high) if n > listed else F.col("row").isin([r["row"] for r in asked.select("row").collect()]))
+    return edges.join(asked, ["shard", "row"], "left_semi")
+
+
+def stored_neighbours(spark: SparkSession, path: str, ids: DataFrame, top: int | None = 10) -> DataFrame:
+    """`neighbours` of the asked ids in a written matrix."""
+    return neighbours(stored_rows(spark, path, ids), ids, top)

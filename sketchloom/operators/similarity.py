@@ -17,24 +17,24 @@ from .sketch import set_classes, set_sizes
 STORED = 0.05
 
 
-def rarity(postings: DataFrame, share: float) -> DataFrame:
-    """acc, h, n (the set's size), late and kept_back: whether h is among the commonest hashes that a set may leave out, and their number.
+def rarity(postings: DataFrame, sizes: DataFrame, share: float) -> DataFrame:
+    """acc, h, n (the set's size), late and kept_back of the hashes that several sets hold: whether h is among the commonest that a set may leave out, and their number.
 
     Sets of a and b hashes are linked by more than share (a + b) common ones, which are at most b, so a
     set has more than share / (1 - share) of its hashes in common with any other: at least
     one of two sets' common hashes is left when each leaves out so many of the commonest. Hashes are in
     classes of frequency (four to an octave), and a set leaves out whole classes, from the commonest down, so
-    no set is sorted.
+    no set is sorted. Hashes of one set alone meet nothing and go at once. `sizes` has acc and n.
     """
-    counts = postings.groupBy("h").agg(F.floor(F.log2(F.count("*")) * 4).cast("int").alias("often"))
-    placed = staged(postings.join(counts, "h"), "placed")
+    counts = postings.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h", F.floor(F.log2("k") * 4).cast("int").alias("often"))
+    placed = staged(postings.join(counts, "h").select("acc", "h", "often"), "placed")
     classes = placed.groupBy("acc", "often").agg(F.count("*").alias("k"))
     down = Window.partitionBy("acc").orderBy(F.desc("often"))
-    tails = classes.withColumn("upto", F.sum("k").over(down)).withColumn("n", F.sum("k").over(Window.partitionBy("acc")))
+    tails = classes.withColumn("upto", F.sum("k").over(down)).join(sizes, "acc")
     fits = F.col("upto") <= F.floor(F.col("n") * (share / (1 - share)))
     cuts = tails.groupBy("acc", "n").agg(F.min(F.when(fits, F.col("often"))).alias("cut"), F.coalesce(F.max(F.when(fits, F.col("upto"))), F.lit(0)).alias("kept_back"))
     late = F.coalesce(F.col("often") >= F.col("cut"), F.lit(False))
-    out = staged(placed.join(cuts, "acc").select("acc", "h", "n", late.alias("late"), "kept_back"), "members")
+    out = staged(placed.join(cuts, "acc").select("acc", "h", F.col("n").cast("int").alias("n"), late.alias("late"), F.col("kept_back").cast("int").alias("kept_back")), "members")
     dropped(placed)
     return out
 
@@ -52,7 +52,10 @@ def similarity_join(postings: DataFrame, share: float = STORED, ids: DataFrame |
     """
     postings = staged(postings.select("acc", "h"), "postings")
     classes = staged(set_classes(postings).where("acc = rep").select("acc", "n"), "classes")
-    members = rarity(postings.join(classes.select("acc"), "acc"), share)
+    kept = staged(postings.join(classes.select("acc"), "acc"), "kept")
+    dropped(postings)
+    members = rarity(kept, classes, share)
+    dropped(kept)
     asked = lambda df, acc: df if ids is None else df.join(ids.select(F.col("id").alias(acc)).distinct(), acc, "left_semi")
     early = members.where("not late")
     left = asked(early, "acc").select("h", F.col("acc").alias("row"), F.col("n").alias("a"), F.col("kept_back").alias("a_late"))
@@ -71,7 +74,7 @@ def similarity_join(postings: DataFrame, share: float = STORED, ids: DataFrame |
     own = asked(classes, "acc").select(F.col("acc").alias("row"), F.col("acc").alias("col"), F.col("n").alias("a"), F.col("n").alias("b"), F.col("n").alias("common"))
     mirror = half.select(F.col("col").alias("row"), F.col("row").alias("col"), F.col("b").alias("a"), F.col("a").alias("b"), "common")
     score = jaccard(F.col("common"), F.col("a"), F.col("b"))
-    dropped(members, pairs, postings)
+    dropped(members, pairs)
     both = half.union(mirror) if ids is None else half
     return both.union(own).select("row", "col", "common", score.alias("jaccard"), quantise(score).alias("q"))
 

@@ -50,11 +50,27 @@ def abundant_postings(docs: DataFrame, id_col: str = "doc_id", width: int = 3, s
     )
 
 
-def kmer_sets(seqs: DataFrame, k: int, alphabet: str = "ACGT") -> DataFrame:
-    """id, kmer: the distinct windows of k letters of sequences, of the alphabet only; a-z count as A-Z."""
+def chunked(seqs: DataFrame, k: int, chunk: int = 65_536) -> DataFrame:
+    """id, seq: sequences of more than `chunk` letters cut into chunks that overlap by k - 1, so that every window of k letters begins in one chunk; in one pass."""
+    pieces = F.regexp_extract_all("seq", F.lit(f"(?s)(?=(.{{1,{chunk + k - 1}}})).{{1,{chunk}}}"), F.lit(1))
+    return seqs.select("id", F.explode(pieces).alias("seq"))
+
+
+def kmer_sets(seqs: DataFrame, k: int, alphabet: str = "ACGT", chunk: int = 65_536, parts: bool = False) -> DataFrame:
+    """id, kmer: the distinct windows of k letters of sequences, of the alphabet only; a-z count as A-Z.
+
+    Windows of a short sequence are made distinct within its row; a longer one is cut into chunks, so that no row holds
+    all its windows, and what chunks repeat is taken out by a shuffle. With `parts` the rows are chunks
+    already (of `read_fasta`), several with one id.
+    """
+    seqs = dealt(seqs.where("seq is not null").select("id", "seq"))
     upper = F.translate("seq", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     kept = F.array_distinct(F.filter(kmers(upper, k), lambda x: x.rlike(f"^[{alphabet}]+\\z")))
-    return dealt(seqs.where("seq is not null")).select("id", F.explode(kept).alias("kmer"))
+    windows = lambda df: df.select("id", F.explode(kept).alias("kmer"))
+    if parts:
+        return windows(seqs).distinct()
+    long = F.char_length("seq") > chunk
+    return windows(seqs.where(~long)).union(windows(chunked(seqs.where(long), k, chunk)).distinct())
 
 
 # Fixed values of the 64-bit half of the 128-bit hash, and its rotations.
@@ -88,9 +104,11 @@ def murmur64(data: np.ndarray, seed: int = 42) -> np.ndarray:
     return (a ^ (a >> np.uint64(33))) + (b ^ (b >> np.uint64(33)))
 
 
-def dna_postings(seqs: DataFrame, k: int = 31, scaled: int = 1000, seed: int = 42) -> DataFrame:
+def dna_postings(seqs: DataFrame, k: int = 31, scaled: int = 1000, seed: int = 42, parts: bool = False) -> DataFrame:
     """id, h, abund: FracMinHash sketches of DNA sequences, of the hashes up to 2^64 / scaled.
 
+    With `parts` the rows are chunks of sequences that overlap by k - 1 (of `read_fasta`), several with one id.
+
     Windows of k letters of A, C, G and T (a-z count as A-Z) are hashed on the strand that comes first
     in order of letters; windows with other letters are left out. Hashes of 2^63 or more only occur
     with scaled 1, which is an error.
@@ -120,7 +138,8 @@ def dna_postings(seqs: DataFrame, k: int = 31, scaled: int = 1000, seed: int = 4
                 yield pd.DataFrame({"id": [i] * len(counts), "h": list(counts), "abund": list(counts.values())})
 
     kind = dict(seqs.dtypes)["id"]
-    return seqs.where("seq is not null").select("id", "seq").mapInPandas(run, f"id {kind}, h long, abund long")
+    found = seqs.where("seq is not null").select("id", "seq").mapInPandas(run, f"id {kind}, h long, abund long")
+    return found.groupBy("id", "h").agg(F.sum("abund").alias("abund")) if parts else found
 
 
 def set_sizes(postings: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,7 +16,8 @@ from ..operators import similarity as S
 from ..operators import sketch as K
 from ..operators.ordered import members_around, ranged, row_numbers, running_sum
 from ..operators.projection import as_int16, project
-from ..sources.staging import staged
+from ..sources.fasta import read_fasta
+from ..sources.staging import shared_dir, staged
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -82,6 +84,19 @@ def kmer_extract(spark, d):
     return K.kmer_sets(docs, 31, "A-Z .").groupBy("id").agg(F.count("*").alias("n"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer"))
 
 
+@query("fasta_windows", """SELECT id, count(DISTINCT kmer) AS n, min(kmer) AS first_kmer, max(kmer) AS last_kmer FROM
+  (SELECT doc_id AS id, unnest(list_transform(range(1, greatest(1, length(t) - 29)), lambda i: substr(t, i, 31))) AS kmer
+    FROM (SELECT doc_id, regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g') AS t FROM documents)) GROUP BY id""")
+def fasta_windows(spark, d):
+    """The letters of documents written as FASTA records of 60 letters a line, read back in splits, and their windows across lines."""
+    upper = F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    lines = F.regexp_replace(F.regexp_replace(upper, "[^A-Z]", ""), "(.{60})", "$1\n")
+    path = f"{shared_dir(spark)}/sketchloom/fasta-{uuid.uuid4().hex}"
+    table(spark, d, "documents").where("text is not null").select(F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit("\n"), lines)).write.text(path)
+    chunks = read_fasta(spark, path).select(F.col("name").cast("long").alias("id"), "seq")
+    return K.kmer_sets(chunks, 31, "A-Z", parts=True).groupBy("id").agg(F.count("*").alias("n"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer"))
+
+
 query("fracminhash", f"WITH {POSTINGS} SELECT acc, h FROM postings")(postings)
 
 
@@ -345,6 +360,41 @@ def delta_gaps(spark, d):
     return M.delta_gaps(edges(spark, d))
 
 
+VECTOR_EDGES = f"""{REPS}, n AS (SELECT vec_id, e, list_inner_product(e, e) AS n2 FROM v), p AS (SELECT x.vec_id AS "row", y.vec_id AS "col", list_inner_product(x.e, y.e) AS dot, x.n2 + y.n2 AS total FROM n x, n y WHERE x.n2 > 0 AND y.n2 > 0),
+edges AS (SELECT "row", "col", CAST(floor(least(dot / (total - dot), 1) * 255 + 0.5) AS INTEGER) AS q FROM p WHERE dot > 0.05::DOUBLE * total)"""
+
+
+def stored(spark, d) -> str:
+    """The folder of the vectors' matrix, written in 16 shards of rows."""
+    path = f"{shared_dir(spark)}/sketchloom/matrix-{uuid.uuid4().hex}"
+    ids = table(spark, d, "embeddings").agg(F.max("vec_id")).first()[0]
+    M.write_matrix(S.vector_matrix(table(spark, d, "embeddings")).select("row", "col", "q"), path, (ids or 0) + 1, 16)
+    return path
+
+
+def asked_vectors(spark, d):
+    return table(spark, d, "embeddings").where("vec_id % 20 = 0").select(F.col("vec_id").alias("id"))
+
+
+@query("stored_topk", f'WITH {VECTOR_EDGES}, {RANKED} SELECT "row" AS query, rank, "col" AS neighbor, q, {DEQ} AS jaccard FROM ranked WHERE "row" % 20 = 0 AND rank <= 10')
+def stored_topk(spark, d):
+    """The ten nearest of every twentieth vector, looked up in the written matrix."""
+    return M.stored_neighbours(spark, stored(spark, d), asked_vectors(spark, d))
+
+
+@query("stored_cut", f'WITH {VECTOR_EDGES}, r AS (SELECT "row", "col", q, rank() OVER (PARTITION BY "row" ORDER BY q DESC) AS rank FROM edges) SELECT "row", "col", q FROM r WHERE rank <= 5 OR q / 255.0 >= 0.2')
+def stored_cut(spark, d):
+    """The five best or all of 0.2 of every row of the written matrix."""
+    return M.top_or_threshold(M.read_matrix(spark, stored(spark, d)).select("row", "col", "q"), 5, 0.2)
+
+
+@query("stored_counts", f'WITH {VECTOR_EDGES} SELECT "row", count(*) AS n FROM edges GROUP BY "row"')
+def stored_counts(spark, d):
+    """The neighbours of every vector that stands for others, counted in the written matrix."""
+    reps = S.vector_classes(table(spark, d, "embeddings")).select(F.col("rep").alias("acc"))
+    return M.neighbour_counts(M.read_matrix(spark, stored(spark, d)), reps)
+
+
 @query("delta_decode", f'WITH {EDGES} SELECT "row", "col" FROM edges')
 def delta_decode(spark, d):
     return M.delta_decode(delta_gaps(spark, d))
@@ -358,7 +408,8 @@ def listed(spark, d, source):
 @query("slice", f"""WITH {EDGES}, r AS (SELECT doc_id // 20 AS r_pos, doc_id AS "row" FROM documents WHERE source = 'src1'), c AS (SELECT doc_id // 20 AS c_pos, doc_id AS "col" FROM documents WHERE source = 'src2')
   SELECT r_pos, c_pos, r."row", c."col", coalesce({DEQ}, 0.0::DOUBLE) AS jaccard FROM r CROSS JOIN c LEFT JOIN edges e ON e."row" = r."row" AND e."col" = c."col" """)
 def slice_(spark, d):
-    return M.matrix_slice(edges(spark, d), listed(spark, d, "src1"), listed(spark, d, "src2"))
+    rows = listed(spark, d, "src1")
+    return M.matrix_slice(S.similarity_join(postings(spark, d), ids=rows), rows, listed(spark, d, "src2"))
 
 
 @query("matrix_reindex", f"""WITH {EDGES}, m AS (SELECT doc_id AS old, 1000000 - doc_id AS new FROM documents WHERE lang = 'en')

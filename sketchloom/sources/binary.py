@@ -259,7 +259,7 @@ def write_groups(lines: DataFrame, order: list[str], root: str) -> int:
 
 
 def write_matrix_npy(rows: DataFrame, path: str, n_rows: int, n_cols: int) -> int:
-    """A .npy file of 32-bit floats from rows (at, values); every row is written at its place by its task."""
+    """A .npy file of 32-bit floats from rows (at, values), `at` the number of cells before the values; each is written at its place by its task."""
     if not path.endswith(".npy"):
         raise ValueError(f"{path}: only .npy files are written")
     header = np.lib.format.magic(1, 0)
@@ -269,7 +269,7 @@ def write_matrix_npy(rows: DataFrame, path: str, n_rows: int, n_cols: int) -> in
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"at": batch["at"] * (4 * n_cols) + len(header), "data": [np.asarray(x, "<f4").tobytes() for x in batch["values"]]})
+            yield pd.DataFrame({"at": batch["at"] * 4 + len(header), "data": [np.asarray(x, "<f4").tobytes() for x in batch["values"]]})
 
     first = rows.sparkSession.createDataFrame([(0, header)], "at long, data binary")
     return place_bytes(rows.select("at", "values").mapInPandas(run, "at long, data binary").union(first), path) - 1

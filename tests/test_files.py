@@ -132,11 +132,14 @@ def test_sinks(spark, tmp_path):
     files.write_hits(found, str(tmp_path / "hits.tsv"))
     assert (tmp_path / "hits.tsv").read_text() == "QueryIndex\tAccession\tJaccard_Similarity\n0\t3\t1\n0\t7\t0.25\n\n1\t5\t0.5\n\n"
     e = spark.createDataFrame([(1, 2, 255), (3, 4, 51)], "row long, col long, q int")
-    cells = matrix.matrix_slice(e, *[spark.createDataFrame(x, "pos long, id long") for x in ([(0, 3), (1, 1), (2, 1)], [(0, 2), (1, 4)])])
-    files.write_slice(cells, str(tmp_path / "s.csv"))
-    assert (tmp_path / "s.csv").read_text() == "Accession,2,4,\n3,0,0.2,\n1,1,0,\n1,1,0,\n"
-    files.write_slice_npy(cells, str(tmp_path / "s.npy"), 3, 2)
-    assert np.load(tmp_path / "s.npy").tolist() == np.array([[0, 0.2], [1, 0], [1, 0]], np.float32).tolist()
+    for width in (65_536, 1):
+        tiles = matrix.slice_tiles(e, *[spark.createDataFrame(x, "pos long, id long") for x in ([(0, 3), (1, 1), (2, 1)], [(0, 2), (1, 4)])], width=width)
+        files.write_slice(tiles, str(tmp_path / "s.csv"))
+        assert (tmp_path / "s.csv").read_text() == "Accession,2,4,\n3,0,0.2,\n1,1,0,\n1,1,0,\n"
+        files.write_slice_npy(tiles, str(tmp_path / "s.npy"), 3, 2, width)
+        assert np.load(tmp_path / "s.npy").tolist() == np.array([[0, 0.2], [1, 0], [1, 0]], np.float32).tolist()
+    with pytest.raises(ValueError, match="npy"):
+        files.write_slice_npy(tiles, str(tmp_path / "s.npz"), 3, 2)
 
 
 def test_metadata_and_sizes(spark, tmp_path):

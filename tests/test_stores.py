@@ -1,0 +1,240 @@
+"""Data sources in blocks, exact files, the written matrix and joins of vectors."""
+
+import glob
+import gzip
+import os
+import re
+
+import numpy as np
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from sketchloom.operators import matrix, similarity, sketch
+from sketchloom.sources import binary, fasta, files
+
+
+@pytest.fixture
+def whole_plans(spark):
+    """Plans as text without cuts."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")
+    yield lambda df: df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_a_file_of_over_2_gb_is_read_in_blocks(spark, tmp_path):
+    place, n = tmp_path / "big.u64", 300_000_000  # 2.4 GB, without its zeros on the disk
+    with open(place, "wb") as f:
+        f.truncate(8 * n)
+        f.seek(8 * (n - 3))
+        f.write(np.array([7, 8, 9], "<u8").tobytes())
+    (tmp_path / "small.u64").write_bytes(np.array([5], "<u8").tobytes())
+    df = files.read_u64(spark, str(tmp_path))
+    assert df.rdd.getNumPartitions() == 37
+    end = df.where(f"acc = 'big' and pos >= {n - 3}")
+    assert sorted((r.acc, r.pos, r.h) for r in end.collect()) == [("big", n - 3 + i, 7 + i) for i in range(3)]
+    assert end.rdd.getNumPartitions() == 1  # the other blocks and the other file are not read
+    assert [(r.acc, r.h) for r in df.where("acc = 'small'").collect()] == [("small", 5)]
+    assert files.read_u64(spark, f"file://{tmp_path}/small.u64").count() == 1
+    (tmp_path / "odd.u64").write_bytes(b"123456789")
+    with pytest.raises(PySparkException, match="whole number"):
+        files.read_u64(spark, str(tmp_path / "odd.u64")).count()
+
+
+def test_vector_blocks_by_place(spark, tmp_path):
+    v = np.arange(40_000, dtype="<i2").reshape(-1, 4)
+    (tmp_path / "v.bin").write_bytes(v.tobytes())
+    df = files.read_vectors(spark, str(tmp_path / "v.bin"), 4, block_rows=1000)
+    assert df.rdd.getNumPartitions() == 10 and df.count() == 10_000
+    some = df.where("idx > 4998 and idx < 5001")
+    assert some.rdd.getNumPartitions() == 2 and {r.idx: r.v for r in some.collect()} == {i: v[i].tolist() for i in (4999, 5000)}
+
+
+def test_vector_folders_are_replaced_whole_or_not_at_all(spark, tmp_path):
+    folder = str(tmp_path / "db")
+    made = lambda n, dim: spark.createDataFrame([(i, f"a{i}", [i] * dim, 1.0 + i) for i in range(n)], "idx long, acc string, v array<int>, n2 double").repartition(3)
+    assert files.write_vectors(made(50, 8), folder, 8, spacing=1) == 50
+    assert files.write_vectors(made(20, 8), folder, 8, spacing=1) == 20
+    back = files.open_vectors(spark, folder, spacing=1).orderBy("idx").collect()
+    assert [(r.idx, r.acc, r.v) for r in back] == [(i, f"a{i}", [i] * 8) for i in range(20)]
+    assert os.path.getsize(f"{folder}/vectors.bin") == 20 * 16 and (tmp_path / "db/vector_norms.txt").read_text().splitlines()[3] == "a3 2"
+    with pytest.raises(ValueError, match="spacing"):
+        files.open_vectors(spark, folder, spacing=32)
+    for bad in (made(20, 7), made(20, 8).where("idx <> 4")):
+        with pytest.raises(ValueError, match="components"):
+            files.write_vectors(bad, folder, 8)
+    broken = spark.createDataFrame([(0, b"x" * 4), (-5, b"y")], "at long, data binary")
+    with pytest.raises(PySparkException):
+        binary.place_bytes(broken, f"{folder}/vectors.bin")
+    assert files.open_vectors(spark, folder).count() == 20 and not glob.glob(f"{folder}/.*")
+
+
+def test_lines_in_order(spark, tmp_path):
+    df = spark.range(5000).select(F.col("id").alias("n"), F.concat(F.lit("é" * 3), F.col("id").cast("string"), F.lit("\n")).alias("line")).repartition(7)
+    assert binary.write_lines(df, ["n"], str(tmp_path / "t.txt"), "head\n") == 5000
+    assert (tmp_path / "t.txt").read_text() == "head\n" + "".join(f"ééé{i}\n" for i in range(5000))
+    assert binary.write_lines(df.limit(0), ["n"], str(tmp_path / "t.txt")) == 0 and (tmp_path / "t.txt").read_text() == ""
+
+
+def test_stored_matrix_reads_only_the_asked_shards(spark, tmp_path, whole_plans):
+    rng = np.random.default_rng(0)
+    rows = [(int(r), int(c), int(q)) for r, c, q in zip(rng.integers(0, 1000, 9000), rng.integers(0, 1000, 9000), rng.integers(13, 256, 9000), strict=True)]
+    e = spark.createDataFrame(rows, "row long, col long, q int").dropDuplicates(["row", "col"]).cache()
+    path = str(tmp_path / "m")
+    matrix.write_matrix(e, path, 1000, 10)
+    ids = spark.createDataFrame([(5,), (7,), (7,), (512,), (4000,), (None,)], "id long")
+    found = matrix.stored_rows(spark, path, ids)
+    assert sorted(map(tuple, found.select("row", "col", "q").collect())) == sorted(map(tuple, e.where("row in (5, 7, 512)").collect()))
+    plan = whole_plans(found)
+    assert re.search(r"PartitionFilters: \[.*shard#\d+ IN \((0,5|5,0)\)", plan) and re.search(r"PushedFilters: \[.*In\(row, \[", plan)
+    got = matrix.stored_neighbours(spark, path, ids, 3).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, matrix.neighbours(e, ids, 3).collect())) and max(r.rank for r in got) == 3
+    many = matrix.stored_rows(spark, path, ids, listed=1)
+    assert many.count() == found.count() and "GreaterThanOrEqual(row,5)" in whole_plans(many)
+    assert matrix.stored_rows(spark, path, ids.where("id < 0")).count() == 0
+    for stored, plain in ((matrix.top_or_threshold(matrix.read_matrix(spark, path), 4, 0.8), matrix.top_or_threshold(e, 4, 0.8)),):
+        assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, plain.collect()))
+
+
+# --- joins ----------------------------------------------------------------------------------------
+def brute_matrix(x, share=0.05):
+    reps = {}
+    for i, v in x:
+        reps[v] = min(reps.get(v, i), i)
+    kept = [(i, np.array(v)) for v, i in reps.items() if any(v)]
+    out = {}
+    for i, a in kept:
+        for j, b in kept:
+            dot, total = float(a @ b), float(a @ a + b @ b)
+            if dot > share * total:
+                out[i, j] = round(dot, 6)
+    return out
+
+
+@pytest.mark.parametrize(("tasks", "block_bytes"), [(None, 1 << 26), (40, 1 << 26), (1, 4000)])
+def test_vector_matrix_against_brute_force(spark, tasks, block_bytes):
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((300, 6)) * np.exp(rng.uniform(-5, 5, 300))[:, None]  # lengths of many sizes
+    x = [(i, tuple(map(float, v))) for i, v in enumerate(x)] + [(1000 + i, (1.0, 2.0, 3.0, 4.0, 5.0, 6.0)) for i in range(150)] + [(2000, (0.0,) * 6)]
+    rows = [(i, list(v), 0) for i, v in x] + [(3000, None, 0), (3001, [1.0, float("nan"), 0.0, 0.0, 0.0, 0.0], 0), (3002, [1.0, None, 0.0, 0.0, 0.0, 0.0], 0), (3003, [1.0], 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, row int").repartition(5)
+    got = similarity.vector_matrix(df, tasks=tasks, block_bytes=block_bytes).collect()
+    assert len({(r["row"], r["col"]) for r in got}) == len(got)
+    assert {(r["row"], r["col"]): round(r.dot, 6) for r in got} == brute_matrix(x)
+    assert all(r.q == 255 for r in got if r["row"] == r["col"])
+    assert similarity.vector_matrix(df.limit(0)).count() == 0
+
+
+def test_blocks_of_lengths_too_far_apart_are_not_built(spark):
+    """Two groups of lengths a thousand apart meet only among themselves."""
+    rows = [(i, [1.0 + i / 1e4, 0.5]) for i in range(500)] + [(1000 + i, [1000.0 + i, 500.0]) for i in range(500)]
+    found = similarity.vector_matrix(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), tasks=60)
+    assert found.where("(row < 1000) <> (col < 1000)").count() == 0 and found.count() == 500_000
+
+
+def test_vector_hits_in_any_grid(spark):
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((500, 5))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    want = {}
+    for q in range(0, 500, 20):
+        dot, n = x @ x[q], (x * x).sum(axis=1)
+        score = dot / (n + n[q] - dot)
+        want |= {(q, int(i)): round(float(score[i]), 9) for i in np.flatnonzero(score >= 0.05)}
+    for tasks, block in ((1, 1 << 26), (50, 1 << 26), (4, 300)):
+        got = similarity.vector_hits(df.where("vec_id % 20 = 0"), df, tasks=tasks, block_bytes=block).collect()
+        assert {(r.query_idx, r.vec_id): round(r.jaccard, 9) for r in got} == want and len(got) == len(want)
+        best = similarity.vector_hits(df.where("vec_id % 20 = 0"), df, top=3, tasks=tasks, block_bytes=block).collect()
+        for q in range(0, 500, 20):
+            own = sorted((r.jaccard for r in best if r.query_idx == q), reverse=True)[:3]
+            assert [round(j, 9) for j in own] == sorted((s for (a, _), s in want.items() if a == q), reverse=True)[:3]
+
+
+def test_hashes_that_all_sets_hold_are_never_joined(spark):
+    rng = np.random.default_rng(3)
+    sets = {a: {1, 2} | set(rng.integers(10, 3000, 60).tolist()) for a in range(120)}
+    for a in range(0, 60, 2):
+        sets[a] = {1, 2} | set(list(sets[a + 1])[:50]) | {5000 + a}
+    sets[200], sets[201], sets[202] = {1}, {1, 2, 3}, set(range(10, 300))
+    postings = spark.createDataFrame([(a, int(h)) for a, hs in sets.items() for h in hs], "acc long, h long").repartition(6)
+    members = similarity.rarity(postings, sketch.set_sizes(postings), 0.05)
+    left_out = {(r.acc, r.h) for r in members.where("late").collect()}
+    assert all((a, 1) in left_out and (a, 2) in left_out for a in range(120)) and (200, 1) not in left_out
+    want = {}
+    for a, x in sets.items():
+        for b, y in sets.items():
+            if len(x & y) > 0.05 * (len(x) + len(y)):
+                want[a, b] = len(x & y)
+    got = {(r["row"], r["col"]): r.common for r in similarity.similarity_join(postings).collect()}
+    assert got == want
+    asked = spark.createDataFrame([(1,), (1,), (202,), (999,)], "id long")
+    some = {(r["row"], r["col"]): r.common for r in similarity.similarity_join(postings, ids=asked).collect()}
+    assert some == {k: n for k, n in want.items() if k[0] in (1, 202)}
+
+
+# --- FASTA ----------------------------------------------------------------------------------------
+def fasta_by_hand(text):
+    out, name = [], None
+    for line in text.split("\n"):
+        if line.startswith(">"):
+            name = (line[1:].split() or [""])[0]
+            out.append([name, ""])
+        else:
+            if not out:
+                out.append([None, ""])
+            out[-1][1] += "".join(line.split())
+    return [tuple(x) for x in out if x[0] is not None or x[1]]
+
+
+@pytest.mark.parametrize(("split", "chunk", "overlap"), [(1 << 25, 65_536, 30), (50, 16, 4), (7, 3, 2), (1, 5, 0), (33, 1000, 40)])
+def test_fasta_in_splits_of_any_size(spark, tmp_path, split, chunk, overlap):
+    rng = np.random.default_rng(1)
+    text = "ACG\nTT\n"
+    for i in range(12):
+        seq = "".join(rng.choice(list("ACGTN"), rng.integers(0, 90)))
+        width = int(rng.integers(1, 30))
+        text += f">r{i} a note > here\n" + "".join(seq[j : j + width] + ("\r\n" if i % 3 else "\n") for j in range(0, len(seq), width))
+        text += "\n" * (i % 2)
+    text += ">empty\n>last one\nAC GT\tA"
+    (tmp_path / "a.fa").write_text(text)
+    got = fasta.read_fasta(spark, str(tmp_path), overlap, chunk, split).collect()
+    want = fasta_by_hand(text)
+    names = [n for n, _ in want]
+    assert {r.name for r in got} == set(names)
+    for name, seq in want:
+        own = sorted((r.at, r.own, r.seq) for r in got if r.name == name)
+        assert "".join(s[:n] for _, n, s in own) == seq
+        for at, n, s in own:
+            assert s == seq[at : at + n + overlap]
+
+
+def test_fasta_compressed_and_windows(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    seqs = {f"s{i}": "".join(rng.choice(list("ACGT"), 5000)) for i in range(3)}
+    text = "".join(f">{n}\n" + "\n".join(s[j : j + 60] for j in range(0, len(s), 60)) + "\n" for n, s in seqs.items())
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/x.fa").write_text(text)
+    (tmp_path / "y.fa.gz").write_bytes(gzip.compress(text.encode()))
+    want = {(n, s[i : i + 21]) for n, s in seqs.items() for i in range(len(s) - 20)}
+    for path in (tmp_path / "a", tmp_path / "y.fa.gz"):
+        chunks = fasta.read_fasta(spark, str(path), 20, 512, 777).select(F.col("name").alias("id"), "seq")
+        assert {tuple(r) for r in sketch.kmer_sets(chunks, 21, parts=True).collect()} == want
+        whole = spark.createDataFrame(list(seqs.items()), "id string, seq string")
+        chunks = fasta.read_fasta(spark, str(path), 30, 512, 777).select(F.col("name").alias("id"), "seq")
+        assert sorted(map(tuple, sketch.dna_postings(chunks, 31, 20, parts=True).collect())) == sorted(map(tuple, sketch.dna_postings(whole, 31, 20).collect()))
+    assert {tuple(r) for r in sketch.kmer_sets(spark.createDataFrame(list(seqs.items()), "id string, seq string"), 21, chunk=100).collect()} == want
+
+
+def test_one_sequence_of_200_mb_on_one_line(spark, tmp_path):
+    """Chunks of a bounded size, every letter in one of them."""
+    block = "".join(np.random.default_rng(3).choice(list("ACGT"), 1_000_000))
+    with open(tmp_path / "big.fa", "w") as f:
+        f.write(">chr one\n")
+        for _ in range(200):
+            f.write(block)
+        f.write("\n>next\nACGT\n")
+    got = fasta.read_fasta(spark, str(tmp_path / "big.fa"), 30)
+    sums = {r.name: r for r in got.groupBy("name").agg(F.sum("own").alias("n"), F.max(F.length("seq")).alias("most"), F.max("at").alias("far"), F.count("*").alias("chunks")).collect()}
+    assert (sums["chr"].n, sums["chr"].most, sums["next"].n) == (200_000_000, 65_566, 4) and sums["chr"].far < 200_000_000
+    some = got.where("name = 'chr'").sample(0.01, 1).collect()
+    assert all(r.seq == (block + block)[r.at % 1_000_000 :][: len(r.seq)] for r in some) and some
