@@ -69,21 +69,17 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns({"at": at, "mark": F.xxhash64("text", F.col("doc_id").isNull())})
 
 
-def signed_texts(texts: DataFrame, chain: int) -> DataFrame:
-    """at, mark, n (code points), spots and digest of every distinct pair of doc_id and text of `keyed` rows, written once for all that compare them."""
-    signed = with_spots(texts.withColumn("n", F.char_length("text")), "text", "spots", chain).select("at", "mark", "n", "spots")
-    return written(signed.withColumn("digest", F.unhex(F.md5(as_text(F.col("spots"))))).dropDuplicates(["at", "mark"]), "signed")
-
-
-def followers(ids: DataFrame, rows: int = 500_000) -> DataFrame:
-    """at, mark, n, next_at and next_mark: each document (at, mark, n) and the next by ascending doc_id.
+def followers(texts: DataFrame, rows: int = 500_000) -> DataFrame:
+    """at, mark, n, next_at and next_mark: each document and the next by ascending doc_id.
 
     Documents are distinct pairs of doc_id and text; null ids come first, texts of one id by mark,
     and the first follows the last. doc_ids are dealt into ranges of about `rows` each; within a range
     the next is a window's lead, and the last of a range is followed by the first of the next range.
     """
+    ids = written(texts.select("at", "mark", F.char_length("text").alias("n")).distinct(), "ids")
     parts = max(1, -(-ids.count() // rows))
-    ranged = written(ids.select("at", "mark", "n").repartitionByRange(parts, "at", "mark").withColumn("part", F.spark_partition_id()), "ranges")
+    ranged = written(ids.repartitionByRange(parts, "at", "mark").withColumn("part", F.spark_partition_id()), "ranges")
+    discard(ids)
     key = F.struct("at", "mark")
     inside = Window.partitionBy("part").orderBy("at", "mark")
     over = Window.orderBy("part")
@@ -103,37 +99,34 @@ def fingerprint_report(docs: DataFrame, similarity: float = 0.8, chain: int = 2)
 
     The edited text ends in the beginning of the next document instead of its own last quarter;
     next_id is that document. class_id is the smallest doc_id of the documents that are alike anywhere
-    in the table (`spot_classes`). Each text is signed once and its signatures written; the next
-    one's beginning and signatures are sent to the document before.
+    in the table (`spot_classes`). Texts are shuffled once, by document; the next one's beginning and
+    signatures are sent to the document before.
 
     Null text counts as empty, whose edited text is empty. Rows that repeat a doc_id and text are
     one document in the order and get a row each; a table of one document follows itself; rows without
     a doc_id have no class; an empty table gives no rows; other columns are left out.
     """
     texts = keyed(docs)
-    signed = signed_texts(texts, chain)
-    classes = classes_of(signed, similarity).select(F.col("doc_id").alias("at"), "class_id")
-    order = followers(signed).join(classes, "at", "left")
-    of_next = signed.select(F.col("at").alias("next_at"), F.col("mark").alias("next_mark"), F.col("spots").alias("next_spots"))
-    order = order.join(of_next, ["next_at", "next_mark"]).join(signed.select("at", "mark", "spots"), ["at", "mark"])
-    order = written(order.withColumn("take", F.floor(F.col("n") / 4).cast("int")), "order")
+    classes = spot_classes(docs, similarity, chain).select(F.col("doc_id").alias("at"), "class_id")
+    order = followers(texts).join(classes, "at", "left")
     copies = Window.partitionBy("at", "mark").orderBy("at")
     dealt = texts.withColumn("first", F.lag(F.lit(1)).over(copies).isNull())
-    heads = order.select("next_at", "next_mark", "take", F.col("at").alias("for_at"), F.col("mark").alias("for_mark"), "class_id", "spots", "next_spots")
-    giving = dealt.where("first").join(heads, (F.col("at") == F.col("next_at")) & (F.col("mark") == F.col("next_mark"))).select(
-        "for_at", "for_mark", "class_id", "spots", "next_spots", F.col("doc_id").alias("next_id"), F.substring(F.col("text"), F.lit(1), F.col("take")).alias("borrowed")
+    heads = order.select("next_at", "next_mark", F.floor(F.col("n") / 4).cast("int").alias("take"), F.col("at").alias("for_at"), F.col("mark").alias("for_mark"), "class_id")
+    giving = dealt.where("first").join(heads, (F.col("at") == F.col("next_at")) & (F.col("mark") == F.col("next_mark")))
+    giving = with_spots(giving.select("for_at", "for_mark", "class_id", "take", "text", F.col("doc_id").alias("next_id")), "text", "next_spots", chain).select(
+        "for_at", "for_mark", "class_id", "next_id", "next_spots", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("borrowed")
     )
     n = F.char_length("text")
     own = dealt.join(giving, (F.col("at") == F.col("for_at")) & (F.col("mark") == F.col("for_mark"))).select(
         "doc_id",
+        "text",
         "next_id",
-        "spots",
         "next_spots",
         F.expr("if(doc_id is null, null, class_id)").alias("class_id"),
         n.cast("long").alias("n_chars"),
         F.concat(F.substring(F.col("text"), F.lit(1), n - F.floor(n / 4).cast("int")), "borrowed").alias("edited"),
     )
-    own = with_spots(own, "edited", "edited_spots", chain)
+    own = with_spots(with_spots(own, "text", "spots", chain), "edited", "edited_spots", chain)
     return own.select(
         "doc_id",
         "n_chars",
@@ -188,18 +181,15 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
     doc_id are left out. Of rows that repeat a doc_id one counts, that of the least digest of its
     signatures. An empty table gives no rows; other columns are left out.
     """
-    return classes_of(signed_texts(keyed(docs.where("doc_id is not null")), chain), similarity, rounds)
-
-
-def classes_of(table: DataFrame, similarity: float = 0.8, rounds: int = 3) -> DataFrame:
-    """`spot_classes` of the rows of `signed_texts` that have a doc_id."""
-    signed = table.where(F.col("at") > -(1 << 63)).select(F.col("at").alias("doc_id"), "spots", "digest")
+    texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    signed = with_spots(texts, "text", "spots", chain).select("doc_id", "spots", F.unhex(F.md5(as_text(F.col("spots")))).alias("digest"))
+    signed = written(signed, "spots")
     chosen = signed.groupBy("doc_id").agg(F.min("digest").alias("digest"))
     nodes = written(chosen.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
     members = written(chosen.join(nodes, "digest").select("doc_id", "node"), "members")
     heads = signed.join(nodes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id"])
     heads = written(heads.select(F.col("doc_id").alias("node"), "spots"), "heads")
-    discard(nodes)
+    discard(signed, nodes)
     buckets = written(spot_buckets(heads, similarity), "buckets")
 
     def unsettled(classes: DataFrame | None) -> DataFrame:
