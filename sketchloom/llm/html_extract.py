@@ -223,14 +223,14 @@ def main_text(
     """The blocks of a page's article, joined by empty lines.
 
     First pass: frames and blocks of links are out. Long blocks with many stop words and blocks of
-    medium length with some are in, long blocks with some are undecided, those with fewer are out;
-    short blocks are undecided. Where fewer than `least_known` of the page's words are stop words, its
+    medium length with some are in; those with fewer and short blocks are undecided. Where fewer than `least_known` of the page's words are stop words, its
     language is not known here and length decides alone: long blocks are in, others undecided. Where a
     page has an article or main element, its mark-up speaks too: blocks outside it are out, and those
     in it that are not linked are in or, with few stop words, undecided.
 
-    Second pass: an undecided block takes the label of its nearest decided neighbour that is no frame;
-    in an article it is out only if both neighbours are and are in the article.
+    Second pass: a short undecided block takes the label of its nearest decided neighbour that is no frame; a
+    longer one is in if no decided neighbour is out, and so are all where nothing is decided. In an article
+    a block is out only if both neighbours are and are in the article.
     """
     blocks = blocks_of(page)
     marked = any(b.inside and not b.framed for b in blocks)
@@ -249,7 +249,7 @@ def main_text(
         elif share >= (stops_high if n >= long and not marked else stops_low):
             labels.append(True)
         else:
-            labels.append(None if marked or (n >= long and share >= stops_low) else False)
+            labels.append(None)
     kept = []
     # where a page is not marked, a frame says nothing of the blocks around it
     decided = [(i, x) for i, x in enumerate(labels) if x is not None and (marked or not blocks[i].framed)]
@@ -265,7 +265,7 @@ def main_text(
             elif len(near) == 2 and i - near[0][0] == near[1][0] - i:
                 label = near[0][1] and near[1][1]
             else:
-                label = bool(near) and min(near, key=lambda x: abs(x[0] - i))[1]
+                label = min(near, key=lambda x: abs(x[0] - i))[1] if near and sizes[i][0] < short else all(x[1] for x in near)
         if label:
             kept.append(b.text)
     return "\n\n".join(kept)

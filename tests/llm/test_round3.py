@@ -9,7 +9,7 @@ import pytest
 import xxhash
 
 from sketchloom.llm import fill_in_middle as fim
-from sketchloom.llm import simhash, whitening
+from sketchloom.llm import html_extract, simhash, whitening
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -232,3 +232,27 @@ def test_units_in_pieces_of_a_text():
     for step in (1, 2, 3, 7, 1 << 24):
         assert np.concatenate(list(fim.units(data, step))).tolist() == ends
     assert fim.ends_at(data, [0, 0, 1, len(ends)]) == [0, 0, ends[0], len(data)]
+
+
+# --- HTML without marks ---------------------------------------------------------------------------
+PROSE = "The house of the river is old and it was built by the people of the town in a time of which there is no book to read. "
+
+
+def bare_page(blocks):
+    return "<html><body>" + "".join(f"<div>{b}</div>" for b in blocks) + "</body></html>"
+
+
+def test_density_and_links_decide_where_no_mark_does():
+    menu = "".join(f'<a href="/{i}">Topic number {i} of this site</a> ' for i in range(8))
+    odd = "Zorvan | quelt | brimdo | parnek | voltis | krendal | sompre | valdik | morentu | celdra"  # a table row without a stop word
+    blocks = [menu, PROSE * 3, odd, PROSE, "A short line", PROSE * 2, menu]
+    want = [" ".join(x.split()) for x in (PROSE * 3, odd, PROSE, "A short line", PROSE * 2)]
+    got = html_extract.main_text(bare_page(blocks)).split("\n\n")
+    assert got == want
+    # the results move with each limit
+    assert html_extract.main_text(bare_page(blocks), stops_low=2, stops_high=2) == ""
+    assert html_extract.main_text(bare_page(blocks), most_linked=2) != "\n\n".join(want)
+    assert odd not in html_extract.main_text(bare_page([menu, odd, menu]))  # between blocks of links a row without stop words is out
+    assert html_extract.main_text(bare_page([odd])) == odd and html_extract.main_text(bare_page(["Short", "lines"])) == "Short\n\nlines"
+    assert html_extract.main_text(bare_page([PROSE * 2, "Note", "Imprint", menu])).endswith(" read.\n\nNote")
+    assert html_extract.main_text(bare_page([PROSE * 2, menu, "Note", menu, menu])) == " ".join((PROSE * 2).split())
