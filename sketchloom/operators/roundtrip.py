@@ -2,61 +2,59 @@
 
 from __future__ import annotations
 
-import hashlib
-import json
 import os
 import re
 import uuid
 from collections.abc import Iterator
 
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.files import fitting, plain, signature_files, signatures_in
+from ..sources.files import as_hash, held, signature_texts, signatures_of
 
 
-def canonical(node) -> str:
-    """JSON whose key order, order of hashes and order of records don't matter; every other value does.
+def keyed_texts(spark: SparkSession, path: str, recursive: bool, packed: bool) -> DataFrame:
+    """folder (below the path, "" for the path itself), name, path, size and text of every signature file."""
+    root = re.escape(re.sub(r"^\w+:(//[^/]*)?", "", path.rstrip("/")))
+    below = F.regexp_extract("path", root + r"/(?:(.*)/)?[^/]+$", 1)
+    return signature_texts(spark, path, recursive, packed).select(below.alias("folder"), F.substring_index("path", "/", -1).alias("name"), "path", "size", "text")
+
+
+def entries(x: Column, but: str, shown: Column) -> Column:
+    """A JSON object's text with its keys in order and the key `but`, where it has it, as `shown`."""
+    parts = F.try_variant_get(x, "$", "map<string,variant>")
+    return F.concat(F.lit("{"), F.array_join(F.transform(F.array_sort(F.map_keys(parts)), lambda k: F.concat(k, F.lit(":"), F.when(k == but, shown).otherwise(F.to_json(F.element_at(parts, k))))), ","), F.lit("}"))
+
 
-    Hashes in `mins` are compared as a sorted list, or by key where it is a map of abundances. A list
-    `abundances` is compared as it stands: if pairs were reordered, its order has changed and so has the form.
+def canonical(text: Column) -> Column:
+    """JSON whose key order, order of hashes and order of records don't matter, as a text; every other value does.
+
+    Hashes in `mins` are compared as a sorted list of numbers, or by key where it is a map of abundances. A list
+    `abundances` is compared as it stands: if pairs were reordered, its order has changed and so has the form. Lists
+    inside the list of records are compared as they stand.
     """
 
-    def form(x):
-        if isinstance(x, list):
-            return [form(y) for y in x]
-        if not isinstance(x, dict):
-            return x
-        out = {k: form(y) for k, y in x.items()}
-        if isinstance(x.get("mins"), list):
-            out["mins"] = sorted(map(int, x["mins"]))
-        if isinstance(x.get("signatures"), list):
-            out["signatures"] = sorted(out["signatures"], key=text)
-        return out
-
-    text = lambda x: json.dumps(x, sort_keys=True, separators=(",", ":"))
-    whole = form(node)
-    return text(sorted(whole, key=text) if isinstance(whole, list) else whole)
-
-
-def keyed_files(spark: SparkSession, path: str, recursive: bool) -> DataFrame:
-    """folder (below the path, "" for the path itself), name, path and content of every signature file."""
-    root = re.escape(re.sub(r"^\w+:(//[^/]*)?", "", path.rstrip("/")))
-    below = F.regexp_extract("path", root + r"/(?:(.*)/)?[^/]+$", 1)
-    return signature_files(spark, path, recursive).select(below.alias("folder"), F.substring_index("path", "/", -1).alias("name"), "path", "content")
+    def listed(parts: Column) -> Column:
+        return F.concat(F.lit("["), F.array_join(F.array_sort(parts), ","), F.lit("]"))
 
+    def signature(x: Column) -> Column:
+        hashes = F.transform(held(x, "mins", "array<string>"), lambda h: F.trim(h).cast("decimal(38,0)"))
+        numbers = F.concat(F.lit("["), F.array_join(F.sort_array(hashes).cast("array<string>"), ","), F.lit("]"))
+        return F.coalesce(entries(x, "mins", F.coalesce(numbers, F.to_json(held(x, "mins")))), F.to_json(x))
 
-def canonical_files(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """folder, name, path, size in bytes and sha256 of the canonical form of every signature file."""
+    def record(x: Column) -> Column:
+        own = held(x, "signatures", "array<variant>")
+        return F.when(own.isNotNull(), entries(x, "signatures", listed(F.transform(own, signature)))).otherwise(signature(x))
+
+    v = F.parse_json(text)
+    several = F.try_variant_get(v, "$", "array<variant>")
+    return F.coalesce(listed(F.transform(several, record)), record(v))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            marks = [hashlib.sha256(canonical(json.loads(plain(x))).encode()).hexdigest() for x in batch["content"]]
-            yield batch[["folder", "name", "path"]].assign(size=[len(x) for x in batch["content"]], sha256=marks)
 
-    return keyed_files(spark, path, recursive).mapInPandas(run, "folder string, name string, path string, size long, sha256 string")
+def canonical_files(spark: SparkSession, path: str, recursive: bool = True, packed: bool = True) -> DataFrame:
+    """folder, name, path, size in bytes and sha256 of the canonical form of every signature file."""
+    return keyed_texts(spark, path, recursive, packed).select("folder", "name", "path", "size", F.sha2(canonical(F.col("text")), 256).alias("sha256"))
 
 
 def compare_files(originals: DataFrame, rebuilt: DataFrame) -> DataFrame:
@@ -72,63 +70,55 @@ def compare_files(originals: DataFrame, rebuilt: DataFrame) -> DataFrame:
     )
 
 
-PARTS = "array<array<struct<h:long, abund:long>>>"
+#: `mins` and `abundances` in the text of a signature; a quote inside a string has a backslash before it.
+MINS, ABUNDANCES = (rf'(?<!\\)"{key}"\s*:\s*' for key in ("mins", "abundances"))
+TAKEN = '"abundances":[null]'  # where a list of abundances was taken out
 
 
-def take_apart(spark: SparkSession, path: str, recursive: bool = True) -> DataFrame:
-    """folder, name, skeleton (the JSON with empty members) and parts (the members of each signature) of every file.
+def take_apart(spark: SparkSession, path: str, recursive: bool = True, packed: bool = True) -> DataFrame:
+    """folder, name, skeleton (the text with empty members) and parts (the members of each signature) of every file.
 
-    Members are hashes with their abundances, in the file's order: those of a list `abundances` of equal
-    length, or the values of a map `mins`; null where there are none. A list or map that was taken is empty in the skeleton.
+    Members are hashes h with their abundances abund, in the file's order: those of lists `abundances`, or the
+    values of a map `mins`; null where there are none. Lists and maps of members are empty in the skeleton; lists of abundances are
+    taken where every one in the file is as long as its hashes, else they stay. A file with `mins`
+    outside its signatures is an error.
     """
+    texts = keyed_texts(spark, path, recursive, packed).withColumn("sigs", signatures_of(F.parse_json("text")))
+    paired = lambda x: F.coalesce(F.size(held(x, "abundances", "array<bigint>")) == F.size(held(x, "mins", "array<string>")), held(x, "abundances").isNull())
+    texts = texts.withColumn("whole", F.forall("sigs", paired)).withColumn("found", F.regexp_count("text", F.lit(MINS + r"[\[{]")))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            rows = []
-            for folder, name, data in zip(batch["folder"], batch["name"], batch["content"], strict=True):
-                record, parts = json.loads(plain(data)), []
-                for sig in signatures_in(record):
-                    mins, counts = sig["mins"], sig.get("abundances")
-                    hashes = [fitting(x) for x in mins]
-                    if isinstance(mins, dict):
-                        own = list(mins.values())
-                    elif isinstance(counts, list) and counts and len(counts) == len(mins):
-                        own, sig["abundances"] = counts, []
-                    else:
-                        own = [None] * len(hashes)
-                    parts.append([{"h": h, "abund": None if a is None else int(a)} for h, a in zip(hashes, own, strict=True)])
-                    sig["mins"] = {} if isinstance(mins, dict) else []
-                rows.append((folder, name, json.dumps(record, separators=(",", ":")), parts))
-            yield pd.DataFrame(rows, columns=["folder", "name", "skeleton", "parts"])
-
-    return keyed_files(spark, path, recursive).drop("path").mapInPandas(run, f"folder string, name string, skeleton string, parts {PARTS}")
+    def members(x: Column) -> Column:
+        hashes = F.transform(held(x, "mins", "array<string>"), lambda h: as_hash(F.trim(h)))
+        counts = F.when(F.col("whole"), held(x, "abundances", "array<bigint>"))
+        pairs = F.zip_with(hashes, F.coalesce(counts, F.transform(hashes, lambda h: F.lit(None).cast("bigint"))), lambda h, a: F.struct(h.alias("h"), a.alias("abund")))
+        keyed = F.transform(F.map_entries(held(x, "mins", "map<string,bigint>")), lambda e: F.struct(as_hash(e["key"]).alias("h"), e["value"].alias("abund")))
+        return F.coalesce(pairs, keyed)
+
+    empty = F.regexp_replace(F.regexp_replace("text", MINS + r"\[[^\]]*\]", '"mins":[]'), MINS + r"\{[^}]*\}", '"mins":{}')
+    taken = F.regexp_replace(empty, ABUNDANCES + r"\[[^\]]+\]", TAKEN)
+    wrong = F.raise_error(F.concat(F.lit("mins outside the signatures of "), "path"))
+    skeleton = F.when(F.col("found") != F.size("sigs"), wrong).otherwise(F.when(F.col("whole"), taken).otherwise(empty))
+    return texts.select("folder", "name", skeleton.alias("skeleton"), F.transform("sigs", members).alias("parts"))
 
 
 def rebuild(skeletons: DataFrame, parts: DataFrame) -> DataFrame:
-    """folder, name, record (the JSON with its members) and error of every skeleton; members that are missing are an error row."""
+    """folder, name, record (the text with its members) and error of every skeleton; members that are missing are an error row."""
     both = skeletons.select("folder", "name", "skeleton").join(parts.select("folder", "name", "parts"), ["folder", "name"], "left")
-
-    def rebuilt(skeleton: str, own: list | None) -> tuple[str | None, str | None]:
-        record = json.loads(skeleton)
-        sigs = list(signatures_in(record))
-        if own is None or len(own) != len(sigs):
-            return None, f"members of {0 if own is None else len(own)} of {len(sigs)} signatures"
-        for sig, members in zip(sigs, own, strict=True):
-            if isinstance(sig["mins"], dict):
-                sig["mins"] = {str(x["h"]): x["abund"] for x in members}
-                continue
-            sig["mins"] = [x["h"] for x in members]
-            if members and members[0]["abund"] is not None:
-                sig["abundances"] = [x["abund"] for x in members]
-        return json.dumps(record, separators=(",", ":")), None
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            done = [rebuilt(skeleton.as_py(), own.as_py()) for skeleton, own in zip(batch.column(2), batch.column(3), strict=True)]
-            record, error = (pa.array([x[k] for x in done], pa.string()) for k in (0, 1))
-            yield pa.record_batch([batch.column(0), batch.column(1), record, error], names=["folder", "name", "record", "error"])
-
-    return both.mapInArrow(run, "folder string, name string, record string, error string")
+    places = MINS + r"(\[\]|\{\})"
+    kinds, between = F.regexp_extract_all("skeleton", F.lit(places), F.lit(1)), F.split("skeleton", places, -1)
+    digits = lambda own, key: F.array_join(F.transform(own, lambda x: x[key].cast("string")), ",")
+    as_list = lambda own: F.concat(F.lit("["), digits(own, "h"), F.lit("]"))
+    as_map = lambda own: F.concat(F.lit("{"), F.array_join(F.transform(own, lambda x: F.concat(F.lit('"'), x["h"].cast("string"), F.lit('":'), x["abund"].cast("string"))), ","), F.lit("}"))
+    filled = F.transform("parts", lambda own, i: F.concat(F.get(between, i), F.lit('"mins":'), F.when(F.get(kinds, i) == "[]", as_list(own)).otherwise(as_map(own))))
+    text = F.concat(F.array_join(filled, ""), F.get(between, F.size(between) - 1))
+    counted = F.filter(F.arrays_zip(F.col("parts").alias("own"), kinds.alias("kind")), lambda x: (x["kind"] == "[]") & F.get(x["own"], F.lit(0))["abund"].isNotNull())
+    around = F.split(text, re.escape(TAKEN), -1)
+    lists = F.transform(counted, lambda x, i: F.concat(F.get(around, i), F.lit('"abundances":['), digits(x["own"], "abund"), F.lit("]")))
+    record = F.concat(F.array_join(lists, ""), F.get(around, F.size(around) - 1))
+    n, m = F.size(kinds), F.when(F.col("parts").isNull(), 0).otherwise(F.size("parts"))
+    fits = F.col("parts").isNotNull() & (n == m)
+    said = F.concat(F.lit("members of "), m.cast("string"), F.lit(" of "), n.cast("string"), F.lit(" signatures"))
+    return both.select("folder", "name", F.when(fits, record).alias("record"), F.when(~fits, said).alias("error"))
 
 
 def write_records(records: DataFrame, root: str) -> int:

@@ -177,16 +177,34 @@ def test_signature_round_trip(spark, tmp_path):
     assert not roundtrip.verdict(report).first().ok
 
 
-def test_canonical_forms():
+def forms(spark, *records):
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "i int, text string")
+    return [r.form for r in df.orderBy("i").select(roundtrip.canonical(F.col("text")).alias("form")).collect()]
+
+
+def test_canonical_forms(spark):
     a = [{"x": 1, "signatures": [sig([3, 1]), sig([9], 21)]}, {"x": 2}]
-    b = [{"x": 2}, {"signatures": [sig([9], 21), sig(["1", 3])], "x": 1}]
-    assert roundtrip.canonical(a) == roundtrip.canonical(b)
-    for other in ([{"x": 1, "signatures": [sig([3, 1, 1]), sig([9], 21)]}, {"x": 2}], [{"x": 1.5, "signatures": a[0]["signatures"]}, {"x": 2}], a[:1]):
-        assert roundtrip.canonical(other) != roundtrip.canonical(a)
-    one = sig([3, 1], abundances=[30, 10])
+    same = [{"x": 2}, {"signatures": [sig([9], 21), sig(["1", 3])], "x": 1}]
+    others = [[{"x": 1, "signatures": [sig([3, 1, 1]), sig([9], 21)]}, {"x": 2}], [{"x": 1.5, "signatures": a[0]["signatures"]}, {"x": 2}], a[:1], a[0], [{"x": None, "signatures": a[0]["signatures"]}, {"x": 2}]]
+    found = forms(spark, a, same, *others)
+    assert found[0] == found[1] and len(set(found)) == 1 + len(others)
     # hashes have no order, a list of abundances has
-    assert roundtrip.canonical(one) == roundtrip.canonical(sig([1, 3], abundances=[30, 10])) != roundtrip.canonical(sig([1, 3], abundances=[10, 30]))
-    assert roundtrip.canonical(sig({"3": 1, "1": 2})) == roundtrip.canonical(sig({"1": 2, "3": 1})) != roundtrip.canonical(sig({"1": 1, "3": 2}))
+    one = forms(spark, *[sig([3, 1], abundances=[30, 10]), sig([1, 3], abundances=[30, 10]), sig([1, 3], abundances=[10, 30])])
+    assert one[0] == one[1] != one[2]
+    maps = forms(spark, *[sig({"3": 1, "1": 2}), sig({"1": 2, "3": 1}), sig({"1": 1, "3": 2})])
+    assert maps[0] == maps[1] != maps[2]
+    big = forms(spark, sig([(1 << 64) - 1, 5]), sig([5, (1 << 64) - 1]), sig([5, (1 << 64) - 2]))
+    assert big[0] == big[1] != big[2]
+
+
+def test_mins_outside_the_signatures_are_an_error(spark, tmp_path):
+    (tmp_path / "x.sig").write_text(json.dumps([{"signatures": [sig([1])], "other": {"mins": [7]}}]))
+    with pytest.raises(PySparkException, match="outside the signatures"):
+        roundtrip.take_apart(spark, str(tmp_path)).collect()
+    quoted = [{"name": 'a "mins":[1,2] b', "signatures": [sig([4, 2], abundances=[1, 5])]}]
+    (tmp_path / "x.sig").write_text(json.dumps(quoted))
+    whole = roundtrip.take_apart(spark, str(tmp_path))
+    assert json.loads(roundtrip.rebuild(whole, whole).first().record) == quoted
 
 
 def test_round_trip_of_abundances_maps_and_folders(spark, tmp_path):

@@ -86,7 +86,8 @@ def test_stored_matrix_reads_only_the_asked_shards(spark, tmp_path, whole_plans)
     found = matrix.stored_rows(spark, path, ids)
     assert sorted(map(tuple, found.select("row", "col", "q").collect())) == sorted(map(tuple, e.where("row in (5, 7, 512)").collect()))
     plan = whole_plans(found)
-    assert re.search(r"PartitionFilters: \[.*shard#\d+ IN \((0,5|5,0)\)", plan) and re.search(r"PushedFilters: \[.*In\(row, \[", plan)
+    assert re.search(r"PartitionFilters: \[.*shard#\d+ IN \(([\d,]+)\)", plan)[1] in ("0,5,40", "0,40,5", "5,0,40", "5,40,0", "40,0,5", "40,5,0")
+    assert re.search(r"PushedFilters: \[.*In\(row, \[", plan)
     got = matrix.stored_neighbours(spark, path, ids, 3).collect()
     assert sorted(map(tuple, got)) == sorted(map(tuple, matrix.neighbours(e, ids, 3).collect())) and max(r.rank for r in got) == 3
     many = matrix.stored_rows(spark, path, ids, listed=1)
