@@ -74,6 +74,14 @@ def slice_tiles(edges: DataFrame, rows: DataFrame, cols: DataFrame, width: int =
     return grid.join(sparse, ["r", "tile"], "left").select("r", "r_pos", "row", "tile", "c_pos", "cols", dense.alias("values"))
 
 
+def named_tiles(tiles: DataFrame, names: DataFrame) -> DataFrame:
+    """Tiles with accessions (idx, acc) for the numbers of rows and columns."""
+    rows = names.select(F.col("idx").alias("row"), F.col("acc").alias("row_acc"))
+    places = tiles.groupBy("tile").agg(F.first("cols").alias("cols")).select("tile", F.posexplode("cols").alias("k", "col"))
+    cols = places.join(names.select(F.col("idx").alias("col"), "acc"), "col", "left").groupBy("tile").agg(F.sort_array(F.collect_list(F.struct("k", "acc")))["acc"].alias("names"))
+    return tiles.join(rows, "row", "left").join(cols, "tile").select("r", "r_pos", F.col("row_acc").alias("row"), "tile", "c_pos", F.col("names").alias("cols"), "values")
+
+
 def matrix_slice(edges: DataFrame, rows: DataFrame, cols: DataFrame, width: int = 65_536) -> DataFrame:
     """r_pos, c_pos, row, col, jaccard of the asked rows and columns, 0 where there is no edge: the cells of `slice_tiles`."""
     cells = slice_tiles(edges, rows, cols, width)
