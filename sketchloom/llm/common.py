@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import re
-import tempfile
 import uuid
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.staging import shared_dir
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 #: What separates words: every ASCII character that is neither a digit nor a small letter.
@@ -20,25 +20,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir.
-
-    Where it is unset, a local master gets a folder of its own; on a cluster this is an error, as
-    executors don't see each other's local folders.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        kept = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if kept.isDefined():
-            path = kept.get()
-        elif re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
-            path = tempfile.mkdtemp(prefix="sketchloom-")
-            spark.sparkContext.setCheckpointDir(path)
-        else:
-            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return path.rstrip("/")
-
-
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows of df, written as a table to the shared folder and read back: its lineage ends here."""
     spark = df.sparkSession

@@ -2,14 +2,19 @@
 
 import hashlib
 import re
+import zlib
 from fractions import Fraction
 
 import numpy as np
+import public_tokenizers
 import pytest
+import sentencepiece
 import xxhash
+from tokenizers import Tokenizer
 
+import corpus_pipeline
 from sketchloom.llm import fill_in_middle as fim
-from sketchloom.llm import html_extract, simhash, whitening
+from sketchloom.llm import html_extract, packing, piece_bpe, simhash, url_filter, whitening
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -256,3 +261,52 @@ def test_density_and_links_decide_where_no_mark_does():
     assert html_extract.main_text(bare_page([odd])) == odd and html_extract.main_text(bare_page(["Short", "lines"])) == "Short\n\nlines"
     assert html_extract.main_text(bare_page([PROSE * 2, "Note", "Imprint", menu])).endswith(" read.\n\nNote")
     assert html_extract.main_text(bare_page([PROSE * 2, menu, "Note", menu, menu])) == " ".join((PROSE * 2).split())
+
+
+# --- repeated rows, empty tables and long texts of earlier operators ------------------------------
+def test_pieces_and_packing_of_repeated_rows_and_long_texts(spark):
+    schema = "doc_id long, text string, source string"
+    long = "Ünïcode words and 12,345 numbers, again and again. " * 12_000
+    df = spark.createDataFrame([(1, "the same row", "s"), (1, "the same row", "s"), (2, long, "s"), (3, None, None)], schema).repartition(3)
+    lib = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    got = [(r.doc_id, r.n_tokens) for r in piece_bpe.encode_documents(df, public_tokenizers.path("piece_bpe_32k.model")).collect()]
+    assert sorted(got) == sorted([(1, len(lib.encode("the same row")))] * 2 + [(2, len(lib.encode(long))), (3, 0)])
+    words = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    rows = packing.pack(df, public_tokenizers.path("word_bpe_49k.json")).collect()
+    held = {}
+    for r in rows:
+        held.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for parts in held.values():  # without gaps or overlaps
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 2048
+    ids = [*words.encode(long, add_special_tokens=False).ids, 1]
+    own = sorted((r.start, r.length, r.ids_crc32) for r in rows if r.doc_id == 2)
+    assert sum(n for _, n, _ in own) == len(ids) and all(zlib.crc32(np.array(ids[s : s + n], "<u4").tobytes()) == c for s, n, c in own)
+    one = len(words.encode("the same row", add_special_tokens=False).ids) + 1
+    assert sum(r.length for r in rows if r.doc_id == 1) == 2 * one and sum(r.length for r in rows if r.doc_id == 3) == 1
+    for df in (piece_bpe.encode_documents(df.limit(0), public_tokenizers.path("piece_bpe_32k.model")), packing.pack(df.limit(0), public_tokenizers.path("word_bpe_49k.json"))):
+        assert df.count() == 0
+
+
+def test_urls_of_great_length_and_empty_tables(spark):
+    schema = "page_id long, url string, host string, rule string"
+    far = "https://" + "sub." * 20_000 + "example.net/en/" + "x" * 200_000 + "?q=" + "y" * 100_000
+    df = spark.createDataFrame([(1, far, "h", "r"), (1, far, "h", "r"), (2, None, None, None)], schema)
+    got = url_filter.url_filter_report(df).collect()
+    assert [(r.rule, r.verdict) for r in got if r.page_id == 1] == [("example.net/en/", "allow")] * 2
+    assert url_filter.url_filter_report(df.limit(0)).count() == 0
+
+
+def test_pipeline_of_an_empty_table_and_of_repeated_ids(spark, tmp_path):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/a/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/a").collect() == []
+    english = "the house of the river is old and it was built by the people of the town in a time of which there is no book "
+    rows = [(i, english + f"and number {i} of them is here for all to see by day and by night " * 3, "en", "s", 1) for i in range(20)]
+    rows += [rows[3], (3, english * 2 + "with an end of its own for the same number", "en", "s", 1), (None, english + "without a number but with words of its own", "en", "s", 1)]
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/b/documents.parquet")
+    got = corpus_pipeline.run(spark, f"{tmp_path}/b").collect()
+    assert {r.doc_id for r in got} <= {*range(20), None} and sum(r.doc_id == 3 for r in got) >= 1
