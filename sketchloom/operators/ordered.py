@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..sources.staging import staged
+from ..sources.staging import dropped, staged
 
 PART = "_part"
 
@@ -17,7 +17,9 @@ def ranged(df: DataFrame, *order: str | Column, rows: int = 500_000) -> DataFram
     """
     table = staged(df, "unordered")
     parts = max(1, -(-table.count() // rows))
-    return staged(table.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()), "ranged")
+    out = staged(table.repartitionByRange(parts, *order).withColumn(PART, F.spark_partition_id()), "ranged")
+    dropped(table)
+    return out
 
 
 def running_sum(table: DataFrame, order: list, value: str | Column, name: str) -> DataFrame:

@@ -11,6 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions import signature_md5  # noqa: F401
 from ..sources.files import as_hash, held, signature_texts, signatures_of
 
 
@@ -141,11 +142,6 @@ def write_records(records: DataFrame, root: str) -> int:
     return records.where("record is not null").select("folder", "name", "record").mapInPandas(run, "n long").agg(F.sum("n")).first()[0] or 0
 
 
-def signature_md5(ksize: Column, mins: Column) -> Column:
-    """The MD5 that a signature of these members has to carry: of ksize and the sorted members, written one after the other."""
-    return F.md5(F.concat(ksize.cast("string"), F.array_join(F.sort_array(mins).cast("array<string>"), "")))
-
-
 def compare(originals: DataFrame, rebuilt: DataFrame) -> DataFrame:
     """name, status: PASS where the canonical forms are equal, FAIL where not, MISSING where there is none.
 

@@ -241,6 +241,16 @@ def test_md5_of_a_signature(spark):
     assert df.select(roundtrip.signature_md5(F.col("ksize"), F.col("mins")).alias("m")).first().m == hashlib.md5(b"31910100").hexdigest()
 
 
+def test_members_against_their_md5sum(spark, tmp_path):
+    good = hashlib.md5(b"31910100").hexdigest()
+    (tmp_path / "a.sig").write_text(json.dumps([{"signatures": [sig([10, 9, 100], md5sum=good), sig([5])]}]))
+    assert files.read_signatures(spark, str(tmp_path), verify=True).count() == 4
+    (tmp_path / "b.sig").write_text(json.dumps([{"signatures": [sig([10, 9, 101], md5sum=good)]}]))
+    with pytest.raises(PySparkException, match="md5sum"):
+        files.read_signatures(spark, str(tmp_path), verify=True).count()
+    assert files.read_signatures(spark, str(tmp_path)).count() == 7
+
+
 def murmur_by_hand(data, seed):
     mask = (1 << 64) - 1
     turn = lambda x, k: ((x << k) | (x >> (64 - k))) & mask

@@ -3,6 +3,7 @@
 The data is read in place where there is any; a folder of other data can be named by SKETCH_DATA.
 """
 
+import json
 import os
 from pathlib import Path
 
@@ -86,10 +87,9 @@ def test_round_trip_of_all_files(spark, tmp_path):
 def test_md5_of_all_files(spark):
     """Every file carries the digest of its own members."""
     root = str(SIGNATURES[0].parent)
+    assert files.read_signatures(spark, root, verify=True).count() == 39452
     sets = files.read_signatures(spark, root).groupBy("acc").agg(F.collect_list("h").alias("mins"))
     mine = {r.acc: r.m for r in sets.select("acc", roundtrip.signature_md5(F.lit(31), F.col("mins")).alias("m")).collect()}
-    import json
-
     assert mine == {p.name.split(".")[0]: json.loads(p.read_text())[0]["signatures"][0]["md5sum"] for p in SIGNATURES}
 
 
