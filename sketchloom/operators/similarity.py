@@ -97,10 +97,9 @@ def set_pairs(postings: DataFrame) -> DataFrame:
 
 # --- vectors --------------------------------------------------------------------------------------
 def vectors_in(df: DataFrame) -> DataFrame:
-    """vec_id, v (doubles) and n2, the squared length, of vectors that are neither null nor zero and have finite entries."""
-    v = F.col("embedding").cast("array<double>")
-    n2 = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    good = df.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).withColumn("n2", n2)
+    """vec_id, v (as it is stored) and n2, the squared length, of vectors that are neither null nor zero and have finite entries."""
+    n2 = F.aggregate(F.col("v").cast("array<double>"), F.lit(0.0), lambda a, x: a + x * x)
+    good = df.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v")).withColumn("n2", n2)
     return good.where((F.col("n2") > 0) & (F.col("n2") < float("inf")))  # null, NaN and infinite entries give such sums
 
 
@@ -110,13 +109,13 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
 
 
 class Block:
-    """Vectors of one side of a block pair."""
+    """Vectors of one side of a block pair, as doubles here and not before."""
 
     def __init__(self, batches: list[pa.RecordBatch]):
         columns = [[b.column(b.schema.get_field_index(c)) for b in batches] for c in ("vec_id", "n2", "v")]
         self.ids, self.n2 = (np.concatenate([c.to_numpy() for c in columns[k]]) for k in (0, 1))
-        flat = np.concatenate([c.flatten().to_numpy() for c in columns[2]])
-        self.v = flat.reshape(len(self.ids), -1)
+        flat = np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in columns[2]])
+        self.v = flat.astype(np.float64).reshape(len(self.ids), -1)
 
 
 def over_pairs(placed: DataFrame, inside: Callable, across: Callable, schema: str) -> DataFrame:
@@ -247,7 +246,7 @@ def vector_hits(queries: DataFrame, database: DataFrame, least: float = STORED,
     `block_bytes`. A task holds its queries and streams its part of the database past them. Null vectors
     take no part.
     """
-    pick = lambda df: df.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
+    pick = lambda df: df.where("embedding is not null").select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
     a, b = pick(queries), pick(database)
     (n, dim), m = a.agg(F.count("*"), F.max(F.size("v"))).first(), b.count()
     tasks = tasks or 3 * cores(a)
