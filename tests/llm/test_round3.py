@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sketchloom.llm import fill_in_middle as fim
-from sketchloom.llm import html_extract, packing, piece_bpe, simhash, url_filter, whitening
+from sketchloom.llm import html_extract, language_id, packing, piece_bpe, simhash, url_filter, whitening
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -310,3 +310,41 @@ def test_pipeline_of_an_empty_table_and_of_repeated_ids(spark, tmp_path):
     spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/b/documents.parquet")
     got = corpus_pipeline.run(spark, f"{tmp_path}/b").collect()
     assert {r.doc_id for r in got} <= {*range(20), None} and sum(r.doc_id == 3 for r in got) >= 1
+
+
+# --- language ID ----------------------------------------------------------------------------------
+def brute_code_length(order, samples, text):
+    """Bits of a text by partial matching, symbol by symbol, over dictionaries of counts."""
+    counts = {}
+    for sample in samples:
+        data = b"\n" * order + sample
+        for i in range(order, len(data)):
+            for k in range(order + 1):
+                own = counts.setdefault(data[i - k : i], {})
+                own[data[i]] = own.get(data[i], 0) + 1
+    bits, data = 0.0, b"\n" * order + text
+    for i in range(order, len(data)):
+        for k in range(order, -2, -1):
+            if k < 0:
+                bits += 8  # uniform bytes
+                break
+            own = counts.get(data[i - k : i], {})
+            n, d = sum(own.values()), len(own)
+            if data[i] in own:
+                bits += np.log2((n + d) / own[data[i]])
+                break
+            bits += np.log2((n + d) / d) if d else 0
+    return bits
+
+
+@pytest.mark.parametrize("order", [0, 1, 3])
+def test_code_lengths_against_brute_force(order):
+    rng = np.random.default_rng(order)
+    draw = lambda letters, n: bytes(rng.choice(list(letters), n).astype(np.uint8))
+    samples = {"a": [draw(b"abc \n", 300), draw(b"abc", 40)], "b": [draw(b"bcd ", 200)], "c": [b"\xff"]}
+    texts = [draw(b"abcd \nxyz", n) for n in (1, 2, 50, 400)] + [b"", b"\n\n\n", b"\xff\xff\x00"]
+    model = language_id.ContextModel(order, samples)
+    for piece in (2_000_000, 7):
+        got = model.code_lengths([np.frombuffer(x, np.uint8) for x in texts], piece)
+        want = [[brute_code_length(order, samples[lang], x) for lang in model.langs] for x in texts]
+        assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
