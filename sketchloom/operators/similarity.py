@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import jaccard, quantise
 from ..sources.staging import dropped, staged
+from .ordered import row_numbers
 from .sketch import set_classes, set_sizes
 
 #: dot / d > 0.05 (a + b) is the same as Jaccard > 1 / 19.
@@ -201,7 +202,8 @@ def vector_matrix(vectors: DataFrame, share: float = STORED, dim_scale: float =
     heads = heads.where(F.size("v") == size.dim)
     side = max(1, round((2 * (tasks or 3 * cores(heads))) ** 0.5), -(-size["count"] * size.dim * 8 // block_bytes))
     side = min(side, -(-size["count"] // 64))  # small tables have few blocks
-    blocks = staged(heads.repartitionByRange(side, "n2", F.xxhash64("vec_id")).withColumn("block", F.spark_partition_id()), "blocks")
+    per = -(-size["count"] // side)
+    blocks = staged(row_numbers(heads, ["n2", "vec_id"], "place").withColumn("block", F.expr(f"int((place - 1) div {per})")).drop("place"), "blocks")
     ranges = sorted((r.lo, r.hi, r.block) for r in blocks.groupBy("block").agg(F.min("n2").alias("lo"), F.max("n2").alias("hi")).collect())  # one row a block
     apart = ((1 + (1 - 4 * share * share) ** 0.5) / (2 * share)) ** 2 * (1 + 1e-9) if share > 0 else float("inf")
     meet, pair = [], 0
