@@ -61,14 +61,14 @@ def kmer_sets(seqs: DataFrame, k: int, alphabet: str = "ACGT", chunk: int = 65_5
 
     Windows of a short sequence are made distinct within its row; a longer one is cut into chunks, so that no row holds
     all its windows, and what chunks repeat is taken out by a shuffle. With `parts` the rows are chunks
-    already (of `read_fasta`), several with one id.
+    already (of `read_fasta`), several with one id; those that are `whole` records are not shuffled.
     """
-    seqs = dealt(seqs.where("seq is not null").select("id", "seq"))
+    seqs = dealt(seqs.where("seq is not null").select("id", "seq", *(["whole"] if parts else [])))
     upper = F.translate("seq", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     kept = F.array_distinct(F.filter(kmers(upper, k), lambda x: x.rlike(f"^[{alphabet}]+\\z")))
     windows = lambda df: df.select("id", F.explode(kept).alias("kmer"))
     if parts:
-        return windows(seqs).distinct()
+        return windows(seqs.where("whole")).union(windows(seqs.where("not whole")).distinct())
     long = F.char_length("seq") > chunk
     return windows(seqs.where(~long)).union(windows(chunked(seqs.where(long), k, chunk)).distinct())
 

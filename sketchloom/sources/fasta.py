@@ -44,19 +44,20 @@ class Parser:
         while self.own >= self.chunk and len(self.held) >= self.chunk + self.overlap:
             yield self.row(self.chunk)
 
-    def row(self, own: int) -> tuple:
+    def row(self, own: int, whole: bool = False) -> tuple:
         seq = bytes(self.held[: own + self.overlap])
-        out = (self.record, self.name, self.at, own, seq.decode("ascii", "replace"))
+        out = (self.record, self.name, self.at, own, seq.decode("ascii", "replace"), whole)
         del self.held[:own]
         self.at, self.own, self.new = self.at + own, self.own - own, False
         return out
 
-    def finish(self) -> Iterator[tuple]:
-        """What is left of the record."""
+    def finish(self, ended: bool = True) -> Iterator[tuple]:
+        """What is left of the record; a record that began in this split and ended, in one chunk, is whole."""
+        whole = ended and self.record > 0 and self.at == 0 and len(self.held) == self.own <= self.chunk
         while self.own:
-            yield self.row(min(self.own, self.chunk))
+            yield self.row(min(self.own, self.chunk), whole)
         if self.new:
-            yield self.row(0)  # a record without letters
+            yield self.row(0, whole)  # a record without letters
         self.held.clear()
 
     def begin(self, header: bytes) -> Iterator[tuple]:
@@ -72,10 +73,11 @@ def rows_of(read, begin: int, end: int | None, parser: Parser, piece: int = 1 <<
     in_header = begin > 0 and (start > 0 or begin <= LONGEST_HEADER) and back[start : start + 1] == b">"
     line_start = begin == 0 or back.endswith(b"\n")
     header, at = bytearray(), begin
-    skip = in_header  # the header belongs to the split before
+    skip, ended = in_header, True  # the header belongs to the split before
     while True:
         own = end is None or at < end
         if not own and not in_header and len(parser.held) - parser.own >= parser.overlap:
+            ended = False
             break
         data = read(piece if own else max(256, parser.overlap), at)
         if own and end is not None:
@@ -106,7 +108,7 @@ def rows_of(read, begin: int, end: int | None, parser: Parser, piece: int = 1 <<
             line_start, place = data[stop - 1 : stop] == b"\n", stop
     if in_header and not skip:
         yield from parser.begin(bytes(header[1:]))
-    yield from parser.finish()
+    yield from parser.finish(ended)
 
 
 class FastaReader(DataSourceReader):
@@ -145,27 +147,27 @@ class FastaReader(DataSourceReader):
             yield self.batch(partition, rows)
 
     def batch(self, partition: Split, rows: list[tuple]) -> pa.RecordBatch:
-        rec, name, at, own, seq = zip(*rows, strict=True)
-        columns = [pa.array([partition.path] * len(rows)), pa.array([partition.number] * len(rows), pa.int32()), pa.array(rec, pa.int32()), pa.array(name, pa.string()), pa.array(at, pa.int64()), pa.array(own, pa.int32()), pa.array(seq)]
-        return pa.record_batch(columns, names=["path", "split", "rec", "name", "at", "own", "seq"])
+        rec, name, at, own, seq, whole = zip(*rows, strict=True)
+        columns = [pa.array([partition.path] * len(rows)), pa.array([partition.number] * len(rows), pa.int32()), pa.array(rec, pa.int32()), pa.array(name, pa.string()), pa.array(at, pa.int64()), pa.array(own, pa.int32()), pa.array(seq), pa.array(whole)]
+        return pa.record_batch(columns, names=["path", "split", "rec", "name", "at", "own", "seq", "whole"])
 
 
 class Fasta(DataSource):
-    """path, split, rec, name, at, own and seq: chunks of records as the splits see them; what goes on from the split before has rec 0 and no name."""
+    """path, split, rec, name, at, own, seq and whole: chunks of records as the splits see them; what goes on from the split before has rec 0 and no name."""
 
     @classmethod
     def name(cls) -> str:
         return "fasta_splits"
 
     def schema(self) -> str:
-        return "path string, split int, rec int, name string, at long, own int, seq string"
+        return "path string, split int, rec int, name string, at long, own int, seq string, whole boolean"
 
     def reader(self, schema) -> FastaReader:
         return FastaReader(self.options)
 
 
 def read_fasta(spark: SparkSession, path: str, overlap: int = 30, chunk: int = 65_536, split: int = 1 << 25) -> DataFrame:
-    """path, name, at, own and seq of all records of a FASTA file or folder (gzipped or not).
+    """path, name, at, own, seq and whole of all records of a FASTA file or folder (gzipped or not).
 
     Sequences come in chunks: `at` is the place of the chunk in its record, `own` the number of its
     letters, and seq has these and up to `overlap` letters that follow in the record, across line
@@ -173,6 +175,7 @@ def read_fasta(spark: SparkSession, path: str, overlap: int = 30, chunk: int = 6
     (a gzipped one as a whole, in a stream); a record may go over any number of them: its name and place are carried from
     the splits before by sums over splits, not by reading them again. No task holds a sequence.
 
+    `whole` is true for a row that has all of its record (it may be false for one that ends at the end of a split).
     The name is the header's first word; letters before the first header have the name null; blanks in sequences are
     left out; a record without letters has one row of no letters. A header may have up to 1 MB.
     """
@@ -187,4 +190,4 @@ def read_fasta(spark: SparkSession, path: str, overlap: int = 30, chunk: int = 6
     carried = staged(ends.select("path", "split", F.last("last.name", ignorenulls=True).over(before).alias("of"), F.lag("upto", 1, 0).over(order).alias("base")), "carried")
     goes_on = F.col("rec") == 0
     joined = raw.join(carried, ["path", "split"])
-    return joined.select("path", F.when(goes_on, F.col("of")).otherwise(F.col("name")).alias("name"), (F.col("at") + F.when(goes_on, F.col("base")).otherwise(0)).alias("at"), "own", "seq")
+    return joined.select("path", F.when(goes_on, F.col("of")).otherwise(F.col("name")).alias("name"), (F.col("at") + F.when(goes_on, F.col("base")).otherwise(0)).alias("at"), "own", "seq", "whole")

@@ -207,6 +207,7 @@ def test_fasta_in_splits_of_any_size(spark, tmp_path, split, chunk, overlap):
         assert "".join(s[:n] for _, n, s in own) == seq
         for at, n, s in own:
             assert s == seq[at : at + n + overlap]
+        assert all(len(own) == 1 and r.own == len(seq) for r in got if r.name == name and r.whole)
 
 
 def test_fasta_compressed_and_windows(spark, tmp_path):
@@ -218,8 +219,11 @@ def test_fasta_compressed_and_windows(spark, tmp_path):
     (tmp_path / "y.fa.gz").write_bytes(gzip.compress(text.encode()))
     want = {(n, s[i : i + 21]) for n, s in seqs.items() for i in range(len(s) - 20)}
     for path in (tmp_path / "a", tmp_path / "y.fa.gz"):
-        chunks = fasta.read_fasta(spark, str(path), 20, 512, 777).select(F.col("name").alias("id"), "seq")
-        assert {tuple(r) for r in sketch.kmer_sets(chunks, 21, parts=True).collect()} == want
+        for chunk, split in ((512, 777), (65_536, 777), (65_536, 1 << 25)):
+            chunks = fasta.read_fasta(spark, str(path), 20, chunk, split).select(F.col("name").alias("id"), "seq", "whole")
+            found = sketch.kmer_sets(chunks, 21, parts=True).collect()
+            assert {tuple(r) for r in found} == want and len(found) == len(want)
+        assert chunks.where("whole").count() == 3
         whole = spark.createDataFrame(list(seqs.items()), "id string, seq string")
         chunks = fasta.read_fasta(spark, str(path), 30, 512, 777).select(F.col("name").alias("id"), "seq")
         assert sorted(map(tuple, sketch.dna_postings(chunks, 31, 20, parts=True).collect())) == sorted(map(tuple, sketch.dna_postings(whole, 31, 20).collect()))
