@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import HASH_BITS, kmers, word_shingles, words
@@ -56,6 +56,12 @@ def chunked(seqs: DataFrame, k: int, chunk: int = 65_536) -> DataFrame:
     return seqs.select("id", F.explode(pieces).alias("seq"))
 
 
+def own_kmers(k: int, alphabet: str) -> Column:
+    """The distinct windows of k letters of `seq`, of the alphabet only; a-z count as A-Z."""
+    upper = F.translate("seq", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
+    return F.array_distinct(F.filter(kmers(upper, k), lambda x: x.rlike(f"^[{alphabet}]+\\z")))
+
+
 def kmer_sets(seqs: DataFrame, k: int, alphabet: str = "ACGT", chunk: int = 65_536, parts: bool = False) -> DataFrame:
     """id, kmer: the distinct windows of k letters of sequences, of the alphabet only; a-z count as A-Z.
 
@@ -64,15 +70,24 @@ def kmer_sets(seqs: DataFrame, k: int, alphabet: str = "ACGT", chunk: int = 65_5
     already (of `read_fasta`), several with one id; those that are `whole` records are not shuffled.
     """
     seqs = dealt(seqs.where("seq is not null").select("id", "seq", *(["whole"] if parts else [])))
-    upper = F.translate("seq", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-    kept = F.array_distinct(F.filter(kmers(upper, k), lambda x: x.rlike(f"^[{alphabet}]+\\z")))
-    windows = lambda df: df.select("id", F.explode(kept).alias("kmer"))
+    windows = lambda df: df.select("id", F.explode(own_kmers(k, alphabet)).alias("kmer"))
     if parts:
         return windows(seqs.where("whole")).union(windows(seqs.where("not whole")).distinct())
     long = F.char_length("seq") > chunk
     return windows(seqs.where(~long)).union(windows(chunked(seqs.where(long), k, chunk)).distinct())
 
 
+def kmer_stats(chunks: DataFrame, k: int, alphabet: str = "ACGT") -> DataFrame:
+    """id, n, first_kmer, last_kmer of the distinct windows of records in chunks (id, seq, whole, of `read_fasta`); ids without windows have no row.
+
+    Whole records are summed up within their rows; only windows of records in several chunks are shuffled.
+    """
+    rows = chunks.where("whole").select("id", own_kmers(k, alphabet).alias("own")).where(F.size("own") > 0)
+    whole = rows.select("id", F.size("own").cast("long").alias("n"), F.array_min("own").alias("first_kmer"), F.array_max("own").alias("last_kmer"))
+    rest = chunks.where("not whole").select("id", F.explode(own_kmers(k, alphabet)).alias("kmer")).distinct()
+    return whole.union(rest.groupBy("id").agg(F.count("*").alias("n"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer")))
+
+
 # Fixed values of the 64-bit half of the 128-bit hash, and its rotations.
 C1, C2 = np.uint64(0x87C37B91114253D5), np.uint64(0x4CF5AD432745937F)
 F1, F2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)

@@ -94,7 +94,7 @@ def fasta_windows(spark, d):
     path = f"{shared_dir(spark)}/sketchloom/fasta-{uuid.uuid4().hex}"
     table(spark, d, "documents").where("text is not null").select(F.concat(F.lit(">"), F.col("doc_id").cast("string"), F.lit("\n"), lines)).write.text(path)
     chunks = read_fasta(spark, path).select(F.col("name").cast("long").alias("id"), "seq", "whole")
-    return K.kmer_sets(chunks, 31, "A-Z", parts=True).groupBy("id").agg(F.count("*").alias("n"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer"))
+    return K.kmer_stats(chunks, 31, "A-Z")
 
 
 query("fracminhash", f"WITH {POSTINGS} SELECT acc, h FROM postings")(postings)

@@ -49,7 +49,7 @@ def test_neighbours_slices_and_cuts(spark, made, tmp_path):
     with pytest.raises(SystemExit, match="cols-file"):
         main(slice_[:4])
     assert main(["query", m, "--nf", "2", "0.9", "--write", str(tmp_path / "cut")]) == 0
-    assert spark.read.parquet(str(tmp_path / "cut/edges")).count() == 20
+    assert spark.read.parquet(str(tmp_path / "cut/edges")).count() == 19
     assert main(["query", str(tmp_path / "cut"), "--counts", "--write", str(tmp_path / "counts")]) == 0
     assert {int(r.n) for r in spark.read.option("header", True).csv(str(tmp_path / "counts")).collect()} == {1, 2}
     (tmp_path / "subset.txt").write_text("A5\nA9\n")

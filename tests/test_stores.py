@@ -223,6 +223,8 @@ def test_fasta_compressed_and_windows(spark, tmp_path):
             chunks = fasta.read_fasta(spark, str(path), 20, chunk, split).select(F.col("name").alias("id"), "seq", "whole")
             found = sketch.kmer_sets(chunks, 21, parts=True).collect()
             assert {tuple(r) for r in found} == want and len(found) == len(want)
+            stats = {r.id: (r.n, r.first_kmer, r.last_kmer) for r in sketch.kmer_stats(chunks, 21).collect()}
+            assert stats == {n: (len(own), min(own), max(own)) for n in seqs if (own := {w for m, w in want if m == n})}
         assert chunks.where("whole").count() == 3
         whole = spark.createDataFrame(list(seqs.items()), "id string, seq string")
         chunks = fasta.read_fasta(spark, str(path), 30, 512, 777).select(F.col("name").alias("id"), "seq")
