@@ -82,8 +82,9 @@ def kmer_stats(chunks: DataFrame, k: int, alphabet: str = "ACGT") -> DataFrame:
 
     Whole records are summed up within their rows; only windows of records in several chunks are shuffled.
     """
-    rows = chunks.where("whole").select("id", own_kmers(k, alphabet).alias("own")).where(F.size("own") > 0)
-    whole = rows.select("id", F.size("own").cast("long").alias("n"), F.array_min("own").alias("first_kmer"), F.array_max("own").alias("last_kmer"))
+    summed = lambda own: F.struct(F.size(own).cast("long").alias("n"), F.array_min(own).alias("first_kmer"), F.array_max(own).alias("last_kmer"))
+    # generated, so that no filter or column makes the windows again
+    whole = chunks.where("whole").select("id", F.inline(F.transform(F.array(own_kmers(k, alphabet)), summed))).where("n > 0")
     rest = chunks.where("not whole").select("id", F.explode(own_kmers(k, alphabet)).alias("kmer")).distinct()
     return whole.union(rest.groupBy("id").agg(F.count("*").alias("n"), F.min("kmer").alias("first_kmer"), F.max("kmer").alias("last_kmer")))
 
