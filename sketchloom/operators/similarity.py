@@ -25,7 +25,8 @@ def rarity(postings: DataFrame, sizes: DataFrame, share: float) -> DataFrame:
     set has more than share / (1 - share) of its hashes in common with any other: at least
     one of two sets' common hashes is left when each leaves out so many of the commonest. Hashes are in
     classes of frequency (four to an octave), and a set leaves out whole classes, from the commonest down, so
-    no set is sorted. Hashes of one set alone meet nothing and go at once. `sizes` has acc and n.
+    no set is sorted. Hashes of one set alone meet nothing and go at once. `sizes` has acc and n of the sets that are
+    wanted; others count for the frequencies, which may be of any order that is the same for all.
     """
     counts = postings.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h", F.floor(F.log2("k") * 4).cast("int").alias("often"))
     placed = staged(postings.join(counts, "h").select("acc", "h", "often"), "placed")
@@ -53,10 +54,8 @@ def similarity_join(postings: DataFrame, share: float = STORED, ids: DataFrame |
     """
     postings = staged(postings.select("acc", "h"), "postings")
     classes = staged(set_classes(postings).where("acc = rep").select("acc", "n"), "classes")
-    kept = staged(postings.join(classes.select("acc"), "acc"), "kept")
+    members = rarity(postings, classes, share)
     dropped(postings)
-    members = rarity(kept, classes, share)
-    dropped(kept)
     asked = lambda df, acc: df if ids is None else df.join(ids.select(F.col("id").alias(acc)).distinct(), acc, "left_semi")
     early = members.where("not late")
     left = asked(early, "acc").select("h", F.col("acc").alias("row"), F.col("n").alias("a"), F.col("kept_back").alias("a_late"))
