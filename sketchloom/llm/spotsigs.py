@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from functools import reduce
 from math import log
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, words_of, written
+from .common import discard, maybe_in, words_of, written
 from .components import connected
 
 # The common words at which chains begin.
@@ -140,30 +139,63 @@ def fingerprint_report(docs: DataFrame, similarity: float = 0.8, chain: int = 2)
     )
 
 
-def fitting(a: Column, b: Column, similarity: float) -> Column:
-    """Whether sets of these sizes can be alike."""
-    return F.least(a, b) >= similarity * (1 - 1e-12) * F.greatest(a, b)
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """As `written`, and the shuffle files of the rows' plan go when they are written."""
+    conf, key = df.sparkSession.conf, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = conf.get(key, None)
+    conf.set(key, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
 
 
-def spot_buckets(heads: DataFrame, similarity: float) -> DataFrame:
-    """node, n, spot and part: the buckets in which all pairs of sets that may be alike meet.
+#: Longs of a set's parity bits.
+PARITY = 8
 
-    A set's signatures are ordered from the rarest over all sets; alike sets share one of the first
-    n - ceil(similarity * n) + 1 of each. Sets are partitioned by length so that alike ones lie in the
-    same or in neighbouring partitions, and a bucket takes the sets of two neighbours.
+
+def parity(spots: Column) -> Column:
+    """For each of 64 * PARITY values of the lowest bits of a signature, whether an odd number of the set's signatures have it."""
+    bit = lambda x: F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(63).cast("int"))
+    word = lambda x: F.shiftright(x, 6).bitwiseAND(PARITY - 1)
+    flip = lambda i: lambda bits, x: F.when(word(x) == i, bits.bitwiseXOR(bit(x))).otherwise(bits)
+    return F.array(*[F.aggregate(spots, F.lit(0).cast("long"), flip(i)) for i in range(PARITY)])
+
+
+def may_be_alike(x: str, y: str, similarity: float) -> Column:
+    """Whether two sets that meet in a bucket may be alike: false only if they aren't or meet in a rarer signature too.
+
+    `n` is a set's size and `pos` the number of its signatures that are rarer than the bucket's: no others are
+    common to both sets if this is the rarest common one. Parity bits differ in at most as many places as the
+    sets have signatures that they don't share.
     """
-    spots = heads.select("node", F.size("spots").alias("n"), F.explode("spots").alias("spot"))
-    common = spots.groupBy("spot").count().where("count > 1")
-    # signatures of one set alone come first and meet nothing, so only their number matters
-    ranked = spots.join(common, "spot").groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("count", "spot"))).alias("ranked"))
-    n = F.col("n")
-    part = F.floor(F.log(n.cast("double")) / log(1 / similarity) + 1e-9).cast("int")
-    first = F.size("ranked") - F.ceil(n * similarity - 1e-9).cast("int") + 1
-    return (
-        ranked.where(first > 0)
-        .select("node", "n", F.explode(F.slice("ranked", F.lit(1), first)["spot"]).alias("spot"), part.alias("own"))
-        .select("node", "n", "spot", F.explode(F.array("own", F.col("own") - 1)).alias("part"))
-    )
+    of = lambda c: (F.col(f"{x}.{c}"), F.col(f"{y}.{c}"))
+    (n, m), (i, j), (a, b) = of("n"), of("pos"), of("bits")
+    least = F.ceil((n + m) * (similarity / (1 + similarity)) - 1e-9)
+    differ = sum((F.bit_count(a[k].bitwiseXOR(b[k])) for k in range(1, PARITY)), F.bit_count(a[0].bitwiseXOR(b[0])))
+    fitting = F.least(n, m) >= similarity * (1 - 1e-12) * F.greatest(n, m)
+    return fitting & (F.least(n - i, m - j) >= least) & (differ <= n + m - 2 * least)
+
+
+def ranked_sets(rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
+    """at, node, n and ranked: the first signatures, from the rarest on, of each node that may be like another.
+
+    `rows` has at and spots, `nodes` at, node and n. Alike sets share one of the first
+    n - ceil(similarity * n) + 1 signatures of each in any order common to all. They are ordered by how
+    often their 32-bit hashes occur. A hash that occurs once comes first and meets nothing, so only
+    the number of these matters. `ranked` has the hash and its place in the set's order. Of all signatures only
+    the hash and the row's number are shuffled.
+    """
+    spots = maybe_in(rows, nodes, "at").select("at", F.explode("spots").alias("spot")).select("at", F.hash("spot").alias("spot"))
+    common = kept(spots.groupBy("spot").count().where("count > 1"), "common")
+    ranked = spots.join(common, "spot").groupBy("at").agg(F.sort_array(F.collect_list(F.struct("count", "spot"))).alias("all"))
+    alone = F.col("n") - F.size("all")
+    first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1 - alone
+    place = lambda x, i: F.struct(x["spot"].alias("spot"), (i + alone).alias("pos"))
+    ranked = ranked.join(nodes, "at").where(first > 0).select("at", "node", "n", F.transform(F.slice("all", F.lit(1), first), place).alias("ranked"))
+    ranked = kept(ranked, "ranked")
+    discard(common)
+    return ranked
 
 
 def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, rounds: int = 3) -> DataFrame:
@@ -171,62 +203,65 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
 
     Documents are alike when their sets of spot signatures have a Jaccard similarity of at least
     `similarity`; classes are what chains of such links connect. Equal sets form one node, whatever
-    their number. In each of up to `rounds` rounds every bucket's members are compared with one of them, so
-    near copies fall into one class at a cost of their number; a bucket whose members are all of one
-    class is done. Once the buckets that are left hold few pairs a member, or after the last round, all
-    their pairs of different classes and fitting sizes are compared, so no link between classes is lost
-    however many rounds there are.
+    their number. Nodes meet in buckets of a rare signature and a range of lengths: ranges grow by
+    1 / similarity, and a bucket takes the sets of two neighbouring ones.
+
+    First, every bucket's members are compared with the next `rounds` ones in one random order, at a cost of
+    their number, which puts most near copies into one class. Then all pairs of different classes are
+    met in the buckets that still have several, so no link between classes is lost whatever
+    `rounds` is. Pairs that can't be alike by length, place of the signature or parity bits are
+    left out where they meet, and the sets of the others compared.
 
     Null text counts as empty; texts without words are alike when they are equal. Rows without a
     doc_id are left out. Of rows that repeat a doc_id one counts, that of the least digest of its
     signatures. An empty table gives no rows; other columns are left out.
     """
     texts = docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = with_spots(texts, "text", "spots", chain).select("doc_id", "spots", F.unhex(F.md5(as_text(F.col("spots")))).alias("digest"))
-    signed = written(signed, "spots")
-    chosen = signed.groupBy("doc_id").agg(F.min("digest").alias("digest"))
-    nodes = written(chosen.groupBy("digest").agg(F.min("doc_id").alias("node")), "nodes")
-    members = written(chosen.join(nodes, "digest").select("doc_id", "node"), "members")
-    heads = signed.join(nodes.select(F.col("node").alias("doc_id"), "digest"), ["doc_id", "digest"]).dropDuplicates(["doc_id"])
-    heads = written(heads.select(F.col("doc_id").alias("node"), "spots"), "heads")
-    discard(signed, nodes)
-    buckets = written(spot_buckets(heads, similarity), "buckets")
-
-    def unsettled(classes: DataFrame | None) -> DataFrame:
-        """The buckets of members of several classes."""
-        own = F.coalesce("class", "node") if classes is not None else F.col("node")
-        rows = (buckets.join(classes, "node", "left") if classes is not None else buckets).select("node", "n", "spot", "part", own.alias("class"))
-        rows = written(rows, "classed")
-        mixed = rows.groupBy("spot", "part").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("spot", "part")
-        left = written(rows.join(mixed, ["spot", "part"]), "unsettled")
-        discard(rows)
-        return left
+    signed = with_spots(texts, "text", "spots", chain).withColumn("digest", F.unhex(F.md5(as_text(F.col("spots")))))
+    signed = kept(signed.select("doc_id", "digest", "spots", F.monotonically_increasing_id().alias("at")), "spots")
+    own = F.struct("digest", "at", F.size("spots").alias("n"))
+    chosen = kept(signed.groupBy("doc_id").agg(F.min(own).alias("own")).select("doc_id", "own.*"), "chosen")
+    nodes = kept(chosen.groupBy("digest").agg(F.min(F.struct("doc_id", "at", "n")).alias("own")).select("digest", F.col("own.doc_id").alias("node"), "own.at", "own.n"), "nodes")
+    members = kept(chosen.join(nodes, "digest").select("doc_id", "node"), "members")
+    nodes_at = nodes.select("at", "node", "n")
+    rows = signed.select("at", "spots")
+    ranked = ranked_sets(rows, nodes_at, similarity)
+    heads = maybe_in(rows, ranked, "at").join(ranked, "at")
+    heads = kept(heads.select("node", "n", "spots", "ranked", parity(F.col("spots")).alias("bits")), "heads")
+    discard(signed, chosen, nodes, ranked)
+    part = F.floor(F.log(F.col("n").cast("double")) / log(1 / similarity) + 1e-9).cast("int")
+
+    def buckets(classed: DataFrame) -> DataFrame:
+        """A row of each node for each bucket that it lies in."""
+        rows = classed.select("node", "class", "n", "bits", part.alias("own"), F.explode("ranked").alias("r"))
+        return rows.select("node", "class", "n", "bits", "own", "r.spot", "r.pos", F.explode(F.array("own", F.col("own") + 1)).alias("part"))
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes that are alike."""
         a, b = (heads.select(F.col("node").alias(c), F.col("spots").alias(f"spots_{c}")) for c in "ab")
         both = pairs.distinct().join(a, "a").join(b, "b")
-        return written(both.where(likeness(F.col("spots_a"), F.col("spots_b"), similarity) > 0).select("a", "b"), "links")
-
-    links, classes = [], None
-    for k in range(rounds + 1):
-        left = unsettled(classes)
-        size = left.groupBy("spot", "part").count().agg(F.sum("count"), F.sum(F.col("count").cast("double") * F.col("count"))).first()
-        last = k == rounds or not size[0] or size[1] <= 16 * size[0]
-        if size[0]:
-            if not last:
-                pivot = F.min_by(F.struct("node", "n", "class"), F.xxhash64("node", F.lit(k)))
-                others = left.groupBy("spot", "part").agg(pivot.alias("p")).select("spot", "part", "p.*")
-                differ = F.col("x.class") != F.col("y.class")
-            else:
-                others, differ = left, F.col("x.class") < F.col("y.class")
-            met = left.alias("x").join(others.alias("y"), ["spot", "part"]).where(differ & fitting(F.col("x.n"), F.col("y.n"), similarity))
-            links.append(linked(met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))))
-            classes = connected(reduce(DataFrame.union, links))
-        discard(left)
-        if last:
-            break
-    discard(buckets, heads)
-    if classes is None:
-        return members.select("doc_id", F.col("node").alias("class_id"))
+        return kept(both.where(likeness(F.col("spots_a"), F.col("spots_b"), similarity) > 0).select("a", "b"), "links")
+
+    pair = [f("x.node", "y.node").alias(c) for f, c in ((F.least, "a"), (F.greatest, "b"))]
+    classed = heads.withColumn("class", F.col("node"))
+    if rounds:
+        after = Window.partitionBy("spot", "part").orderBy(F.xxhash64("node"), "node", "pos")
+        me = F.struct("node", "n", "pos", "bits")
+        next_ones = F.array(*[F.lead(me, k).over(after) for k in range(1, rounds + 1)])
+        met = buckets(classed).select(me.alias("x"), next_ones.alias("ys")).select("x", F.explode("ys").alias("y"))
+        links = linked(met.where((F.col("x.node") != F.col("y.node")) & may_be_alike("x", "y", similarity)).select(*pair))
+        classes = kept(connected(links), "classes")
+        classed = heads.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    left = buckets(classed)
+    # all pairs of a bucket of up to rounds + 1 members have been compared
+    mixed = left.groupBy("spot", "part").agg(F.count("*").alias("rows"), F.min("class").alias("low"), F.max("class").alias("high"))
+    mixed = mixed.where((F.col("rows") > rounds + 1 if rounds else F.col("rows") > 1) & (F.col("low") < F.col("high"))).select("spot", "part")
+    left = kept(left.join(mixed, ["spot", "part"]), "unsettled")
+    before = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
+    met = left.alias("x").join(left.where("own = part").alias("y"), ["spot", "part"])
+    more = linked(met.where((F.col("x.class") != F.col("y.class")) & before & may_be_alike("x", "y", similarity)).select(*pair))
+    discard(left, heads)
+    if rounds:
+        more = more.union(classes.select(F.col("node").alias("a"), F.col("class").alias("b")))
+    classes = connected(more)
     return members.join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))

@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from sketchloom.llm import fill_in_middle as fim
-from sketchloom.llm import html_extract, language_id, packing, piece_bpe, simhash, url_filter, whitening
+from sketchloom.llm import html_extract, language_id, packing, piece_bpe, simhash, spotsigs, url_filter, whitening
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -348,3 +348,48 @@ def test_code_lengths_against_brute_force(order):
         got = model.code_lengths([np.frombuffer(x, np.uint8) for x in texts], piece)
         want = [[brute_code_length(order, samples[lang], x) for lang in model.langs] for x in texts]
         assert np.allclose(got, want, rtol=1e-4, atol=1e-3)
+
+
+def test_spot_classes_of_a_group_of_near_copies(spark, monkeypatch):
+    """Copies of one text that are hardly alike among themselves: classes are exact, few pairs are met and only their sets are kept."""
+    rng = np.random.default_rng(9)
+    phrase = lambda: ("the", *(f"w{x}" for x in rng.integers(0, 10**6, 2)))
+    base, texts = [phrase() for _ in range(40)], []
+    for _ in range(240):
+        own = list(base)
+        for at in rng.choice(40, rng.integers(1, 7), replace=False):
+            own[at] = phrase()
+        texts.append(own)
+    texts += [[phrase() for _ in range(20)] for _ in range(300)]
+    sets = [frozenset(x) for x in texts]
+    root = list(range(len(sets)))
+    for i, a in enumerate(sets[:240]):
+        for j in range(i):
+            if len(a & sets[j]) >= 0.8 * len(a | sets[j]) and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    tables = {}
+    keep = spotsigs.written
+
+    def recorded(df, name):
+        out = keep(df, name)
+        tables.setdefault(name, []).append(out.count())
+        return out
+
+    monkeypatch.setattr(spotsigs, "written", recorded)
+    df = spark.createDataFrame([(i, " ".join(" ".join(p) for p in x)) for i, x in enumerate(texts)], "doc_id long, text string")
+    store = spark._jsparkSession.sharedState().statusStore()
+    done = store.executionsCount()
+    got = {r.doc_id: r.class_id for r in spotsigs.spot_classes(df).collect()}
+    assert got == dict(enumerate(root)) and 1 < len(set(root[:240])) < 200
+    most, runs = 0, store.executionsList()
+    for run in (runs.apply(k) for k in range(runs.size())):
+        if run.executionId() < done:
+            continue
+        values, nodes = store.executionMetrics(run.executionId()), store.planGraph(run.executionId()).allNodes()
+        for node in (nodes.apply(k) for k in range(nodes.size())):
+            for m in (node.metrics().apply(k) for k in range(node.metrics().size())) if "Join" in node.name() else ():
+                if m.name() == "number of output rows" and values.contains(m.accumulatorId()):
+                    most = max(most, int(values.apply(m.accumulatorId()).replace(",", "")))
+    assert 0 < most < 240 * 239 / 4
+    assert sum(tables["heads"]) <= 260
