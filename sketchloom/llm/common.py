@@ -38,6 +38,15 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """df as a side of a join that grows with the input: both sides are shuffled, whatever size Spark expects.
+
+    Spark takes a written table for as large as its compressed files and an exploded one for as large as if each array had one
+    member, and would send tables of several hundred MB to the driver and from there to all executors.
+    """
+    return df.hint("merge")
+
+
 def maybe_in(rows: DataFrame, keys: DataFrame, key: str, bits: int = 24) -> DataFrame:
     """The rows whose long `key` may be among the keys, found without a shuffle of the rows.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, written
+from .common import discard, shuffled, written
 
 
 def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
@@ -21,12 +21,12 @@ def connected(links: DataFrame, most_rounds: int = 60) -> DataFrame:
     for _ in range(most_rounds):
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "low")
-        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = both.where("v > u").join(shuffled(low), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         down = written(down, "edges")
         discard(edges, low)
         low = written(down.groupBy("u").agg(F.min("v").alias("m")), "low")
-        small = down.join(low, "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
+        small = down.join(shuffled(low), "u").select(F.explode(F.array(F.struct("u", "m"), F.struct(F.col("v").alias("u"), "m"))).alias("e"))
         edges = written(small.select("e.u", F.col("e.m").alias("v")).where("u <> v").distinct(), "edges")
         discard(down, low)
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()

@@ -7,7 +7,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, maybe_in, words_of, written
+from .common import discard, maybe_in, shuffled, words_of, written
 from .components import connected
 
 # The common words at which chains begin.
@@ -107,16 +107,16 @@ def fingerprint_report(docs: DataFrame, similarity: float = 0.8, chain: int = 2)
     """
     texts = keyed(docs)
     classes = spot_classes(docs, similarity, chain).select(F.col("doc_id").alias("at"), "class_id")
-    order = followers(texts).join(classes, "at", "left")
+    order = followers(texts).join(shuffled(classes), "at", "left")
     copies = Window.partitionBy("at", "mark").orderBy("at")
     dealt = texts.withColumn("first", F.lag(F.lit(1)).over(copies).isNull())
     heads = order.select("next_at", "next_mark", F.floor(F.col("n") / 4).cast("int").alias("take"), F.col("at").alias("for_at"), F.col("mark").alias("for_mark"), "class_id")
-    giving = dealt.where("first").join(heads, (F.col("at") == F.col("next_at")) & (F.col("mark") == F.col("next_mark")))
+    giving = dealt.where("first").join(shuffled(heads), (F.col("at") == F.col("next_at")) & (F.col("mark") == F.col("next_mark")))
     giving = with_spots(giving.select("for_at", "for_mark", "class_id", "take", "text", F.col("doc_id").alias("next_id")), "text", "next_spots", chain).select(
         "for_at", "for_mark", "class_id", "next_id", "next_spots", F.substring(F.col("text"), F.lit(1), F.col("take")).alias("borrowed")
     )
     n = F.char_length("text")
-    own = dealt.join(giving, (F.col("at") == F.col("for_at")) & (F.col("mark") == F.col("for_mark"))).select(
+    own = dealt.join(shuffled(giving), (F.col("at") == F.col("for_at")) & (F.col("mark") == F.col("for_mark"))).select(
         "doc_id",
         "text",
         "next_id",
@@ -188,11 +188,11 @@ def ranked_sets(rows: DataFrame, nodes: DataFrame, similarity: float) -> DataFra
     """
     spots = maybe_in(rows, nodes, "at").select("at", F.explode("spots").alias("spot")).select("at", F.hash("spot").alias("spot"))
     common = kept(spots.groupBy("spot").count().where("count > 1"), "common")
-    ranked = spots.join(common, "spot").groupBy("at").agg(F.sort_array(F.collect_list(F.struct("count", "spot"))).alias("all"))
+    ranked = spots.join(shuffled(common), "spot").groupBy("at").agg(F.sort_array(F.collect_list(F.struct("count", "spot"))).alias("all"))
     alone = F.col("n") - F.size("all")
     first = F.col("n") - F.ceil(F.col("n") * similarity - 1e-9).cast("int") + 1 - alone
     place = lambda x, i: F.struct(x["spot"].alias("spot"), (i + alone).alias("pos"))
-    ranked = ranked.join(nodes, "at").where(first > 0).select("at", "node", "n", F.transform(F.slice("all", F.lit(1), first), place).alias("ranked"))
+    ranked = ranked.join(shuffled(nodes), "at").where(first > 0).select("at", "node", "n", F.transform(F.slice("all", F.lit(1), first), place).alias("ranked"))
     ranked = kept(ranked, "ranked")
     discard(common)
     return ranked
@@ -222,11 +222,11 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
     own = F.struct("digest", "at", F.size("spots").alias("n"))
     chosen = kept(signed.groupBy("doc_id").agg(F.min(own).alias("own")).select("doc_id", "own.*"), "chosen")
     nodes = kept(chosen.groupBy("digest").agg(F.min(F.struct("doc_id", "at", "n")).alias("own")).select("digest", F.col("own.doc_id").alias("node"), "own.at", "own.n"), "nodes")
-    members = kept(chosen.join(nodes, "digest").select("doc_id", "node"), "members")
+    members = kept(chosen.join(shuffled(nodes), "digest").select("doc_id", "node"), "members")
     nodes_at = nodes.select("at", "node", "n")
     rows = signed.select("at", "spots")
     ranked = ranked_sets(rows, nodes_at, similarity)
-    heads = maybe_in(rows, ranked, "at").join(ranked, "at")
+    heads = maybe_in(rows, ranked, "at").join(shuffled(ranked), "at")
     heads = kept(heads.select("node", "n", "spots", "ranked", parity(F.col("spots")).alias("bits")), "heads")
     discard(signed, chosen, nodes, ranked)
     part = F.floor(F.log(F.col("n").cast("double")) / log(1 / similarity) + 1e-9).cast("int")
@@ -238,7 +238,7 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
 
     def linked(pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) of nodes that are alike."""
-        a, b = (heads.select(F.col("node").alias(c), F.col("spots").alias(f"spots_{c}")) for c in "ab")
+        a, b = (shuffled(heads.select(F.col("node").alias(c), F.col("spots").alias(f"spots_{c}"))) for c in "ab")
         both = pairs.distinct().join(a, "a").join(b, "b")
         return kept(both.where(likeness(F.col("spots_a"), F.col("spots_b"), similarity) > 0).select("a", "b"), "links")
 
@@ -251,17 +251,17 @@ def spot_classes(docs: DataFrame, similarity: float = 0.8, chain: int = 2, round
         met = buckets(classed).select(me.alias("x"), next_ones.alias("ys")).select("x", F.explode("ys").alias("y"))
         links = linked(met.where((F.col("x.node") != F.col("y.node")) & may_be_alike("x", "y", similarity)).select(*pair))
         classes = kept(connected(links), "classes")
-        classed = heads.join(classes, "node", "left").withColumn("class", F.coalesce("class", "node"))
+        classed = heads.join(shuffled(classes), "node", "left").withColumn("class", F.coalesce("class", "node"))
     left = buckets(classed)
     # all pairs of a bucket of up to rounds + 1 members have been compared
     mixed = left.groupBy("spot", "part").agg(F.count("*").alias("rows"), F.min("class").alias("low"), F.max("class").alias("high"))
     mixed = mixed.where((F.col("rows") > rounds + 1 if rounds else F.col("rows") > 1) & (F.col("low") < F.col("high"))).select("spot", "part")
-    left = kept(left.join(mixed, ["spot", "part"]), "unsettled")
+    left = kept(left.join(shuffled(mixed), ["spot", "part"]), "unsettled")
     before = F.struct("x.n", "x.node") < F.struct("y.n", "y.node")
-    met = left.alias("x").join(left.where("own = part").alias("y"), ["spot", "part"])
+    met = left.alias("x").join(shuffled(left.where("own = part")).alias("y"), ["spot", "part"])
     more = linked(met.where((F.col("x.class") != F.col("y.class")) & before & may_be_alike("x", "y", similarity)).select(*pair))
     discard(left, heads)
     if rounds:
         more = more.union(classes.select(F.col("node").alias("a"), F.col("class").alias("b")))
     classes = connected(more)
-    return members.join(classes, "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))
+    return members.join(shuffled(classes), "node", "left").select("doc_id", F.coalesce("class", "node").alias("class_id"))
