@@ -2,7 +2,10 @@
 
 import re
 
-from sketchloom.operators import ordered
+import numpy as np
+import pytest
+
+from sketchloom.operators import ordered, similarity
 
 
 def test_members_around_sums_up_no_frame_anew(spark):
@@ -13,3 +16,25 @@ def test_members_around_sums_up_no_frame_anew(spark):
     # a frame that ends with the last row is read again for each of its rows
     frames = re.findall(r"specifiedwindowframe\(RangeFrame[^)]*\)", got._jdf.queryExecution().optimizedPlan().toString())
     assert len(frames) >= 3 and not any("unboundedfollowing" in f for f in frames)
+
+
+@pytest.mark.parametrize(("tasks", "block", "cells"), [(1, 1 << 20, 1 << 20), (20, 700, 50), (3, 1 << 20, 1)])
+def test_set_pairs_are_counted_where_they_meet(spark, monkeypatch, tasks, block, cells):
+    rng = np.random.default_rng(5)
+    sets = {f"s{a:03}": set(rng.integers(10, 2000, rng.integers(1, 80)).tolist()) | set(range(a % 4)) for a in range(150)}
+    for a in range(0, 60, 3):  # near copies, copies and a set that holds another
+        sets[f"t{a}"] = set(sorted(sets[f"s{a:03}"])[1:]) | {9000 + a}
+        sets[f"u{a}"] = set(sets[f"s{a:03}"])
+    sets["v"] = set(range(10, 900))
+    postings = spark.createDataFrame([(a, int(h)) for a, hs in sets.items() for h in hs], "acc string, h long").repartition(3)
+    reps = {a for a, x in sets.items() if a == min(b for b, y in sets.items() if x == y)}
+    want = {(a, b): len(sets[a] & sets[b]) for a in reps for b in reps if len(sets[a] & sets[b]) > 0.05 * (len(sets[a]) + len(sets[b]))}
+    written = []
+    monkeypatch.setattr(similarity, "staged", lambda df, name, *a, f=similarity.staged, **k: written.append(name) or f(df, name, *a, **k))
+    got = similarity.similarity_join(postings, tasks=tasks, block_members=block, cells=cells).collect()
+    assert {(r["row"], r["col"]): r.common for r in got} == want and len(got) == len(want)
+    assert not {"pairs", "edges"} & set(written)  # they grow with the square of the sets
+    asked = spark.createDataFrame([(a,) for a in ("s001", "s001", "v", "t3", "u3", "none")], "id string")
+    some = similarity.similarity_join(postings, ids=asked, tasks=tasks, block_members=block, cells=cells).collect()
+    assert {(r["row"], r["col"]): r.common for r in some} == {k: n for k, n in want.items() if k[0] in ("s001", "v", "t3", "u3")}
+    assert len(some) == len({(r["row"], r["col"]) for r in some})
