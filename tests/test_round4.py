@@ -38,3 +38,21 @@ def test_set_pairs_are_counted_where_they_meet(spark, monkeypatch, tasks, block,
     some = similarity.similarity_join(postings, ids=asked, tasks=tasks, block_members=block, cells=cells).collect()
     assert {(r["row"], r["col"]): r.common for r in some} == {k: n for k, n in want.items() if k[0] in ("s001", "v", "t3", "u3")}
     assert len(some) == len({(r["row"], r["col"]) for r in some})
+
+
+def test_hits_are_sent_on_in_bounded_pieces(spark):
+    rng = np.random.default_rng(2)
+    x = rng.standard_normal((400, 6))
+    x[100:300] = x[100]  # one vector with many copies
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    queries = df.where("vec_id % 20 = 0")
+    every = similarity.vector_hits(queries, df, tasks=3).collect()
+    for cells in (1, 10_000, 1_000_000):
+        best = similarity.vector_hits(queries, df, top=4, tasks=1, cells=cells).collect()
+        sums = {r.query_idx: (r.n, round(r.dot, 6)) for r in similarity.vector_hits(queries, df, tasks=1, sums=True, cells=cells).collect()}
+        for q in {r.query_idx for r in every}:
+            own = sorted((-round(r.jaccard, 9), r.vec_id) for r in every if r.query_idx == q)
+            got = sorted((-round(r.jaccard, 9), r.vec_id) for r in best if r.query_idx == q)
+            assert got[:4] == own[:4] and len(got) < 50  # not all copies
+            assert sums[q] == (len(own), round(sum(r.dot for r in every if r.query_idx == q), 6))
+        assert len(sums) == len({r.query_idx for r in every})
