@@ -5,7 +5,7 @@ import re
 import numpy as np
 import pytest
 
-from sketchloom.operators import ordered, similarity
+from sketchloom.operators import matrix, ordered, similarity
 
 
 def test_members_around_sums_up_no_frame_anew(spark):
@@ -56,3 +56,13 @@ def test_hits_are_sent_on_in_bounded_pieces(spark):
             assert got[:4] == own[:4] and len(got) < 50  # not all copies
             assert sums[q] == (len(own), round(sum(r.dot for r in every if r.query_idx == q), 6))
         assert len(sums) == len({r.query_idx for r in every})
+
+
+def test_slices_shuffle_no_row_with_its_columns(spark):
+    e = spark.createDataFrame([(i, j, (i * j) % 256) for i in range(40) for j in range(40) if (i + j) % 3], "row long, col long, q int")
+    rows, cols = (spark.createDataFrame([(k, i) for k, i in enumerate(range(a, 40, 2))], "pos long, id long") for a in (0, 1))
+    tiles = matrix.slice_tiles(e, rows, cols, width=7)
+    plan = tiles._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("RebalancePartitions" if "RebalancePartitions" in plan else "RepartitionByExpression [tile") < plan.index("collect_list")
+    got = {(r.row, c): v for r in tiles.collect() for c, v in zip(r.cols, r["values"], strict=True)}
+    assert got == {(i, j): round(((i * j) % 256) / 255 * 1000) / 1000 if (i + j) % 3 else 0.0 for i in range(0, 40, 2) for j in range(1, 40, 2)}
