@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 
 from sketchloom.operators import matrix, ordered, similarity
+from sketchloom.plans import QUERIES
 
 
 def test_members_around_sums_up_no_frame_anew(spark):
@@ -66,3 +67,9 @@ def test_slices_shuffle_no_row_with_its_columns(spark):
     assert plan.index("RebalancePartitions" if "RebalancePartitions" in plan else "RepartitionByExpression [tile") < plan.index("collect_list")
     got = {(r.row, c): v for r in tiles.collect() for c, v in zip(r.cols, r["values"], strict=True)}
     assert got == {(i, j): round(((i * j) % 256) / 255 * 1000) / 1000 if (i + j) % 3 else 0.0 for i in range(0, 40, 2) for j in range(1, 40, 2)}
+
+
+@pytest.mark.parametrize("name", ["matrix_diff", "topn_or_threshold"])
+def test_edges_read_twice_are_made_once(spark, name):
+    plan = QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "InArrow" not in plan
